@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from sendero.llm import exact_dedup
+from sendero.llm import bpe, decontaminate, exact_dedup
 
-QUERIES = {"op7_exact_dedup": exact_dedup.op7_exact_dedup}
-SQL = {"op7_exact_dedup": exact_dedup.SQL}
+QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op3_bpe": bpe.op3_bpe,
+    "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+}
+SQL = {
+    "op1_decontaminate": decontaminate.SQL,
+    "op7_exact_dedup": exact_dedup.SQL,
+}
