@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from sendero.llm import bpe, decontaminate, exact_dedup
+from sendero.llm import bpe, decontaminate, exact_dedup, html_text, quality, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_bpe": bpe.op3_bpe,
+    "op4_quality": quality.op4_quality,
+    "op5_html_text": html_text.op5_html_text,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_warc": warc.op9_warc,
 }
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
+    "op9_warc": warc.SQL,
 }
