@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from sendero.llm import bpe, decontaminate, exact_dedup, html_text, quality, warc
+from sendero.llm import bpe, decontaminate, exact_dedup, html_text, licences, quality, token_shards, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_token_shards": token_shards.op2_token_shards,
     "op3_bpe": bpe.op3_bpe,
     "op4_quality": quality.op4_quality,
     "op5_html_text": html_text.op5_html_text,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_warc": warc.op9_warc,
+    "op10_licences": licences.op10_licences,
 }
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
