@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sendero.llm import bpe, decontaminate, exact_dedup, html_text, licences, ngram_join, quality, token_shards, warc
+from sendero.llm import bpe, decontaminate, exact_dedup, html_text, licences, ngram_join, quality, suffix_dedup, token_shards, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.op3_bpe,
     "op4_quality": quality.op4_quality,
     "op5_html_text": html_text.op5_html_text,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_warc": warc.op9_warc,
