@@ -2,7 +2,8 @@
 
 Texts are cut into words by the byte-level pattern, vectorised over the UTF-8 bytes of a whole batch; equal words of a
 batch are encoded once. A word's adjacent pairs are the leaves of a segment tree whose nodes hold the least
-(rank, position): the root is the leftmost lowest-rank merge. A merge changes three leaves, each in logarithmic time,
+(rank, position): the root is the leftmost lowest-rank merge. Words of like length are merged in step, each in its own
+tree, by the same point updates on arrays. A merge changes three leaves, each in logarithmic time,
 until the root holds no mergeable pair. Decoding gathers the bytes of all ids at once.
 
 Defined cases: null counts as empty and gives no ids; the special token's own string becomes its id; bytes that are no
@@ -31,7 +32,9 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 #: The characters of White_Space.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 PIECE = 2 << 20
-CACHED = 300_000
+SLOTS, STORE = 1 << 19, 1 << 22  # words and ids that a worker keeps between batches
+TOGETHER = 65  # words of at most so many bytes advance together
+HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 @lru_cache(1)
@@ -60,6 +63,11 @@ class ByteBPE:
         self.special = {t["content"].encode(): t["id"] for t in made["added_tokens"]}
         merges = [m if isinstance(m, list) else m.split(" ") for m in made["model"]["merges"]]
         self.pairs = {vocab[a] << 32 | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)}
+        keys = np.array(list(self.pairs), np.int64)
+        order = np.argsort(keys)
+        self.pair_keys = keys[order]
+        self.pair_ranks = np.array([r for r, _ in self.pairs.values()], np.int64)[order]
+        self.merged = np.array([m for _, m in self.pairs.values()], np.int64)
         self.of_byte = [0] * 256
         for char, b in back.items():
             self.of_byte[b] = vocab[char]
@@ -72,7 +80,11 @@ class ByteBPE:
         self.lengths = np.array([len(x) for x in raw], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.flat = np.frombuffer(b"".join(raw), np.uint8)
-        self.cache: dict[bytes, tuple[int, ...]] = {}
+        self.byte_ids = np.array(self.of_byte, np.int64)
+        # A direct-mapped cache of words: hash, first bytes and length; place and number of the ids in the store.
+        self.store, self.used = np.zeros(STORE, np.uint32), 0
+        self.slot_hash, self.slot_head = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.slot_size, self.slot_base, self.slot_count = np.full(SLOTS, -1), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
 
     def word(self, raw: bytes) -> tuple[int, ...]:
         """Ids of one word."""
@@ -119,6 +131,85 @@ class ByteBPE:
                 put(h, found[0] << 32 | h if found else NEVER)
         return tuple(x for x in ids if x >= 0)
 
+    def _keys(self, a: np.ndarray, b: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Of each pair at a leaf: rank << 32 | leaf, or NEVER."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.pair_keys[at] == key), self.pair_ranks[at] << 32 | leaf, NEVER)
+
+    def many(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at start, one after the other, and their counts.
+
+        Words of like length advance together, each in its own segment tree; long ones go through word().
+        """
+        count = np.zeros(len(start), np.int64)
+        parts, order = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def put(own: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+            count[own] = counts
+            parts.append(ids)
+            order.append(np.repeat(own, counts))
+
+        one = np.flatnonzero(size == 1)
+        put(one, self.byte_ids[data[start[one]]], np.ones(len(one), np.int64))
+        leaves, low = 1, 2
+        while leaves < TOGETHER:
+            own = np.flatnonzero((size >= low) & (size <= leaves + 1))
+            for k in range(0, len(own), 8192):
+                part = own[k : k + 8192]
+                put(part, *self._together(data, start[part], size[part], leaves))
+            low, leaves = leaves + 2, leaves * 2
+        for i in np.flatnonzero(size >= low).tolist():
+            ids = np.array(self.word(data[start[i] : start[i] + size[i]].tobytes()), np.int64)
+            put(np.array([i]), ids, np.array([len(ids)]))
+        return np.concatenate(parts)[np.argsort(np.concatenate(order), kind="stable")], count
+
+    def _together(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The loop of word() over words of at most size + 1 bytes; row r of the flat tree starts at r * 2 * size."""
+        rows, wide = len(start), size + 2
+        place = np.arange(wide)
+        symbol = data[np.minimum(start[:, None] + place, len(data) - 1)]
+        ids = np.where(place < length[:, None], self.byte_ids[symbol], -1)
+        tree = np.full((rows, 2 * size), NEVER, np.int64)
+        tree[:, size:] = self._keys(ids[:, :size], ids[:, 1 : size + 1], np.arange(size))
+        level = size
+        while level > 1:
+            tree[:, level // 2 : level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
+            level //= 2
+        after = np.tile(np.minimum(np.arange(1, wide + 1), wide - 1), (rows, 1))
+        before = np.tile(np.arange(-1, wide - 1), (rows, 1))
+        ids, tree, after, before = ids.ravel(), tree.ravel(), after.ravel(), before.ravel()
+        live = np.arange(rows)
+        while True:
+            root = tree[live * (2 * size) + 1]
+            going = root < NEVER
+            live, root = live[going], root[going]
+            if not len(live):
+                break
+            base, at = live * (2 * size), live * wide
+            i = root & 0xFFFFFFFF
+            j = after[at + i]
+            k = after[at + j]
+            h = before[at + i]
+            new = self.merged[root >> 32]
+            ids[at + i], ids[at + j] = new, -1
+            after[at + i], before[at + k] = k, i
+            inner, left = j < size, h >= 0
+            tree[(base + size + j)[inner]] = NEVER
+            tree[base + size + i] = self._keys(new, ids[at + k], i)
+            tree[(base + size + h)[left]] = self._keys(ids[(at + h)[left]], new[left], h[left])
+            paths = [(base, size + i), (base[inner], (size + j)[inner]), (base[left], (size + h)[left])]
+            level = size
+            while level > 1:
+                level //= 2
+                paths = [(b, node >> 1) for b, node in paths]
+                for b, node in paths:
+                    two = b + 2 * node
+                    tree[b + node] = np.minimum(tree[two], tree[two + 1])
+        ids = ids.reshape(rows, wide)
+        kept = ids >= 0
+        return ids[kept], kept.sum(axis=1)
+
     def word_bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """Byte starts of the words of texts laid end to end, and (start, end, id) of the special tokens among them."""
         specials, raw = [], data.tobytes() if self.special else b""
@@ -174,40 +265,53 @@ class ByteBPE:
         start, specials = self.word_bounds(data, offsets)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        end = np.append(start[1:], len(data))
-        hashes = span_hashes(prefix_sums(data), start, end)
+        size = np.diff(np.append(start, len(data)))
+        hashes = span_hashes(prefix_sums(data), start, start + size)
+        # Words are equal if hash, length and the first eight bytes are.
+        eight = np.lib.stride_tricks.as_strided(np.concatenate((data, np.zeros(8, np.uint8))), (len(data), 8), (1, 1))
+        heads = eight[start].copy().view("<u8").ravel() & HEAD[np.minimum(size, 8)]
         codes, unique = pd.factorize(hashes)
         first = np.zeros(len(unique), np.int64)
         first[codes[::-1]] = np.arange(len(codes))[::-1]
-        raw, cache = data.tobytes(), self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        known = [raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-        same = (end - start) == (end - start)[first][codes]
-        head = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 4)
-        same &= (head[start] == head[start[first]][codes]).all(axis=1) | (end - start < 4)
-        for i in np.flatnonzero(~same).tolist():  # words that share a hash
-            codes[i] = len(known)
-            known.append(raw[start[i] : end[i]])
-        special = {s: i for s, _, i in specials}
-        made = []
-        for x in known:
-            if (ids := cache.get(x)) is None:
-                ids = cache[x] = self.word(x)
-            made.append(ids)
-        if special:
-            where = {int(s): k for k, s in enumerate(start.tolist()) if s in special}
-            for s, k in where.items():
-                codes[k] = len(made)
-                made.append((special[s],))
-        size = np.array([len(x) for x in made], np.int64)
-        flat = np.array([i for x in made for i in x], np.uint32)
-        base = np.cumsum(size) - size
-        each = size[codes]
+        if len(odd := np.flatnonzero((size != size[first[codes]]) | (heads != heads[first[codes]]))):
+            codes[odd] = len(first) + np.arange(len(odd))
+            first = np.concatenate((first, odd))
+        base, count = self._cached(data, start[first], size[first], hashes[first], heads[first])
+        for s, _, i in specials:
+            k = int(np.searchsorted(start, s))
+            codes[k] = len(base)
+            base, count = np.append(base, i), np.append(count, -1)
+        each = np.abs(count)[codes]
         ends = np.cumsum(each)
-        ids = flat[np.repeat(base[codes] - (ends - each), each) + np.arange(ends[-1])]
+        ids = self.store[np.repeat(np.where(count < 0, 0, base)[codes] - (ends - each), each) + np.arange(ends[-1])]
+        for s, _, i in specials:
+            k = int(np.searchsorted(start, s))
+            ids[ends[k] - 1] = i
         return ids, np.concatenate(([0], ends))[np.searchsorted(start, offsets)]
 
+    def _cached(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, hashes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the store each word's ids are, and how many; new words are encoded and take their slot."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        base, count = self.slot_base[slot], self.slot_count[slot]
+        new = np.flatnonzero((self.slot_hash[slot] != hashes) | (self.slot_head[slot] != heads) | (self.slot_size[slot] != size))
+        ids, made = self.many(data, start[new], size[new])
+        if self.used + len(ids) > len(self.store):  # forget all; what this batch needs is encoded again
+            self.slot_size[:] = -1
+            self.used = 0
+            self.store = np.zeros(STORE, np.uint32)
+            if len(new) < len(start):
+                ids, made = self.many(data, start, size)
+                new = np.arange(len(start))
+            if len(ids) > STORE:
+                self.store = np.zeros(len(ids), np.uint32)
+        self.store[self.used : self.used + len(ids)] = ids
+        base[new], count[new] = self.used + np.cumsum(made) - made, made
+        self.used += len(ids)
+        at = slot[new]
+        self.slot_hash[at], self.slot_head[at], self.slot_size[at] = hashes[new], heads[new], size[new]
+        self.slot_base[at], self.slot_count[at] = base[new], made
+        return base, count
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of id lists laid end to end, and the n+1 offsets of each list's bytes."""
         each = self.lengths[ids]
