@@ -147,12 +147,13 @@ REWRITES = [("BOGOTA", "BOGOTA D C"), ("CARTAGENA", "CARTAGENA DE INDIAS"), ("MO
 
 def municipality_key(norm: Column) -> Column:
     """The normalised name under which a municipality is looked up; null for what is no municipality."""
+    held = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  each value is computed once
+    rewrite = lambda part, to: lambda x: F.when(F.contains(x, F.lit(part)), to).otherwise(x)
     t = norm
     for part, to in REWRITES:
-        t = F.when(F.contains(t, F.lit(part)), to).otherwise(t)
-    none = t.isin(*NO_PLACE)
-    t = F.when(F.contains(t, F.lit("SOCORRO")), "EL SOCORRO").otherwise(t)
-    return F.when(~none & ~t.isin(*DEPT_ONLY) & (t != ""), t)
+        t = held(t, rewrite(part, to))
+    t = held(t, lambda x: F.when(x.isin(*NO_PLACE), None).when(F.contains(x, F.lit("SOCORRO")), "EL SOCORRO").otherwise(x))
+    return held(t, lambda x: F.when(~x.isin(*DEPT_ONLY) & (x != ""), x))
 
 
 def resolve_ids(rows: DataFrame, municipios: DataFrame, departamentos: DataFrame) -> DataFrame:

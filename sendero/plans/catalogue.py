@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sendero.plans import text_queries
+from sendero.plans import resolve_queries, text_queries
 from sendero.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "text_queries"]
+__all__ = ["ORACLE_SQL", "QUERIES", "resolve_queries", "text_queries"]

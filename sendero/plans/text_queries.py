@@ -8,14 +8,15 @@ from sendero.functions import classify, geo, text
 from sendero.plans import duck
 from sendero.plans.registry import query, table
 from sendero.plans.sender import SENDERS, distinct_senders, senders
+from sendero.sources.stage import staged
 
 
 def classified(spark, sf_dir):
-    """Distinct senders with clean, tipo, subtipo, numero; cached, as one row a spelling is all that the rest reads."""
+    """Distinct senders with clean, tipo, subtipo, numero; staged, as one row a spelling is all that the rest reads."""
     out = distinct_senders(spark, sf_dir).withColumn("clean", text.clean_text(F.col("raw")))
     out = out.withColumn("tipo", classify.entity_type(F.col("clean")))
     number = F.when(F.col("tipo").isin(*classify.NUMBERED), text.extract_number(F.col("raw"))).otherwise("")
-    return out.withColumns({"subtipo": classify.subtype(F.col("tipo"), F.col("clean")), "numero": number}).cache()
+    return staged(out.withColumns({"subtipo": classify.subtype(F.col("tipo"), F.col("clean")), "numero": number}), "classified")
 
 
 def located(spark, sf_dir):
