@@ -1 +1 @@
-
+"""Streams against static tables."""
