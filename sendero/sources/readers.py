@@ -21,7 +21,7 @@ def positional_csv(spark: SparkSession, path: str, width: int, wanted: dict[int,
     return rows.filter(present).select(*[F.col(f"_{i}").alias(n) for i, n in wanted.items()])
 
 
-GEOGRAPHY = T.StructType().add("id", "int").add("departamento", "string").add("ciudades", T.ArrayType(T.StringType()))
+GEOGRAPHY = "id int, departamento string, ciudades array<string>"
 
 
 def geography_json(spark: SparkSession, path: str) -> DataFrame:
