@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sendero.llm import bpe, decontaminate, exact_dedup, ngram_join, quality
-from sendero.llm._common import broadcast_if_small, written
+from sendero.llm._common import BATCH, broadcast_if_small, written
+
+ROWS = 1000  # texts that go to a Python worker at a time; a stage's result is written only after it has returned
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
+    spark.conf.set(BATCH, ROWS)
     net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     columns = docs.columns
     return quality.score(docs, net).filter(F.col("score") >= quality.ACCEPT).select(*columns)
@@ -47,6 +50,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
+    spark.conf.set(BATCH, ROWS)
     return bpe.round_trip(docs).withColumnRenamed("id", "doc_id")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -31,14 +33,29 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing."""
+def written(df: DataFrame, name: str, batch: int = 1000) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing.
+
+    batch: rows that go to a Python worker at a time, few where rows are large.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, batch)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(df: DataFrame) -> DataFrame:
+    """df, after the shuffle files of finished steps have gone; Spark drops them once the driver collects its garbage."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return df
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64, limit_mb: int = 64) -> DataFrame:
     """Hint a broadcast only when rows * row_bytes, both known beforehand, stay under limit_mb."""
     return F.broadcast(df) if rows * row_bytes <= limit_mb << 20 else df

@@ -31,8 +31,8 @@ NEVER = 1 << 62
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: The characters of White_Space.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-PIECE = 2 << 20
-SLOTS, STORE = 1 << 19, 1 << 22  # words and ids that a worker keeps between batches
+PIECE = 1 << 20
+SLOTS, STORE = 1 << 18, 1 << 21  # words and ids that a worker keeps between batches
 TOGETHER = 65  # words of at most so many bytes advance together
 HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 

@@ -10,8 +10,9 @@ estimated cost least: postings to read plus candidates to verify, which fall as
 2. `frequent`: counts of all shingles, in sorted runs for ranges of hashes. The most frequent, `known` at most, give the
    order; any order gives right results, so a bounded table bounds what is broadcast and never the result.
 3. `postings`: prefix shingles are grouped by ranges of hashes; only shingles of two or more classes go on.
-4. Each posting list's most central member (that with the shingle foremost in its order) is verified against the
-   others: large groups of near copies fall into one component without their pairs.
+4. Each posting list's most central member (that with the shingle foremost in its order) is a candidate for the others;
+   each member is verified against two such centres: large groups of near copies fall into one component without
+   their pairs.
 5. Of the lists that still hold several components, members outside a list's largest component are matched with all
    others by length, position and number of shared prefix shingles, and verified. No pair is dropped: every pair of
    two components that the prefixes allow is verified.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words, written
+from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, freed, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words, written
 
 LONGEST = 8
 VERIFY = 10.0  # cost of a verification against that of reading a posting
@@ -63,7 +64,7 @@ def class_key(found: np.ndarray, seed: int) -> tuple[int, int]:
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
     data, offsets = strings(batch.column("text"))
-    for a, b in pieces(offsets):
+    for a, b in pieces(offsets, 1 << 19):
         yield from enumerate(shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k), a)
 
 
@@ -87,7 +88,7 @@ def _by_range(of: np.ndarray, ranges: int, *columns: np.ndarray) -> Iterator[tup
         yield r, *(c[cuts[r] : cuts[r + 1]].tobytes() for c in columns)
 
 
-def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int, seed: int, remember: int = 100_000) -> Iterator[tuple[int, np.ndarray]]:
+def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int, seed: int, remember: int = 50_000) -> Iterator[tuple[int, np.ndarray]]:
     """(key, set) of the rows with an id and a shingle, without the copies that this task still remembers."""
     seen: set[int] = set()
     for batch in batches:
@@ -102,7 +103,18 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int, seed: int, remembe
                     yield key, found
 
 
-def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def packed(keys: bytes) -> bytes:
+    """Sorted 32-bit keys as differences, byte plane by byte plane, of which the upper two are mostly zeros."""
+    gaps = np.diff(np.frombuffer(keys, np.uint32), prepend=np.uint32(0))
+    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.cumsum(gaps, dtype=np.uint32)
+
+
+def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """Upper halves of the most frequent shingle hashes, sorted, and the whole log2 of their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +123,7 @@ def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush:
         def flushed() -> pa.RecordBatch:
             keys, counts = np.unique((np.concatenate(held) >> U64(32)).astype(np.uint32), return_counts=True)
             made = list(_by_range(keys.astype(U64) << U64(32), ranges, keys, counts.astype(np.uint32)))
-            return pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.binary()), pa.array([m[2] for m in made], pa.binary())], names=["range", "keys", "counts"])
+            return pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([packed(m[1]) for m in made], pa.binary()), pa.array([m[2] for m in made], pa.binary())], names=["range", "keys", "counts"])
 
         for _, found in _distinct_sets(batches, k, seed):
             held.append(found)
@@ -123,7 +135,7 @@ def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush:
             yield flushed()
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in _grouped(batches, (np.uint32, np.uint32)):
+        for _, parts in _grouped(batches, (unpacked, np.uint32)):
             keys, counts = parts
             order = np.argsort(keys, kind="stable")
             keys, counts = keys[order], counts[order]
@@ -135,7 +147,7 @@ def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush:
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([len(own)], pa.int64()), pa.array([own.tobytes()], pa.binary())], names=["level", "n", "keys"])
 
     runs = rows.mapInArrow(count, "range int, keys binary, counts binary").repartition(ranges, "range").sortWithinPartitions("range")
-    table = written(runs.mapInArrow(total, "level int, n bigint, keys binary"), "frequent")
+    table = freed(written(runs.mapInArrow(total, "level int, n bigint, keys binary"), "frequent"))
     least, room = 64, known
     for r in table.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # one row a level
         if r.n > room:
@@ -157,7 +169,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple[
                 yield at, [np.concatenate(c) for c in zip(*held, strict=True)]
                 held = []
             at = row[0]
-            held.append([np.frombuffer(x, kind) for x, kind in zip(row[1:], kinds, strict=True)])
+            held.append([kind(x) if kind is unpacked else np.frombuffer(x, kind) for x, kind in zip(row[1:], kinds, strict=True)])
     if held:
         yield at, [np.concatenate(c) for c in zip(*held, strict=True)]
 
@@ -184,7 +196,7 @@ KINDS = (np.uint64, np.int64, np.uint32, np.uint32, np.uint8)
 ROW = "tok bigint, key bigint, n bigint, pos bigint, ell int"
 
 
-def postings(rows: DataFrame, k: int, seed: int, num: int, den: int, keys: np.ndarray, level: np.ndarray, ranges: int, flush: int = 500_000) -> DataFrame:
+def postings(rows: DataFrame, k: int, seed: int, num: int, den: int, keys: np.ndarray, level: np.ndarray, ranges: int, flush: int = 250_000) -> DataFrame:
     """(tok, key, n, pos, ell) of all prefix shingles that two or more classes share."""
     shared = rows.sparkSession.sparkContext.broadcast((keys, level))
 
@@ -280,8 +292,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     ranges = max(12, int(total) // 3_000_000)
     keys, level = frequent(rows, k, seed, ranges, known)
     lists = written(postings(rows, k, seed, num, den, keys, level, ranges), "lists")
-    needed = written(lists.select("key").distinct().join(classes, "key").select("key", F.col("least").alias("id")), "needed")
-    n = needed.count()
+    freed(lists)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,14 +301,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
                 out.append(found.tobytes() if class_key(found, seed)[0] == want[i] else None)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "found"])
 
-    chosen = rows.join(broadcast_if_small(needed, n, 16), "id").select("key", "text").mapInArrow(emit, "key bigint, found binary")
-    sets = written(chosen.filter("found IS NOT NULL").dropDuplicates(["key"]), "sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The whole sets of the classes in pairs(a, b)."""
+        needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        needed = written(needed.join(classes, "key").select("key", F.col("least").alias("id")), "needed")
+        chosen = rows.join(broadcast_if_small(needed, needed.count(), 16), "id").select("key", "text").mapInArrow(emit, "key bigint, found binary")
+        return freed(written(chosen.filter("found IS NOT NULL").dropDuplicates(["key"]), "sets", 500))
 
     # The centre of each list against its other members.
     centres = lists.groupBy("tok").agg(F.min(F.struct("pos", "key", "n")).alias("c")).select("tok", F.col("c.key").alias("a"), F.col("c.n").alias("n2"), F.col("c.pos").alias("pos2"))
-    stars = lists.join(centres, "tok").filter((F.col("a") != F.col("key")) & _possible(num, den)).select("a", F.col("key").alias("b")).distinct()
-    stars = written(stars, "stars")
-    links = written(_linked(stars, sets, num, den), "links")
+    # A member meets the two centres with which it shares most lists; whatever that leaves apart is matched below.
+    stars = lists.join(centres, "tok").filter((F.col("a") != F.col("key")) & _possible(num, den)).groupBy("a", F.col("key").alias("b")).agg(F.count("*").alias("c"))
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a1"), F.max("c").alias("c1"))
+    least = stars.join(best, "b").filter("a <> a1").groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
+    stars = written(best.select(F.col("a1").alias("a"), "b").unionByName(least.select("a", "b")), "stars")
+    links = freed(written(_linked(stars, sets_of(stars), num, den), "links", 64))
     roots = components(links)
 
     # Members of lists that hold several components.
@@ -312,7 +330,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     pairs = pairs.groupBy(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b2")).agg(F.count("*").alias("c"), F.min(F.least("ell", "ell2")).alias("least")).filter("c >= least").select("a", F.col("b2").alias("b"))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = written(_linked(pairs, sets, num, den), "more")
+    more = written(_linked(pairs, sets_of(pairs), num, den), "more", 64)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sendero.llm._common import broadcast_if_small, pieces, strings
 
@@ -185,19 +186,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str
 
 def score(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
     """docs with the column `score`, 0 to 1: how likely label 1 is; every column of docs is kept."""
-    from pyspark.sql import types as T
 
-    name = "score"
-    schema = T.StructType([*[f for f in docs.schema.fields if f.name != name], T.StructField(name, T.DoubleType())])
+    @F.arrow_udf(DoubleType())
+    def of(texts: pa.Array) -> pa.Array:
+        data, offsets = strings(texts)
+        parts = [np.full(b - a, 0.5) if net is None else net.scores(data, offsets[a : b + 1]) for a, b in pieces(offsets)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = strings(batch.column(text_col))
-            parts = [np.full(b - a, 0.5) if net is None else net.scores(data, offsets[a : b + 1]) for a, b in pieces(offsets)]
-            batch = batch.drop_columns([name]) if name in batch.schema.names else batch
-            yield batch.append_column(name, pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64()))
-
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn("score", of(F.col(text_col)))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

@@ -324,7 +324,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int
     n = wanted.count()
     texts = long.join(broadcast_if_small(wanted.select("digest"), n), "digest", "left_semi").mapInArrow(_seen_once, long.schema)
     texts = written(texts.dropDuplicates(["digest"]).join(wanted, "digest"), "texts")
-    contexts = written(_contexts(texts, length, gram), "contexts")
+    contexts = written(_contexts(texts, length, gram), "contexts", 200)
     sizes = contexts.groupBy("h").agg(F.count("*").alias("c"), F.sum(F.size("at")).alias("total")).filter("c > 1 OR total > 1")
     big = written(sizes.filter(F.col("c") > most).select("h"), "big")
     count = big.count()
@@ -349,7 +349,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int
                 kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([[{"first": s, "end": e} for s, e in r] for r in runs], kind), pa.array(kept, pa.binary()), pa.array(hashed, pa.string())], names=["digest", "spans", "kept", "kept_sha256"])
 
-    changed = written(texts.select("digest", "text").join(spans, "digest").mapInArrow(cut, "digest binary, spans array<struct<first:bigint,end:bigint>>, kept binary, kept_sha256 string"), "changed")
+    changed = written(texts.select("digest", "text").join(spans, "digest").mapInArrow(cut, "digest binary, spans array<struct<first:bigint,end:bigint>>, kept binary, kept_sha256 string"), "changed", 200)
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["end"] - s["first"])
     found = changed.select("digest", removed.alias("gone"), F.size("spans").cast("bigint").alias("runs"), F.col("kept_sha256").alias("hashed"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
