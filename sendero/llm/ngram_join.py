@@ -327,7 +327,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     other = mixed_lists.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("ell").alias("ell2"), F.col("root").alias("root2"))
     outside = mixed_lists.filter("root <> major")
     pairs = outside.join(other, "tok").filter((F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("major")) | (F.col("key") < F.col("b"))) & _possible(num, den))
-    pairs = pairs.groupBy(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b2")).agg(F.count("*").alias("c"), F.min(F.least("ell", "ell2")).alias("least")).filter("c >= least").select("a", F.col("b2").alias("b"))
+    # Of two documents' common shingles all but those behind the prefix of one of them are counted.
+    behind = lambda n, ell: F.ceil(F.col(n) * num / den) - F.col(ell)
+    needed = F.ceil((F.col("n") + F.col("n2")) * num / (num + den)) - F.greatest(behind("n", "ell"), behind("n2", "ell2"))
+    pairs = pairs.groupBy(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b2")).agg(F.count("*").alias("c"), F.max(F.greatest(needed, F.least("ell", "ell2"))).alias("least")).filter("c >= least").select("a", F.col("b2").alias("b"))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     more = written(_linked(pairs, sets_of(pairs), num, den), "more", 64)
