@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
         if classes.filter("lo <> hi").isEmpty():
             break  # no two different sets share a key
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranges = max(12, int(total) // 3_000_000)
+    ranges = max(12, int(total) // 1_000_000)  # about so many shingles meet in a task
     keys, level = frequent(rows, k, seed, ranges, known)
     lists = written(postings(rows, k, seed, num, den, keys, level, ranges), "lists")
     freed(lists)
