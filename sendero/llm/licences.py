@@ -1,11 +1,12 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is a line of a text. Features are its word n-grams (one to three words, A-Z lower-cased) that hold a cue
-word such as "license" or "gpl"; others are left out, so a paragraph without any cue word has no feature, scores as
-unknown whatever it says, and need not be scored one by one. A softmax regression over licence families and one
-unknown class is trained here on short notices composed from the templates below and on sentences that use the cue
-words otherwise. Its temperature is fitted on notices kept apart, and a family counts only if its calibrated
-probability reaches `sure`. A prediction is confirmed if the paragraph holds enough of a template of that family.
+A paragraph is a block of lines between blank lines. Its lines, its sentences (also where they run over line ends) and
+the whole of it are scored, every one of them; features are all word n-grams (one to three words, A-Z lower-cased). A
+softmax regression over licence families and one unknown class is trained here on short notices composed from the
+templates below, on passages of the licences' own texts, whole and in pieces, and on sentences that say something else.
+Its temperature is fitted on texts kept apart, and a family counts only if its calibrated probability reaches `sure`.
+A prediction is confirmed if what was scored holds enough of a template of that family. A paragraph without a word has
+no feature and is unknown. N-grams are looked up by 64-bit hashes.
 
 Defined cases: null and empty texts have no paragraph; each row gives one row, also where doc_id is null or repeated;
 other columns are ignored; ties between families go to the first in order; an empty table gives an empty result.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import pieces, strings
+from sendero.llm._common import U64, lowered, pieces, prefix_sums, shingles, span_hashes, strings, words
 
 UNKNOWN = "unknown"
 #: Names by which notices refer to each family, and the words of which a notice must hold enough to be confirmed.
@@ -51,18 +52,43 @@ WHOLE = {
     "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD license."],
 }
 NEITHER = ["Bring your driver license and passport.", "The driver's licence was renewed last week.", "He lost his license to practice medicine.", "Poetic license is allowed here.", "The shop has a licence to sell beer.", "Please accept the license terms to go on.", "Ask for a license key at the desk.", "Copyright law protects authors.", "The copyright office is closed today.", "Apache helicopters flew over the valley.", "The Apache people lived in the southwest.", "MIT researchers published a study.", "She studied at MIT before moving.", "The Mozilla foundation held a meeting.", "A public domain debate took place in the commons.", "The house of commons voted.", "Creative people share ideas.", "The GNU herd crossed the river.", "Fishing licenses are sold at the harbour.", "Licensing fees rose again.", "What does this license mean for users?", "The licence plate was stolen.", "They reserved all rights seats in the theatre.", "Rights were reserved for members."]
-CUE = re.compile(rb"licen[sc]|copyright|reserved|public domain|unlicense|spdx|gpl|apache|\bmit\b|\bbsd\b|mozilla|\bmpl\b|creative commons|\bcc[ -]?by|\bcc0|\bisc\b|proprietary|redistribut")
-CUES = frozenset("license licence licensed licenced licenses licensing copyright reserved rights domain unlicense spdx gpl gplv2 gplv3 agpl lgpl lgplv3 gnu affero lesser apache mit bsd mozilla mpl creative commons cc by cc0 nc sa noncommercial sharealike attribution isc proprietary confidential redistribute redistribution".split())
+#: Passages of the licences' own texts that are peculiar to a family.
+BODIES = {
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
+    "Apache": ["You may not use this file except in compliance with the License.", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", "See the License for the specific language governing permissions and limitations under the License.", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."],
+    "GPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "You should have received a copy of the GNU General Public License along with this program.", "The GNU General Public License is a free, copyleft license for software and other kinds of works."],
+    "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "You should have received a copy of the GNU Lesser General Public License along with this library."],
+    "AGPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "You should have received a copy of the GNU Affero General Public License along with this program.", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."],
+    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "CC0": ["The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law."],
+    "Public domain": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.", "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain."],
+    "Proprietary": ["Confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.", "Unauthorized copying or distribution of this document is prohibited."],
+}
+OTHER = ["The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.", "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise.", "The city granted permission to build a new bridge, and any person may use it free of charge.", "She obtained a copy of the book from the library for her own use.", "Copying the painting took the students a whole week.", "Please do not distribute the keys to other members of the team.", "The following conditions were met by all of the farmers in the valley.", "It is prohibited to swim in the river without a guide.", "The file is sent by mail in two parts and with a short note.", "This is the story of a man who went to the sea and of what he found there.", "We see the details of the plan in the next part of the work.", "The authors of the study say that it is too early for any conclusion.", "Software for schools is sold and bought by the state."]
+#: MIT is also a common German word.
+OTHER += ["mit", "Mit.", "Mit!", "mit mit", "und mit", "Er kam mit dem Zug.", "Der Mann ging mit den Kindern in die Schule.", "Das Haus mit der roten Tür ist alt.", "mit der Zeit", "Komm mit.", "Die Leute von mit und ohne.", "Sie spricht nicht mit ihm.", "des mit", "mit einer Hand und mit zwei Händen", "den mit", "von mit", "mit ist in", "Auf mit den Händen."]
+#: What a paragraph must hold to have any feature: a word.
+CUE = re.compile(rb"[a-z0-9]")
 WORD = re.compile(r"[a-z0-9]+")
+SENTENCE = re.compile(rb"[.!?;:]\s")
+ASCII = np.zeros(256, bool)
+ASCII[48:58] = ASCII[97:123] = True
 #: Words that frames and names share, of no weight in a comparison with a template.
 PLAIN = frozenset("the a an of to in and or is are this it license licence public version general international universal code work software style terms under 0 1 2 3 4".split())
 
 
-def features(paragraph: str) -> set[str]:
-    """The n-grams that hold a cue word."""
-    words = WORD.findall(paragraph)
-    cue = [w in CUES for w in words]
-    return {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1) if any(cue[i : i + n])}
+def features(paragraph: str) -> list[str]:
+    """All n-grams, as often as they occur."""
+    found = WORD.findall(paragraph)
+    return [" ".join(found[i : i + n]) for n in (1, 2, 3) for i in range(len(found) - n + 1)]
+
+
+def _cut(text: str, size: int = 12) -> list[str]:
+    """A passage and, if it is long, pieces of it as line ends would make them."""
+    found = text.split()
+    return [text, *(" ".join(found[i : i + size]) for i in range(0, len(found) - size // 2, size // 2) if len(found) > size)]
 
 
 def notices() -> list[tuple[str, str]]:
@@ -70,6 +96,10 @@ def notices() -> list[tuple[str, str]]:
     made = [(frame.format(name), family) for family, names in NAMES.items() for name in names for frame in FRAMES]
     made += [(f"{text} {more}".strip(), family) for family, texts in WHOLE.items() for text in texts for more in ("", "Copyright 2021 the authors.", "See the file for details.")]
     made += [(f"{a} {b}".strip(), UNKNOWN) for a, b in itertools.product(NEITHER, ["", *NEITHER[:6]])]
+    made += [(piece, family) for family, texts in BODIES.items() for text in texts for piece in [*_cut(text), f"{text} Copyright 2021 the authors."]]
+    made += [(" ".join(texts), family) for family, texts in BODIES.items()]
+    made += [(f"{a} {b}".strip(), UNKNOWN) for a, b in itertools.product(OTHER, ["", *OTHER[-5:], *NEITHER[:4]])]
+    made += [(piece, UNKNOWN) for text in OTHER for piece in _cut(text)[1:]]
     return [(text.lower(), family) for text, family in made]
 
 
@@ -77,13 +107,13 @@ class Model:
     def __init__(self, texts: list[tuple[str, str]], steps: int = 300, rate: float = 0.5, decay: float = 2e-4) -> None:
         self.families = [*NAMES, UNKNOWN]
         sets = [features(t) for t, _ in texts]
-        self.vocabulary = {f: i for i, f in enumerate(sorted(set().union(*sets)))}
+        self.vocabulary = {f: i for i, f in enumerate(sorted(set().union(*map(set, sets))))}
         apart = np.arange(len(texts)) % 5 == 4
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        col = np.array([self.vocabulary[f] for s in sets for f in sorted(s)])
+        col = np.array([self.vocabulary[f] for s in sets for f in s])
         size = np.array([max(len(s), 1) for s in sets])
         x = np.zeros((len(sets), len(self.vocabulary)), np.float32)
-        x[row, col] = 1 / np.sqrt(size[row])
+        np.add.at(x, (row, col), 1 / np.sqrt(size[row]))
         y = np.zeros((len(texts), len(self.families)), np.float32)
         y[np.arange(len(texts)), [self.families.index(f) for _, f in texts]] = 1
         weight = (1 / y.sum(axis=0))[y.argmax(axis=1)]
@@ -100,6 +130,28 @@ class Model:
         losses = {t: -np.log(np.maximum((self._softmax(logits / t) * y[apart]).sum(axis=1), 1e-9)).mean() for t in np.geomspace(0.1, 10, 41)}
         self.temperature = min(losses, key=losses.get)
         self.accuracy = float((logits.argmax(axis=1) == y[apart].argmax(axis=1)).mean())
+        self.tables = [self._table(n) for n in (1, 2, 3)]
+
+    def _table(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the vocabulary's n-grams in order, and their weights."""
+        grams = [f for f in self.vocabulary if f.count(" ") == n - 1]
+        _, _, own = _words(np.frombuffer(" ".join(grams).encode(), np.uint8))
+        found = shingles(own, n)[::n]
+        order = np.argsort(found)
+        return found[order], self.weights[[self.vocabulary[f] for f in grams]][order].astype(np.float64)
+
+    def score(self, own: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Probabilities of the families for each run [lo, hi) of the words of hashes `own`."""
+        z, size = np.zeros((len(lo), len(self.families))), np.zeros(len(lo), np.int64)
+        for n, (hashes, weights) in enumerate(self.tables, 1):
+            grams = shingles(own, n)
+            place = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
+            at = np.flatnonzero(hashes[place] == grams)
+            sums = np.concatenate((np.zeros((1, z.shape[1])), np.cumsum(weights[place[at]], axis=0)))
+            end = np.maximum(hi - n + 1, lo)
+            z += sums[np.searchsorted(at, end)] - sums[np.searchsorted(at, lo)]
+            size += end - lo
+        return self._softmax((z / np.sqrt(np.maximum(size, 1))[:, None] + self.bias) / self.temperature)
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
@@ -109,21 +161,24 @@ class Model:
     def predict(self, paragraph: str) -> tuple[str, float]:
         """Family and calibrated probability of a lower-cased paragraph."""
         found = features(paragraph)
-        known = [self.vocabulary[f] for f in sorted(found) if f in self.vocabulary]
+        known = [self.vocabulary[f] for f in found if f in self.vocabulary]
         if not known:
             return UNKNOWN, 1.0
         p = self._softmax((self.weights[known].sum(axis=0) / np.sqrt(len(found)) + self.bias) / self.temperature)
         return self.families[int(p.argmax())], float(p.max())
 
 
-def confirmed(paragraph: str, family: str, least: float = 0.75) -> bool:
+@lru_cache(None)
+def _telling(family: str, names: bool) -> list[set[str]]:
+    """The telling words of each template of the family; of short ones only where names count."""
+    listed = [*(NAMES.get(family, []) if names else []), *(WHOLE.get(family, []) if names else []), *BODIES.get(family, [])]
+    return [set(WORD.findall(t.lower())) - PLAIN for t in listed]
+
+
+def confirmed(paragraph: str, family: str, least: float = 0.75, names: bool = True) -> bool:
     """Whether the paragraph holds enough of the telling words of a template of the family."""
-    words = set(WORD.findall(paragraph))
-    for template in [*NAMES.get(family, []), *WHOLE.get(family, [])]:
-        telling = set(WORD.findall(template.lower())) - PLAIN
-        if telling and len(telling & words) >= least * len(telling):
-            return True
-    return False
+    held = set(WORD.findall(paragraph))
+    return any(telling and len(telling & held) >= least * len(telling) for telling in _telling(family, names))
 
 
 @lru_cache(1)
@@ -132,17 +187,63 @@ def model() -> Model:
     return Model(notices())
 
 
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words of lower-cased bytes."""
+    start, end, _ = words(data, np.array([0, len(data)]), ASCII)
+    return start, end, span_hashes(prefix_sums(data), start, end) if len(start) else np.zeros(0, U64)
+
+
+def _parts(low: bytes) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """(number of the first line, start, spans of lines, sentences and the whole) of each paragraph."""
+    out, at, first = [], 0, -1
+    lines: list[tuple[int, int]] = []
+
+    def ended() -> None:
+        lo, hi = lines[0][0], lines[-1][1]
+        cuts = [lo, *(m.end() for m in SENTENCE.finditer(low, lo, hi)), hi]
+        out.append((first, lo, [(lo, hi), *({*lines, *itertools.pairwise(cuts)} - {(lo, hi)})]))
+
+    for number, line in enumerate(low.split(b"\n")):
+        if line and not line.isspace():
+            first = number if not lines else first
+            lines.append((at, at + len(line)))
+        elif lines:
+            ended()
+            lines = []
+        at += len(line) + 1
+    if lines:
+        ended()
+    return out
+
+
 def scan_text(raw: bytes, trained: Model, sure: float) -> list[tuple[int, str, float, bool]]:
-    """(line number, family or unknown, probability, confirmed) of each paragraph with a cue word."""
-    low, out = raw.lower(), []
-    if not CUE.search(low):
+    """(number of the first line, family or unknown, probability, confirmed) of each paragraph.
+
+    A paragraph in which several families are confirmed has an entry for each of them, any other has one.
+    """
+    data = lowered(np.frombuffer(raw, np.uint8))
+    low, out = data.tobytes(), []
+    paragraphs = _parts(low)
+    if not paragraphs:
         return out
-    for number, line in enumerate(low.split(b"\n")):
-        if CUE.search(line):
-            text = line.decode()
-            family, p = trained.predict(text)
-            sound = family != UNKNOWN and p >= sure and confirmed(text, family)
-            out.append((number, family if p >= sure else UNKNOWN, p, sound))
+    start, _, own = _words(data)
+    spans = np.array([x for _, _, found in paragraphs for x in found])
+    p = trained.score(own, *(np.searchsorted(start, spans[:, k]) for k in (0, 1)))
+    best, top = p.argmax(axis=1), p.max(axis=1)
+    at, unknown = 0, trained.families.index(UNKNOWN)
+    likely = (best != unknown) & (top >= sure)
+    for number, _, found in paragraphs:
+        entries: dict[str, float] = {}
+        guess = (UNKNOWN, float(top[at]) if CUE.search(low, *found[0]) else 1.0)
+        for k in (at + np.flatnonzero(likely[at : at + len(found)])).tolist():
+            lo, hi = spans[k].tolist()
+            family = trained.families[best[k]]
+            if confirmed(low[lo:hi].decode(errors="replace"), family, names=k > at or len(found) == 1):
+                entries[family] = max(entries.get(family, 0.0), float(top[k]))
+            elif guess[0] == UNKNOWN or top[k] > guess[1]:
+                guess = (family, float(top[k]))
+        out += [(number, family, q, True) for family, q in sorted(entries.items())] or [(number, *guess, False)]
+        at += len(found)
     return out
 
 
@@ -164,7 +265,9 @@ def scan(docs: DataFrame, sure: float = 0.6, id_col: str = "doc_id", text_col: s
 
 
 def op10_licences(spark, sf_dir: str) -> DataFrame:
-    """Confirmed licence families of every text of documents, and its paragraphs of unknown licence talk."""
+    """Confirmed licence families of every text of documents, its paragraphs, and those with no confirmed licence."""
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    families = F.array_sort(F.array_distinct(F.transform(F.filter("found", lambda x: x["confirmed"]), lambda x: x["family"])))
-    return found.select(F.col("id").alias("doc_id"), F.size("found").cast("bigint").alias("n_paragraphs"), F.array_join(families, ",").alias("licences"), F.size(F.filter("found", lambda x: ~x["confirmed"])).cast("bigint").alias("n_unknown"))
+    sound = F.filter("found", lambda x: x["confirmed"])
+    families = F.array_sort(F.array_distinct(F.transform(sound, lambda x: x["family"])))
+    count = lambda x: F.size(F.array_distinct(F.transform(x, lambda e: e["line"]))).cast("bigint")
+    return found.select(F.col("id").alias("doc_id"), count(F.col("found")).alias("n_paragraphs"), F.array_join(families, ",").alias("licences"), count(F.filter("found", lambda x: ~x["confirmed"])).alias("n_unknown"))

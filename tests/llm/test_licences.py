@@ -41,3 +41,39 @@ def test_frames(spark):
     out = licences.scan(docs).collect()
     assert sorted(len(r.found) for r in out) == [0, 0, 1, 1]
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "family"),
+    [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"),
+        ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles (the \"Software\"), to deal in the Software without\nrestriction, including without limitation the rights to use", "MIT"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "ISC"),
+        ("Confidential. Unauthorized copying of this document is prohibited.", "Proprietary"),
+        ("some prose\nLicensed under the Apache\nLicense, Version 2.0.\nmore prose of no matter", "Apache"),
+        ("many words of prose stand here before it. " * 50 + "Released under the MIT License. " + "and as many come after it. " * 50, "MIT"),
+    ],
+)
+def test_licence_texts(text, family):
+    found = licences.scan_text(text.encode(), licences.model(), 0.6)
+    assert {f for _, f, _, sound in found if sound} == {family}
+
+
+def test_every_paragraph_counts():
+    found = licences.scan_text("eins zwei\n\n \ndrei\nvier\n\n...\n\nAll rights reserved.\nReleased under the MIT License.".encode(), licences.model(), 0.6)
+    assert [(n, sound) for n, _, _, sound in found] == [(0, False), (3, False), (6, False), (8, True), (8, True)]
+    assert [f for _, f, _, sound in found if sound] == ["MIT", "Proprietary"]
+
+
+def test_scores_agree_with_prediction():
+    trained = licences.model()
+    for text, _ in licences.notices()[::29]:
+        _, _, own = licences._words(licences.np.frombuffer(text.encode(), licences.np.uint8))
+        p = trained.score(own, licences.np.array([0]), licences.np.array([len(own)]))[0]
+        family, q = trained.predict(text)
+        assert abs(p.max() - q) < 1e-4 and trained.families[p.argmax()] == family
+
+
+@pytest.mark.parametrize("text", ["Wir fahren morgen mit dem Rad.", "Das Kind kam mit.", "Sie hatte permission to enter, free of charge.", "Helicopters of the apache kind flew over the hills."])
+def test_other_talk_is_no_licence(text):
+    assert not any(sound for *_, sound in licences.scan_text(text.encode(), licences.model(), 0.6))
