@@ -1,11 +1,11 @@
 """Layout-aware HTML rendering to text.
 
 A tree builder closes implied tags (p, li, dt, dd, option, rows and cells), drops unmatched end tags and reads script,
-style and the like as raw text. Visibility rules leave out head, scripts, templates, `hidden`, display:none and
-visibility:hidden (which a descendant may undo). The renderer emits all visible text: blocks on lines of their own,
+style and the like as raw text. Visibility rules leave out head, scripts, templates, what svg and math only define or
+annotate, `hidden`, display:none and visibility:hidden (which a descendant may undo). The renderer emits all visible text: blocks on lines of their own,
 paragraphs, headings, lists and tables set apart by a blank line, nested lists indented with their markers, table
-cells padded to the width of their column (columns of more than MAX_PAD characters are not padded), white space
-collapsed except in pre. Neither step recurses, so nesting may be as deep as it likes.
+cells padded to the width of their column whatever it is, labels in drawings set apart by a space, white space collapsed
+except in pre. Neither step recurses, so nesting may be as deep as it likes.
 
 Defined cases: null or empty html gives an empty text; text outside any tag is kept; an unfinished tag or comment at
 the end is dropped; repeated rows give repeated results; other columns are ignored; an empty table gives an empty result.
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object video audio canvas svg math datalist".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object video audio canvas datalist".split())
+#: Within svg or math: what is defined, described or annotated there and not shown in its place.
+NOT_DRAWN = frozenset("defs symbol desc metadata clippath mask pattern marker annotation annotation-xml".split())
 LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr form fieldset".split())
 BLOCK = LOOSE | frozenset("html body div section article aside nav header footer main address li dt dd tr caption center figcaption details summary legend option optgroup select thead tbody tfoot dir menu search hgroup".split())
 #: A start tag of the key closes open elements of the value, up to the nearest of the barrier.
@@ -31,19 +33,22 @@ CLOSES_P = (BLOCK - frozenset("html body li dt dd tr caption option optgroup sel
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th", "caption"}, {"tr", "table"}), "th": ({"td", "th", "caption"}, {"tr", "table"}), "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "body": ({"head"}, set())}
 SCOPE = frozenset("table td th caption html body".split())
 IN_HEAD = frozenset("meta link title base script style noscript template".split())
-MAX_PAD = 120
 NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 QUOTED = re.compile(r"[\"'>]")
 SPACES = re.compile(r"[ \t\n\r\f]+")
-DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)", re.I)
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|$)", re.I | re.A) for tag in RAW}
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
-    """("text", data, {}), ("open", tag, attributes) and ("close", tag, {}) in order."""
+    """("text", data, {}), ("open", tag, attributes) and ("close", tag, {}) in order.
+
+    An open tag within svg or math that ends in "/>" has the attribute "/".
+    """
     at, n = 0, len(html)
-    low = None
+    foreign = 0
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
@@ -81,16 +86,20 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             return
         tag, at = name[0].lower(), q.end()
         if tag[0] == "/":
+            foreign -= foreign > 0 and tag[1:] in ("svg", "math")
             yield "close", tag[1:], {}
             continue
         attrs = {}
         for m in ATTR.finditer(html, name.end(), q.start()):
             attrs.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+        if (foreign or tag in ("svg", "math")) and html[q.start() - 1] == "/":
+            attrs["/"] = ""
+        elif tag in ("svg", "math"):
+            foreign += 1
         yield "open", tag, attrs
-        if tag in RAW:
-            low = html.lower() if low is None and len(html.lower()) == n else low
-            end = (low or html).find(f"</{tag}", at)
-            end = n if end < 0 else end
+        if tag in RAW and "/" not in attrs:
+            found = RAW_END[tag].search(html, at)
+            end = found.start() if found else n
             if end > at:
                 yield "text", html[at:end], {}
             at = end
@@ -143,7 +152,7 @@ def tree(html: str) -> Node:
                 counts["tr"] = counts.get("tr", 0) + 1
             node = Node("img" if data == "image" else data, attrs)
             stack[-1].children.append(node)
-            if data not in VOID:
+            if data not in VOID and "/" not in attrs:
                 stack.append(node)
                 counts[data] = counts.get(data, 0) + 1
         elif data == "br":
@@ -215,13 +224,13 @@ def laid_out(rows: list[list[tuple[str, int]]]) -> list[str]:
             if span == 1:
                 width[at] = max(width[at], *map(len, text.split("\n")))
             at += span
-    width = [w if w <= MAX_PAD else 0 for w in width]
     out = []
     for row in rows:
         cells = [(text.split("\n"), span) for text, span in row]
         for k in range(max((len(c) for c, _ in cells), default=0)):
             at, line = 0, []
-            for lines, span in cells:
+            last = max((i for i, (lines, _) in enumerate(cells) if k < len(lines) and lines[k]), default=-1)
+            for lines, span in cells[: last + 1]:
                 line.append((lines[k] if k < len(lines) else "").ljust(sum(width[at : at + span]) + 2 * (span - 1)))
                 at += span
             out.append("  ".join(line).rstrip())
@@ -242,7 +251,7 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     pages, tables, lists = [Page()], [], []
-    pre, seen = 0, [True]
+    pre, seen, foreign = 0, [True], 0
     work: list[tuple[bool, Node | str]] = [(True, tree(html))]
     while work:
         enter, node = work.pop()
@@ -261,7 +270,7 @@ def render(html: str | None) -> str:
             continue
         tag = node.tag
         if enter:
-            if _hidden(node):
+            if _hidden(node) or foreign and tag in NOT_DRAWN:
                 continue
             if tag == "br":
                 page.br()
@@ -298,10 +307,14 @@ def render(html: str | None) -> str:
                 page.indent += "  "
             elif tag in BLOCK:
                 page.apart(2 if tag in LOOSE else 1)
+            elif tag == "text" and foreign:
+                page.space = page.any and not (page.breaks or page.brs)
             pre += tag == "pre"
+            foreign += tag in ("svg", "math")
             continue
         seen.pop()
         pre -= tag == "pre"
+        foreign -= tag in ("svg", "math")
         if tag == "table":
             outside, rows = pages.pop().text(), tables.pop()
             page = pages[-1]
@@ -328,6 +341,8 @@ def render(html: str | None) -> str:
             page.apart(2 if tag in LOOSE else 1)
         elif tag in BLOCK:
             page.apart(2 if tag in LOOSE else 1)
+        elif tag == "text" and foreign:
+            page.space = page.any and not (page.breaks or page.brs)
     return pages[0].text()
 
 

@@ -38,3 +38,24 @@ def test_frames(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text int")
     assert sorted((r.text for r in extract(pages).collect())) == ["", "", "a", "a"]
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_formulas_and_drawings_are_text():
+    assert render("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then") == "If x=1 then"
+    assert render("<p>see <svg><path d='M0'/><defs><text>no</text></defs><title>no</title><text>north</text><text>south</text></svg> here") == "see north south here"
+    assert render("<svg><title/><defs/><text>a</text></svg><math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>") == "a y"
+    assert render("<symbol>shown</symbol>") == "shown"
+
+
+def test_only_whole_properties_hide():
+    assert render("<p style='backface-visibility: hidden'>a<p style='--display:none'>b<p style='color:red; visibility : HIDDEN'>c<p style='color:red;display:none'>d") == "a\n\nb"
+
+
+def test_raw_end_tags_in_any_case():
+    assert render("\u0130<SCRIPT>var a;</SCRIPT>after<style>x</STYLE >more<script>'</scripts>'</script>end") == "\u0130aftermoreend"
+
+
+def test_wide_columns_are_aligned():
+    wide = "w" * 300
+    lines = render(f"<table><tr><td>{wide}<td>a<tr><td>x<td>b<tr><td>y<td></table>").split("\n")
+    assert lines == [f"{wide}  a", "x".ljust(302) + "b", "y"]
