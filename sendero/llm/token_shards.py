@@ -116,7 +116,7 @@ def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key
         for ids, ends, names in _encoded(batches, file, end):
             ids, ends = np.concatenate((rest, ids.astype(kind))), ends + len(rest)
             m = len(ids) // length
-            last = np.searchsorted(ends, np.arange(1, m + 2) * length - 1)  # the text of each sequence's last id
+            last = np.searchsorted(ends, np.arange(1, m + 2) * length - 1, "right")  # the text of each sequence's last id
             begin = np.searchsorted(ends, np.arange(m + 1) * length, "right")
             owners = [(rest_docs if k == 0 else []) + names[begin[k] : last[k] + 1] for k in range(m + 1)]
             if m:

@@ -41,3 +41,17 @@ def test_shards_hold_every_token_once(spark, tmp_path):
     assert some == back[60:117]
     assert sorted(token_shards.read_slots(token_shards.write_shards(docs, length=32, per_shard=50)[0]).collect()) == back
     assert token_shards.write_shards(docs.limit(0))[1] == 0
+
+
+def test_docs_are_the_owners_of_the_tokens(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else "" if i % 3 else "some words " * (i % 11)) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert docs.rdd.getNumPartitions() == 1
+    owner = [r.id for r in bpe.encode(docs).collect() for _ in range(len(r.ids or []) + 1)]
+    for length in (1, 4, 7):
+        shards, n = token_shards.write_shards(docs, length=length, per_shard=50)
+        got = {r.slot: r.docs for r in token_shards.read_slots(shards).collect()}
+        slot = token_shards.Feistel(n, 20240101).slot(np.arange(n))
+        want = [list(dict.fromkeys(owner[k : k + length])) for k in range(0, len(owner), length)]
+        assert [got[s] for s in slot.tolist()] == want
