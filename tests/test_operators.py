@@ -1,3 +1,5 @@
+import itertools
+import re
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -70,3 +72,40 @@ def test_stream_lookup(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(r.id, r.entidad_id) for r in spark.sql("SELECT * FROM looked_up").collect()} == {(1, 5), (2, None)}
+
+
+def test_residual_candidates_of_courts_against_all_pairs(spark):
+    kinds = ["CIVIL MUNICIPAL", "PENAL MUNICIPAL", "CIVIL CIRCUITO", "LABORAL CIRCUITO"]
+    rows, i = [], 0
+    for kind in kinds:
+        for ordinal in ("PRIMERO", "SEGUNDO", "003", "12", ""):
+            for city in ("TUNJA", "PASTO", "CALI"):
+                for tail in ("", " ORALIDAD", " PEQUENAS CAUSAS", " 45"):
+                    i += 1
+                    rows.append((i, f"JUZGADO {ordinal} {kind} DE {city}{tail}".replace("  ", " "), "JUZGADO", kind, city if i % 3 else "", "", 1000 - i * 7 % 400))
+    schema = "entidad_id long, nombre string, tipo string, subtipo string, municipio string, departamento string, total_registros long"
+
+    def against(rows):
+        ents = spark.createDataFrame(rows, schema)
+        told = {r.entidad_id: r for r in ents.select("*", match.norm_suggest(F.col("nombre")).alias("norm"), match.key_words(F.col("nombre")).alias("words"), match.court_ordinal(F.col("nombre")).alias("ordinal")).collect()}
+        digits = {k: {*re.findall(r"\d+", r.norm)} for k, r in told.items()}
+        want = set()
+        for c, p in itertools.permutations(told.values(), 2):
+            a, b = {*c.words}, {*p.words}
+            if len(rows) > 200 and c.subtipo != p.subtipo or p.total_registros <= c.total_registros or len(a) < 2:
+                continue
+            if not a & b or len(a & b) / max(len(a), len(b)) < 0.5 or c.municipio and p.municipio and c.municipio != p.municipio:
+                continue
+            x, y = digits[c.entidad_id], digits[p.entidad_id]
+            if x and y and x != y or None not in (c.ordinal, p.ordinal) and c.ordinal != p.ordinal:
+                continue
+            if min(len(c.norm), len(p.norm)) / max(len(c.norm), len(p.norm)) >= 0.88 * 0.85:
+                want.add((c.entidad_id, p.entidad_id))
+        got = [(r.c_entidad_id, r.p_entidad_id) for r in match.residual_candidates(ents).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
+        return want
+
+    small = against(rows[::2])
+    large = against(rows)
+    subtype = {r[0]: r[3] for r in rows}
+    assert any(subtype[c] != subtype[p] for c, p in small) and all(subtype[c] == subtype[p] for c, p in large)
