@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sendero.llm._common import broadcast_if_small, written
+from sendero.llm._common import BATCH, broadcast_if_small, written
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -125,9 +125,30 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, "header string, payload binary")
 
 
+def reread(rebuilt: DataFrame) -> DataFrame:
+    """header, payload as parsed from each record's bytes; a revisit, whose record has none, keeps the payload it names."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            headers, payloads = [], []
+            for raw, full in zip(batch.column("record").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                found = list(parsed(raw))
+                if len(found) != 1 or not raw.endswith(END.encode()) or len(found[0][0].encode()) + len(found[0][1]) + len(END) != len(raw):
+                    raise ValueError("a record does not hold what its Content-Length says")
+                if full is not None and found[0][1]:
+                    raise ValueError("a revisit holds a payload")
+                headers.append(found[0][0].encode())
+                payloads.append(found[0][1] if full is None else full)
+            yield pa.RecordBatch.from_arrays([pa.array(headers, pa.binary()), pa.array(payloads, pa.binary())], names=["header", "payload"])
+
+    full = F.when(field("WARC-Type") == "revisit", F.col("payload"))
+    return rebuilt.select("record", full.alias("payload")).mapInArrow(parse, "header binary, payload binary")
+
+
 def op9_warc(spark, sf_dir: str) -> DataFrame:
-    """Archive pages, read the archive back: one row for each record."""
-    found = records(*write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    """Archive pages, rebuild and parse every record of the archive: one row for each."""
+    spark.conf.set(BATCH, 1000)
+    found = reread(records(*write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))))
     return found.select(page_of("WARC-Record-ID").alias("page_id"), F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), field("WARC-Type").alias("record_type"), page_of("WARC-Refers-To").alias("refers_to"))
 
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from sendero.llm import warc
@@ -21,3 +22,14 @@ def test_archive_round_trip(spark, tmp_path):
     read = sorted((r.header, bytes(r.payload)) for r in warc.read_files(spark, f"file://{tmp_path}/w").collect())
     assert read == sorted((bytes(r.header).decode(), b"" if b"revisit" in bytes(r.header) else bytes(r.payload)) for r in back.collect())
     assert warc.records(*warc.write_archive(pages.limit(0))).count() == 0
+
+
+def test_query_parses_the_records(spark, tmp_path, monkeypatch):
+    rows = [(1, "u", BIG), (2, "u", BIG), (3, "u", "s"), (4, None, "a\r\n\r\nb"), (5, "u", None)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.op9_warc(spark, str(tmp_path)).collect()}
+    assert got == {1: (1203, "revisit", 2), 2: (1203, "response", None), 3: (1, "response", None), 4: (6, "response", None), 5: (0, "response", None)}
+    whole = warc.records
+    monkeypatch.setattr(warc, "records", lambda *tables: whole(*tables).withColumn("record", F.concat("record", F.lit(b"x"))))
+    with pytest.raises(Exception, match="Content-Length|substring|subsection"):
+        warc.op9_warc(spark, str(tmp_path)).collect()
