@@ -5,9 +5,8 @@ STRIDE; chunks of CHUNK blocks, each overlapping the next by one, cover the whol
 max-pooled in each chunk; the mean and the maximum over the chunks feed a small dense layer and one logistic output.
 A filter is a table of weights by byte and offset, so a response is WIDTH table rows added up.
 
-Training: at most `per_class` labelled rows of each class (those of least hash) whose crc32(doc_id) mod 5 is not 0, of
-each at most TRAIN_CHUNKS evenly spaced chunks, and about SHORT short beginnings of those of label 1, which short
-clean texts resemble; Adam with a fixed seed. Scoring reads every byte of every text.
+Training: at most `per_class` labelled rows of each class (those of least hash) whose crc32(doc_id) mod 5 is not 0, with
+every byte of their texts, and about SHORT short beginnings of those of label 1, which short clean texts resemble; Adam with a fixed seed. Scoring reads every byte of every text.
 
 Defined cases: a null or empty text is one block of zeros and gets a score; null or repeated ids give rows of their
 own (a null id is not held out); labels without a document are ignored; other columns are ignored; with no usable label of one of
@@ -27,7 +26,7 @@ from pyspark.sql.types import DoubleType
 from sendero.llm._common import broadcast_if_small, pieces, strings
 
 WIDTH, STRIDE, BLOCK, CHUNK = 6, 2, 64, 8
-FILTERS, HIDDEN, TRAIN_CHUNKS = 24, 16, 12
+FILTERS, HIDDEN = 24, 16
 ACCEPT = 0.3
 SHORT = 500  # beginnings of sample texts of label 1, added to the sample as short texts of label 1
 
@@ -156,14 +155,6 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def _cut(raw: bytes) -> bytes:
-    """At most TRAIN_CHUNKS evenly spaced chunks of a text."""
-    size = BLOCK * CHUNK
-    if len(raw) <= size * TRAIN_CHUNKS:
-        return raw
-    return b"".join(raw[i : i + size] for i in np.linspace(0, len(raw) - size, TRAIN_CHUNKS).astype(int).tolist())
-
-
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **how: float) -> ByteNet | None:
     """Fit on a bounded sample of the labelled rows that are not held out."""
     own = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
@@ -173,13 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str
         return None
     chosen = docs.sparkSession.createDataFrame([(r.id, r.label) for r in sample], "id bigint, label int")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [_cut((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.binary()), batch.column("label")], names=["id", "text", "label"])
-
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    found = texts.join(broadcast_if_small(chosen, len(sample), 32), "id").select("id", "text", "label").mapInArrow(cut, "id bigint, text binary, label int")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    found = texts.join(broadcast_if_small(chosen, len(sample), 32), "id").select("id", "text", "label")
     rows = sorted({(r.id, bytes(r.text), r.label) for r in found.collect()})
     return fit([r[1] for r in rows], [r[2] for r in rows], **how)
 

@@ -33,3 +33,14 @@ def test_no_labels(spark):
     docs, labels = made(spark)
     assert {r.score for r in quality.score(docs, quality.train(docs, labels.limit(0))).collect()} == {0.5}
     assert quality.score(docs.limit(0), None).count() == 0
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    long = "good words " * 3000 + "a bad passage " + "good words " * 3000
+    docs = spark.createDataFrame([(i, long + str(i)) for i in range(8)] + [(8, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(9)], "doc_id bigint, quality int, toxic int")
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda texts, labels, **how: seen.update(zip(texts, labels, strict=True)))
+    quality.train(docs, labels)
+    used = [r.doc_id for r in docs.filter(~quality.held_out("doc_id")).collect()]
+    assert used and seen == {b"" if i == 8 else f"{long}{i}".encode(): i % 2 for i in used}
