@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +58,24 @@ def freed(df: DataFrame) -> DataFrame:
     return df
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, after which the worker, which Spark keeps for other tasks, hands its free memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return task
+
+
+def trim() -> None:
+    """Hand free memory of this process back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if give := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        give(0)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64, limit_mb: int = 64) -> DataFrame:
     """Hint a broadcast only when rows * row_bytes, both known beforehand, stay under limit_mb."""
     return F.broadcast(df) if rows * row_bytes <= limit_mb << 20 else df
@@ -122,6 +142,27 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((sums[end] - sums[start]) * powers(len(sums))[1][start])
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 8, most: int = 64) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end): eight bytes at a time, mixed after each; long spans by BLAKE2b."""
+    padded = np.concatenate((data, np.zeros(block, np.uint8)))
+    at = np.ndarray((len(data) + 1,), "<u8", padded.tobytes(), 0, (1,))
+    size = end - start
+    out = mixed(size.astype(U64) + U64(_BASE))
+    own, left = np.arange(len(start)), size
+    for k in range(0, most, block):
+        bits = np.minimum(left, block).astype(U64) * U64(8)
+        part = at[start[own] + k] & (~U64(0) >> (U64(64) - bits))
+        out[own] = mixed((out[own] ^ part) * U64(0xD6E8FEB86659FD93) + U64(k))
+        keep = left > block
+        own, left = own[keep], left[keep] - block
+        if not len(own):
+            return out
+    raw = data.tobytes() if len(own) else b""
+    for i in own.tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends of the words of several texts laid end to end, and the first word's index of each text (n+1).
 

@@ -13,11 +13,19 @@ estimated cost least: postings to read plus candidates to verify, which fall as
 4. Each posting list's most central member (that with the shingle foremost in its order) is a candidate for the others;
    each member is verified against two such centres: large groups of near copies fall into one component without
    their pairs.
-5. Of the lists that still hold several components, members outside a list's largest component are matched with all
-   others by length, position and number of shared prefix shingles, and verified. No pair is dropped: every pair of
-   two components that the prefixes allow is verified.
+5. Of the lists that still hold several components, those of at most `SMALL` members give pairs: members outside a
+   list's largest component are matched with all others by length, position and number of shared prefix shingles.
+6. Larger lists are re-centred: a list's member with the most such lists, c, is its centre, and every other member i is
+   replaced by D_i, the shingles in which it differs from c. With d = |D|, i and j differ in d_i + d_j - 2 |D_i and D_j|
+   shingles, so two members link if both are near c (then c links them), or else only if they share a part of their
+   deviations that grows with d_i and d_j. What all copies have in common is gone from the deviations, and prefixes
+   of these, rare before frequent again, meet in short lists. See `deviations` for the bounds.
 
-Verification compares the whole sets. Components come from alternating large and small stars on written tables.
+No pair is dropped: every pair of two components that the prefixes allow is verified, over whole sets. Components come
+from alternating large and small stars on written tables.
+
+Words are hashed to 64 bits block by block with a mixing step after each, longer ones than 64 bytes by BLAKE2b; shingles
+are 64-bit mixtures of these. Two different shingles of a pair of documents agree by chance once in 10^13 such pairs.
 
 Defined cases: texts without words (null, empty, white space) have no shingle and link with nothing; a text of fewer
 words than a shingle is one shingle; rows without id link with nothing and have no component; rows that repeat an id
@@ -34,17 +42,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, freed, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words, written
+from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, freed, lean, lowered, mixed, pieces, shingles, strings, word_hashes, words, written
 
 LONGEST = 8
 VERIFY = 10.0  # cost of a verification against that of reading a posting
+SMALL = 64  # members of a list that are matched pair by pair
+SALTS = 16  # parts of a large group that meet its centre's set apart
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, is_word: np.ndarray = NOT_SPACE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each of several texts laid end to end."""
     low = lowered(data)
     start, end, first = words(low, offsets, is_word)
-    own = span_hashes(prefix_sums(low), start, end)
+    own = word_hashes(low, start, end)
     grams = shingles(own, k)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= k:
@@ -75,7 +85,7 @@ def _documents(rows: DataFrame, k: int, seed: int) -> DataFrame:
             n, one, two = zip(*made, strict=True) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["id", "n", "key", "key2"])
 
-    return rows.mapInArrow(run, "id bigint, n bigint, key bigint, key2 bigint")
+    return rows.mapInArrow(lean(run), "id bigint, n bigint, key bigint, key2 bigint")
 
 
 def _by_range(of: np.ndarray, ranges: int, *columns: np.ndarray) -> Iterator[tuple]:
@@ -146,8 +156,8 @@ def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush:
                 own = keys[level == at]
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([len(own)], pa.int64()), pa.array([own.tobytes()], pa.binary())], names=["level", "n", "keys"])
 
-    runs = rows.mapInArrow(count, "range int, keys binary, counts binary").repartition(ranges, "range").sortWithinPartitions("range")
-    table = freed(written(runs.mapInArrow(total, "level int, n bigint, keys binary"), "frequent"))
+    runs = rows.mapInArrow(lean(count), "range int, keys binary, counts binary").repartition(ranges, "range").sortWithinPartitions("range")
+    table = freed(written(runs.mapInArrow(lean(total), "level int, n bigint, keys binary"), "frequent"))
     least, room = 64, known
     for r in table.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # one row a level
         if r.n > room:
@@ -174,17 +184,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple[
         yield at, [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def ranked(found: np.ndarray, keys: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Shingles in the global order, rare before frequent: their level of frequency and the upper bits of their hash."""
+    own = np.zeros(len(found), np.uint8)
+    if len(keys):
+        upper = (found >> U64(32)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(keys, upper), len(keys) - 1)
+        own = np.where(keys[at] == upper, level[at], own)
+    return np.sort(own.astype(U64) << U64(58) | found >> U64(6))
+
+
 def prefix(found: np.ndarray, keys: np.ndarray, level: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
     """The chosen prefix of a set in the global order, and its l."""
     n = len(found)
     need = -(-num * n // den)
-    if len(keys):
-        upper = (found >> U64(32)).astype(np.uint32)
-        at = np.minimum(np.searchsorted(keys, upper), len(keys) - 1)
-        own = np.where(keys[at] == upper, level[at], 0)
-    else:
-        own = np.zeros(n, np.uint8)
-    order = np.sort(own.astype(U64) << U64(58) | found >> U64(6))
+    order = ranked(found, keys, level)
     most = n - need + min(LONGEST, need)
     order = order[:most]
     read = np.cumsum(2.0 ** (order >> U64(58)).astype(np.float64) - 1)[n - need :]
@@ -192,57 +206,130 @@ def prefix(found: np.ndarray, keys: np.ndarray, level: np.ndarray, num: int, den
     return order[: n - need + ell], ell
 
 
-KINDS = (np.uint64, np.int64, np.uint32, np.uint32, np.uint8)
-ROW = "tok bigint, key bigint, n bigint, pos bigint, ell int"
+KINDS = {"tok": np.uint64, "key": np.int64, "n": np.uint32, "pos": np.uint32, "ell": np.uint8, "flags": np.uint8, "g": np.uint32, "grp": np.int64}
+
+
+def _met(runs: DataFrame, ranges: int, names: list[str]) -> DataFrame:
+    """Rows of the runs (range, tok, key, ... packed), a row for each token and class, of tokens of two or more classes."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _grouped(batches, tuple(KINDS[c] for c in names)):
+            tok, key = columns[:2]
+            order = np.lexsort((key, tok))
+            tok, key = tok[order], key[order]
+            fresh = np.concatenate(([True], (tok[1:] != tok[:-1]) | (key[1:] != key[:-1])))
+            order, tok = order[fresh], tok[fresh]
+            same = tok[1:] == tok[:-1]
+            order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+            for i in range(0, len(order), 20_000):
+                part = order[i : i + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(c[part].view(np.int64) if c.dtype == U64 else c[part].astype(np.int64)) for c in columns], names=names)
+
+    schema = ", ".join(f"{c} bigint" for c in names)
+    return runs.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(meet), schema)
+
+
+def _runs(held: list[tuple[np.ndarray, dict[str, object]]], ranges: int, names: list[str]) -> pa.RecordBatch:
+    """Tokens of several sets with what belongs to each set or token, packed by ranges of hashes."""
+    tok = np.concatenate([h[0] for h in held])
+    each = [len(h[0]) for h in held]
+    columns = [np.concatenate([np.broadcast_to(np.asarray(h[1][c], KINDS[c]), n) for h, n in zip(held, each, strict=True)]) for c in names[1:]]
+    made = list(zip(*_by_range(mixed(tok), ranges, tok, *columns), strict=True)) or [()] * (len(names) + 1)
+    return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int32()), *(pa.array(c, pa.binary()) for c in made[1:])], names=["range", *names])
+
+
+def _packed(emitted: Iterator[tuple[np.ndarray, dict[str, object]]], ranges: int, names: list[str], flush: int) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for tok, about in emitted:
+        held.append((tok, about))
+        size += len(tok)
+        if size >= flush:
+            yield _runs(held, ranges, names)
+            held, size = [], 0
+    if held:
+        yield _runs(held, ranges, names)
 
 
 def postings(rows: DataFrame, k: int, seed: int, num: int, den: int, keys: np.ndarray, level: np.ndarray, ranges: int, flush: int = 250_000) -> DataFrame:
     """(tok, key, n, pos, ell) of all prefix shingles that two or more classes share."""
     shared = rows.sparkSession.sparkContext.broadcast((keys, level))
+    names = ["tok", "key", "n", "pos", "ell"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = shared.value, [], 0
+        def chosen() -> Iterator[tuple[np.ndarray, dict[str, object]]]:
+            for key, found in _distinct_sets(batches, k, seed):
+                tok, ell = prefix(found, *shared.value, num, den)
+                yield tok, {"key": key, "n": len(found), "pos": np.arange(len(tok)), "ell": ell}
 
-        def flushed() -> pa.RecordBatch:
-            tok = np.concatenate([h[0] for h in held])
-            each = [len(h[0]) for h in held]
-            of = lambda i, kind: np.repeat(np.array([h[i] for h in held], kind), each)
-            pos = np.concatenate([np.arange(x, dtype=np.uint32) for x in each])
-            made = list(zip(*_by_range(mixed(tok), ranges, tok, of(1, np.int64), of(2, np.uint32), pos, of(3, np.uint8)), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int32()), *(pa.array(c, pa.binary()) for c in made[1:])], names=["range", "tok", "key", "n", "pos", "ell"])
-
-        for key, found in _distinct_sets(batches, k, seed):
-            chosen, ell = prefix(found, *known, num, den)
-            held.append((chosen, key, len(found), ell))
-            size += len(chosen)
-            if size >= flush:
-                yield flushed()
-                held, size = [], 0
-        if held:
-            yield flushed()
+        yield from _packed(chosen(), ranges, names, flush)
+
+    return _met(rows.mapInArrow(lean(emit), "range int, " + ", ".join(f"{c} binary" for c in names)), ranges, names)
+
+
+def deviations(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """members(grp, g, c, key) with n, nc, near (whether key links with c) and delta: the shingles in only one of both."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, delta, sizes = [], [], []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                p, q = np.frombuffer(x, U64), np.frombuffer(y, U64)
+                own = np.setxor1d(p, q, assume_unique=True)
+                common = (len(p) + len(q) - len(own)) // 2
+                near.append(den * common >= num * (len(p) + len(q) - common))
+                delta.append(own.tobytes())
+                sizes.append((len(p), len(q)))
+            n, nc = zip(*sizes, strict=True) if sizes else ((), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "g", "c", "key")), pa.array(n, pa.int64()), pa.array(nc, pa.int64()), pa.array(near, pa.bool_()), pa.array(delta, pa.binary())], names=["grp", "g", "c", "key", "n", "nc", "near", "delta"])
+
+    # A centre's set meets a large group in parts: no task gets all members of a group.
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+    centre = sets.join(members.select(F.col("c").alias("key")).distinct(), "key").select(F.col("key").alias("c"), F.col("found").alias("y"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    both = salted.join(sets.withColumnRenamed("found", "x"), "key").join(centre, ["c", "salt"])
+    return both.select("grp", "g", "c", "key", "x", "y").mapInArrow(lean(differ), "grp bigint, g bigint, c bigint, key bigint, n bigint, nc bigint, near boolean, delta binary")
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (tok, key, n, pos, ell) in _grouped(batches, KINDS):
-            order = np.lexsort((key, tok))
-            tok, key = tok[order], key[order]
-            fresh = np.concatenate(([True], (tok[1:] != tok[:-1]) | (key[1:] != key[:-1])))
-            order, tok, key = order[fresh], tok[fresh], key[fresh]
-            same = tok[1:] == tok[:-1]
-            many = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            order, tok, key = order[many], tok[many], key[many]
-            for i in range(0, len(tok), 50_000):
-                part = order[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(tok[i : i + 50_000].view(np.int64)), pa.array(key[i : i + 50_000]), pa.array(n[part].astype(np.int64)), pa.array(pos[part].astype(np.int64)), pa.array(ell[part].astype(np.int32))], names=["tok", "key", "n", "pos", "ell"])
 
-    runs = rows.mapInArrow(emit, "range int, tok binary, key binary, n binary, pos binary, ell binary").repartition(ranges, "range").sortWithinPartitions("range")
-    return runs.mapInArrow(meet, ROW)
+NEAR, SHORT = 1, 2
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def deviation_prefixes(d: int, n: int, nc: int, num: int, den: int) -> tuple[int, int]:
+    """How many shingles of a deviation, rare before frequent, can meet: (with one far from c, for one far from c also with one near c).
+
+    i and j link if and only if |D_i and D_j| >= (e_i + e_j) / 2, where e = d - K n and K = (den - num) / (den + num).
+    A member j that is far from c, not linked with it, has e_j > K nc. So i shares more than (e_i + K nc) / 2 shingles of
+    D_i with any far member. A near i that links with j has d_i >= |D_i and D_j|, hence shares at least e_j - K n_i with
+    it, and num n_i <= den n_j.
+    """
+    short = max(1, -(-(d * (den + num) + (den - num) * (nc - n)) // (2 * (den + num))))
+    long = max(1, -(-(d * num - n * (den - num)) // num))
+    return max(0, d - short + 1), max(0, d - long + 1)
+
+
+def deviation_lists(deltas: DataFrame, num: int, den: int, keys: np.ndarray, level: np.ndarray, ranges: int, flush: int = 100_000) -> DataFrame:
+    """(tok, key, n, flags, g, grp) of what deviations of one group share in their prefixes."""
+    shared = deltas.sparkSession.sparkContext.broadcast((keys, level))
+    names = ["tok", "key", "n", "flags", "g", "grp"]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chosen() -> Iterator[tuple[np.ndarray, dict[str, object]]]:
+            for batch in batches:
+                for grp, g, key, n, nc, near, delta in zip(*(batch.column(c).to_pylist() for c in ("grp", "g", "key", "n", "nc", "near", "delta")), strict=True):
+                    order = ranked(np.frombuffer(delta, U64), *shared.value)
+                    short, long = deviation_prefixes(len(order), n, nc, num, den)
+                    tok = order[: short if near else max(short, long)]
+                    flags = np.where(np.arange(len(tok)) < short, SHORT, 0) | (NEAR if near else 0)
+                    yield mixed(tok ^ mixed(np.full(1, grp, np.int64).view(U64))), {"key": key, "n": n, "flags": flags, "g": g, "grp": grp}
+
+        yield from _packed(chosen(), ranges, names, flush)
+
+    return _met(deltas.mapInArrow(lean(emit), "range int, " + ", ".join(f"{c} binary" for c in names)), ranges, names)
+
+
+def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node of its component) of the graph of edges(a, b)."""
     now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = None
-    for _ in range(rounds):
+    while True:  # every round but the last lowers a label
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -253,25 +340,23 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         was, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if mark == was:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    raise RuntimeError("components did not settle")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs(a, b) whose sets are similar enough."""
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, on: list[str] = []) -> DataFrame:  # noqa: B006
+    """The pairs(a, b) whose sets(key, n, found) are similar enough; sets of `on` may hold deviations from one centre instead."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(c).to_pylist() for c in ("x", "y"))
-            keep = np.zeros(len(left), bool)
-            for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                p, q = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = np.sort(np.concatenate((p, q)))
-                common = int((both[1:] == both[:-1]).sum())
-                keep[i] = den * common >= num * (len(p) + len(q) - common)
+            keep = np.zeros(len(batch), bool)
+            for i, (x, y, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("x", "y", "size")), strict=True)):
+                both = np.sort(np.concatenate((np.frombuffer(x, U64), np.frombuffer(y, U64))))
+                apart = len(both) - 2 * int((both[1:] == both[:-1]).sum())
+                keep[i] = (den - num) * size >= (den + num) * apart
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    x, y = sets.select(F.col("key").alias("a"), F.col("found").alias("x")), sets.select(F.col("key").alias("b"), F.col("found").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    x, y = (sets.select(*on, F.col("key").alias(c), F.col("found").alias(f), F.col("n").alias(m)) for c, f, m in (("a", "x", "nx"), ("b", "y", "ny")))
+    both = pairs.join(x, [*on, "a"]).join(y, [*on, "b"])
+    return both.select("a", "b", "x", "y", (F.col("nx") + F.col("ny")).alias("size")).mapInArrow(lean(verify), "a bigint, b bigint")
 
 
 def _possible(num: int, den: int) -> F.Column:
@@ -288,6 +373,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
         classes = written(listed.filter("id IS NOT NULL AND n > 0").groupBy("key").agg(F.min("id").alias("least"), F.min("key2").alias("lo"), F.max("key2").alias("hi"), F.max("n").alias("n")), "classes")
         if classes.filter("lo <> hi").isEmpty():
             break  # no two different sets share a key
+    else:
+        raise ValueError("different sets share a key under each of eight seeds")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranges = max(12, int(total) // 1_000_000)  # about so many shingles meet in a task
     keys, level = frequent(rows, k, seed, ranges, known)
@@ -301,12 +388,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
                 out.append(found.tobytes() if class_key(found, seed)[0] == want[i] else None)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "found"])
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The whole sets of the classes in pairs(a, b)."""
-        needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        needed = written(needed.join(classes, "key").select("key", F.col("least").alias("id")), "needed")
-        chosen = rows.join(broadcast_if_small(needed, needed.count(), 16), "id").select("key", "text").mapInArrow(emit, "key bigint, found binary")
-        return freed(written(chosen.filter("found IS NOT NULL").dropDuplicates(["key"]), "sets", 500))
+    def sets_of(needed: DataFrame) -> DataFrame:
+        """key, n, found: the whole sets of the classes in needed(key)."""
+        needed = written(needed.distinct().join(classes, "key").select("key", F.col("least").alias("id")), "needed")
+        chosen = rows.join(broadcast_if_small(needed, needed.count(), 16), "id").select("key", "text").mapInArrow(lean(emit), "key bigint, found binary")
+        found = freed(written(chosen.filter("found IS NOT NULL").dropDuplicates(["key"]), "sets", 200))
+        return found.withColumn("n", F.octet_length("found") / 8)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
 
     # The centre of each list against its other members.
     centres = lists.groupBy("tok").agg(F.min(F.struct("pos", "key", "n")).alias("c")).select("tok", F.col("c.key").alias("a"), F.col("c.n").alias("n2"), F.col("c.pos").alias("pos2"))
@@ -315,25 +405,55 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a1"), F.max("c").alias("c1"))
     least = stars.join(best, "b").filter("a <> a1").groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
     stars = written(best.select(F.col("a1").alias("a"), "b").unionByName(least.select("a", "b")), "stars")
-    links = freed(written(_linked(stars, sets_of(stars), num, den), "links", 64))
+    links = freed(written(_linked(stars, sets_of(ends(stars)), num, den), "links", 64))
     roots = components(links)
 
-    # Members of lists that hold several components.
-    own = lists.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    own = written(own, "rooted")
-    sizes = own.groupBy("tok", "root").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("tok").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count("*").alias("roots")).filter("roots > 1").select("tok", "major")
-    mixed_lists = own.join(largest, "tok")
-    other = mixed_lists.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("ell").alias("ell2"), F.col("root").alias("root2"))
-    outside = mixed_lists.filter("root <> major")
+    def rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """lists with each member's component, of those that hold several: and the largest of these, major, and the list's members."""
+        own = written(lists.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
+        sizes = own.groupBy("tok", "root").agg(F.count("*").alias("c"))
+        several = sizes.groupBy("tok").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count("*").alias("roots"), F.sum("c").alias("members"))
+        return own.join(several.filter("roots > 1").drop("roots"), "tok")
+
+    # Large lists of several components: every member against its list's centre.
+    mixed_lists = written(rooted(lists, roots), "mixed")
+    large = mixed_lists.filter(F.col("members") > SMALL)
+    in_large = written(large.groupBy("key").agg(F.count("*").alias("large")), "large")
+    deltas = None
+    if not in_large.isEmpty():
+        # Linked sets differ in size by den / num at most: their bands are the same or next to each other.
+        band = F.floor(F.log("n") / np.log(den / num) + 1e-9).cast("bigint")
+        banded = large.join(in_large, "key").select("tok", "key", "large", F.explode(F.array(band, band + 1)).alias("g"))
+        centre = banded.groupBy("tok", "g").agg(F.max_by("key", F.struct("large", "key")).alias("c"), F.count("*").alias("members")).filter("members > 1").drop("members")
+        members = banded.join(centre, ["tok", "g"]).select(F.xxhash64("c", "g").alias("grp"), "g", "c", "key").distinct().filter("c <> key")
+        members = written(members, "members")
+        found = sets_of(members.select("key").unionByName(members.select(F.col("c").alias("key"))))
+        deltas = freed(written(deviations(members, found, num, den), "deltas", 200))
+        links = written(links.unionByName(deltas.filter("near").select(F.col("c").alias("a"), F.col("key").alias("b"))), "links")
+        roots = components(links)
+
+    # Small lists of several components, pair by pair.
+    small = rooted(mixed_lists.filter(F.col("members") <= SMALL).select("tok", "key", "n", "pos", "ell"), roots).join(in_large, "key", "left").withColumn("large", F.coalesce("large", F.lit(0)))
+    small = written(small, "small")
+    other = small.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("ell").alias("ell2"), F.col("root").alias("root2"), F.col("large").alias("large2"))
+    outside = small.filter("root <> major")
     pairs = outside.join(other, "tok").filter((F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("major")) | (F.col("key") < F.col("b"))) & _possible(num, den))
-    # Of two documents' common shingles all but those behind the prefix of one of them are counted.
+    # Of two documents' common shingles all but those behind the prefix of one of them are counted; large lists are not here.
     behind = lambda n, ell: F.ceil(F.col(n) * num / den) - F.col(ell)
     needed = F.ceil((F.col("n") + F.col("n2")) * num / (num + den)) - F.greatest(behind("n", "ell"), behind("n2", "ell2"))
-    pairs = pairs.groupBy(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b2")).agg(F.count("*").alias("c"), F.max(F.greatest(needed, F.least("ell", "ell2"))).alias("least")).filter("c >= least").select("a", F.col("b2").alias("b"))
+    enough = F.greatest(needed, F.least("ell", "ell2")) - F.least("large", "large2")
+    pairs = pairs.groupBy(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b2")).agg(F.count("*").alias("c"), F.max(enough).alias("least")).filter("c >= least").select("a", F.col("b2").alias("b"))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = written(_linked(pairs, sets_of(pairs), num, den), "more", 64)
+    more = written(_linked(pairs, sets_of(ends(pairs)), num, den), "more", 64)
+    if deltas is not None:
+        met = rooted(deviation_lists(deltas, num, den, keys, level, 12), roots).select("tok", "key", "n", "flags", "g", "grp", "root")
+        met = written(met.withColumn("near", F.col("flags").bitwiseAND(NEAR) > 0).withColumn("short", F.col("flags").bitwiseAND(SHORT) > 0), "met")
+        other = met.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("near").alias("near2"), F.col("short").alias("short2"))
+        alike = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
+        pairs = met.filter("NOT near").join(other, "tok").filter((F.col("root") != F.col("root2")) & (F.col("near2") | (F.col("short") & F.col("short2") & (F.col("key") < F.col("b")))) & alike)
+        pairs = written(pairs.groupBy(F.col("key").alias("a"), "b").agg(F.min("grp").alias("grp")), "pairs")
+        more = more.unionByName(written(_linked(pairs, deltas.select("grp", "key", "n", F.col("delta").alias("found")), num, den, ["grp"]), "more", 64))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 

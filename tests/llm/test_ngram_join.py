@@ -65,6 +65,59 @@ def test_against_all_pairs(spark, k, num, den):
         assert sorted(((r.id, r.n_shingles, r.component_id) for r in out), key=str) == brute(rows, k, num, den)
 
 
+def spread(seed, copies, most):
+    """Copies of one text that differ from each other about as much as a link allows, some with edits in common."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    edits = [(rng.randrange(120), f"e{i}") for i in range(60)]
+    rows = []
+    for _ in range(copies):
+        copy = list(base)
+        for _ in range(rng.randrange(1, most)):
+            at, word = rng.choice(edits) if rng.random() < 0.7 else (rng.randrange(120), f"r{rng.random()}")
+            copy[at] = word
+        rows.append(" ".join(copy[: rng.choice([120, 120, 118, 109])]))
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize(("k", "num", "den", "most", "small"), [(3, 90, 100, 9, 64), (5, 4, 5, 12, 4), (1, 1, 2, 90, 2)])
+def test_large_group_without_a_centre(spark, monkeypatch, k, num, den, most, small):
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    rows = spread(k, 300, most)
+    rows += [(1000 + i, t) for i, t in spread(k + 7, 40, 4)]
+    out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), k=k, num=num, den=den).collect()
+    found = sorted(((r.id, r.n_shingles, r.component_id) for r in out), key=str)
+    assert found == brute(rows, k, num, den)
+    assert len({c for _, _, c in found}) > 20
+
+
+def test_deviation_prefixes_lose_no_link():
+    rng = random.Random(4)
+    for _ in range(20_000):
+        num, den = rng.choice([(9, 10), (4, 5), (1, 2)])
+        universe = range(rng.choice([20, 60]))
+        c = set(rng.sample(universe, rng.randrange(5, len(universe))))
+        x, y = (c ^ set(rng.sample(universe, min(len(universe), int(rng.paretovariate(0.6))))) for _ in range(2))
+        linked = lambda p, q: den * len(p & q) >= num * len(p | q)
+        if not x or not y or not linked(x, y) or (linked(x, c) and linked(y, c)):
+            continue
+        cut = []
+        for p in (x, y):
+            order = sorted(p ^ c)
+            short, long = ngram_join.deviation_prefixes(len(order), len(p), len(c), num, den)
+            cut.append((set(order[:short]), set(order[: short if linked(p, c) else max(short, long)])))
+        (sx, lx), (sy, ly) = cut
+        assert sx & ly if linked(x, c) else lx & sy if linked(y, c) else sx & sy
+
+
+def test_long_words_that_agree_in_every_power_sum(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(0, one[:1024]), (1, other[:1024]), (2, one), (3, other), (4, f"{one} x"), (5, f"{one} x"), (6, "a" * 8 + "b"), (7, "a" * 9)]
+    out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.id: r.component_id for r in out} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert ngram_join.near_duplicates(docs).count() == 0
