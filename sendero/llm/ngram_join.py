@@ -15,11 +15,12 @@ estimated cost least: postings to read plus candidates to verify, which fall as
    their pairs.
 5. Of the lists that still hold several components, those of at most `SMALL` members give pairs: members outside a
    list's largest component are matched with all others by length, position and number of shared prefix shingles.
-6. Larger lists are re-centred: a list's member with the most such lists, c, is its centre, and every other member i is
-   replaced by D_i, the shingles in which it differs from c. With d = |D|, i and j differ in d_i + d_j - 2 |D_i and D_j|
-   shingles, so two members link if both are near c (then c links them), or else only if they share a part of their
-   deviations that grows with d_i and d_j. What all copies have in common is gone from the deviations, and prefixes
-   of these, rare before frequent again, meet in short lists. See `deviations` for the bounds.
+6. Larger lists are re-centred: lists that share a member of many lists form a group, c is the member next to what most
+   of its members hold, and every other member i is replaced by D_i, the shingles in which it differs from c. With
+   d = |D|, i and j differ in d_i + d_j - 2 |D_i and D_j| shingles, so two members link if both are near c (then c links
+   them), or else only if they share a part of their deviations that grows with d_i and d_j. What all copies have in
+   common is gone from the deviations, and prefixes of these, rare in the group before frequent in the group, meet in
+   short lists. See `deviation_prefixes` for the bounds.
 
 No pair is dropped: every pair of two components that the prefixes allow is verified, over whole sets. Components come
 from alternating large and small stars on written tables.
@@ -206,7 +207,7 @@ def prefix(found: np.ndarray, keys: np.ndarray, level: np.ndarray, num: int, den
     return order[: n - need + ell], ell
 
 
-KINDS = {"tok": np.uint64, "key": np.int64, "n": np.uint32, "pos": np.uint32, "ell": np.uint8, "flags": np.uint8, "g": np.uint32, "grp": np.int64}
+KINDS = {"tok": np.uint64, "key": np.int64, "n": np.uint32, "pos": np.uint32, "ell": np.uint8, "flags": np.uint8, "grp": np.int64, "size": np.int64}
 
 
 def _met(runs: DataFrame, ranges: int, names: list[str]) -> DataFrame:
@@ -266,30 +267,116 @@ def postings(rows: DataFrame, k: int, seed: int, num: int, den: int, keys: np.nd
     return _met(rows.mapInArrow(lean(emit), "range int, " + ", ".join(f"{c} binary" for c in names)), ranges, names)
 
 
+def _salted(df: DataFrame) -> DataFrame:
+    """Rows of a group in SALTS parts by their key, so that no task gets all members of a group."""
+    return df.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+
+
+def _for_each_salt(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+
+
+DELTAS = "grp bigint, own boolean, size bigint, key bigint, n bigint, c bigint, near boolean, delta binary"
+
+
 def deviations(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """members(grp, g, c, key) with n, nc, near (whether key links with c) and delta: the shingles in only one of both."""
+    """members(grp, own, size, key, c) with n, near (whether key links with c) and delta: the shingles in only one of both."""
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near, delta, sizes = [], [], []
+            near, delta, n = [], [], []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 p, q = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                own = np.setxor1d(p, q, assume_unique=True)
-                common = (len(p) + len(q) - len(own)) // 2
-                near.append(den * common >= num * (len(p) + len(q) - common))
-                delta.append(own.tobytes())
-                sizes.append((len(p), len(q)))
-            n, nc = zip(*sizes, strict=True) if sizes else ((), ())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "g", "c", "key")), pa.array(n, pa.int64()), pa.array(nc, pa.int64()), pa.array(near, pa.bool_()), pa.array(delta, pa.binary())], names=["grp", "g", "c", "key", "n", "nc", "near", "delta"])
+                apart = np.setxor1d(p, q, assume_unique=True)
+                near.append((den - num) * (len(p) + len(q)) >= (den + num) * len(apart))
+                delta.append(apart.tobytes())
+                n.append(len(p))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "own", "size", "key")), pa.array(n, pa.int64()), batch.column("c"), pa.array(near, pa.bool_()), pa.array(delta, pa.binary())], names=["grp", "own", "size", "key", "n", "c", "near", "delta"])
+
+    centre = sets.join(members.select(F.col("c").alias("key")).distinct(), "key").select(F.col("key").alias("c"), F.col("found").alias("y"))
+    both = _salted(members).join(sets.select("key", F.col("found").alias("x")), "key").join(_for_each_salt(centre), ["c", "salt"])
+    return both.select("grp", "own", "size", "key", "c", "x", "y").mapInArrow(lean(differ), DELTAS)
+
 
-    # A centre's set meets a large group in parts: no task gets all members of a group.
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
-    centre = sets.join(members.select(F.col("c").alias("key")).distinct(), "key").select(F.col("key").alias("c"), F.col("found").alias("y"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
-    both = salted.join(sets.withColumnRenamed("found", "x"), "key").join(centre, ["c", "salt"])
-    return both.select("grp", "g", "c", "key", "x", "y").mapInArrow(lean(differ), "grp bigint, g bigint, c bigint, key bigint, n bigint, nc bigint, near boolean, delta binary")
+SHARE = 64
 
 
-NEAR, SHORT = 1, 2
+def common_deviations(deltas: DataFrame, ranges: int, flush: int = 250_000) -> DataFrame:
+    """grp, toks, counts: what a SHARE-th of a group's members (two at least) deviate in, and how many do. At most SHARE times the mean deviation."""
+    names = ["tok", "grp", "size"]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def all_of() -> Iterator[tuple[np.ndarray, dict[str, object]]]:
+            for batch in batches:
+                for grp, size, delta in zip(*(batch.column(c).to_pylist() for c in ("grp", "size", "delta")), strict=True):
+                    yield np.frombuffer(delta, U64), {"grp": grp, "size": size}
+
+        yield from _packed(all_of(), ranges, names, flush)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (tok, grp, size) in _grouped(batches, tuple(KINDS[c] for c in names)):
+            order = np.lexsort((tok, grp))
+            tok, grp, size = tok[order], grp[order], size[order]
+            first = np.flatnonzero(np.concatenate(([True], (tok[1:] != tok[:-1]) | (grp[1:] != grp[:-1]))))
+            c = np.diff(np.append(first, len(tok)))
+            keep = c >= np.maximum(2, size[first] // SHARE)
+            first, c = first[keep], c[keep]
+            own, at = np.unique(grp[first], return_index=True)
+            parts = [(g, tok[first[i:j]].tobytes(), c[i:j].astype(np.uint32).tobytes()) for g, i, j in zip(own.tolist(), at.tolist(), [*at[1:].tolist(), len(first)], strict=True)]
+            g, toks, counts = zip(*parts, strict=True) if parts else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(toks, pa.binary()), pa.array(counts, pa.binary())], names=["grp", "toks", "counts"])
+
+    runs = deltas.mapInArrow(lean(emit), "range int, " + ", ".join(f"{c} binary" for c in names))
+    parts = runs.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(count), "grp bigint, toks binary, counts binary")
+    pairs = F.collect_list(F.struct("toks", "counts"))
+    joined = lambda c: F.aggregate(pairs_of(c), F.lit(b""), lambda acc, x: F.concat(acc, x))
+    pairs_of = lambda c: F.transform("parts", lambda p: p[c])
+    return parts.groupBy("grp").agg(pairs.alias("parts")).select("grp", joined("toks").alias("toks"), joined("counts").alias("counts"))
+
+
+def recentred(deltas: DataFrame, num: int, den: int, ranges: int) -> DataFrame:
+    """Deviations from each group's most central member c, which has no row, with their prefixes: tokens, and how many meet any far member."""
+    common = written(common_deviations(deltas, ranges), "common")
+
+    def distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for size, delta, toks, counts in zip(*(batch.column(c).to_pylist() for c in ("size", "delta", "toks", "counts")), strict=True):
+                most = np.frombuffer(toks or b"", U64)[2 * np.frombuffer(counts or b"", np.uint32).astype(np.int64) > size]
+                out.append(len(np.setxor1d(np.frombuffer(delta, U64), most, assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("key"), pa.array(out, pa.int64())], names=["grp", "key", "far"])
+
+    about = _salted(deltas).join(_for_each_salt(common), ["grp", "salt"], "left")
+    best = about.select("grp", "key", "size", "delta", "toks", "counts").mapInArrow(lean(distance), "grp bigint, key bigint, far bigint").groupBy("grp").agg(F.min_by("key", F.struct("far", "key")).alias("key"))
+    centre = deltas.join(best, ["grp", "key"]).groupBy("grp").agg(F.min("key").alias("centre"), F.min("n").alias("nc"), F.min("delta").alias("origin"))
+    centre = written(centre.join(common, "grp", "left"), "centre", 200)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for n, size, delta, nc, origin, toks, counts in zip(*(batch.column(c).to_pylist() for c in ("n", "size", "delta", "nc", "origin", "toks", "counts")), strict=True):
+                origin, toks, counts = np.frombuffer(origin, U64), np.frombuffer(toks or b"", U64), np.frombuffer(counts or b"", np.uint32).astype(np.int64)
+                own = np.setxor1d(np.frombuffer(delta, U64), origin, assume_unique=True)
+                # The members that deviate in a shingle of the centre's own deviation are all the others.
+                order = np.argsort(toks)
+                toks, counts = toks[order], counts[order]
+                often = np.zeros(len(own), np.int64)
+                if len(toks):
+                    at = np.minimum(np.searchsorted(toks, own), len(toks) - 1)
+                    often = np.where(toks[at] == own, counts[at], 0)
+                often = np.where(np.isin(own, origin, assume_unique=True), size - often, often)
+                near = (den - num) * (n + nc) >= (den + num) * len(own)
+                short, long = deviation_prefixes(len(own), n, nc, num, den)
+                first = own[np.lexsort((own, often))][: short if near else max(short, long)]
+                made.append((near, own.tobytes(), first.tobytes(), min(short, len(first))))
+            near, delta, first, short = zip(*made, strict=True) if made else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "own", "key", "n", "centre")), pa.array(near, pa.bool_()), pa.array(delta, pa.binary()), pa.array(first, pa.binary()), pa.array(short, pa.int64())], names=["grp", "own", "key", "n", "c", "near", "delta", "first", "short"])
+
+    moved = _salted(deltas).join(_for_each_salt(centre), ["grp", "salt"]).filter("key <> centre").select("grp", "own", "size", "key", "n", "delta", "centre", "nc", "origin", "toks", "counts")
+    return moved.mapInArrow(lean(move), "grp bigint, own boolean, key bigint, n bigint, c bigint, near boolean, delta binary, first binary, short bigint")
+
+
+NEAR, SHORT, OWN = 1, 2, 4
 
 
 def deviation_prefixes(d: int, n: int, nc: int, num: int, den: int) -> tuple[int, int]:
@@ -305,20 +392,17 @@ def deviation_prefixes(d: int, n: int, nc: int, num: int, den: int) -> tuple[int
     return max(0, d - short + 1), max(0, d - long + 1)
 
 
-def deviation_lists(deltas: DataFrame, num: int, den: int, keys: np.ndarray, level: np.ndarray, ranges: int, flush: int = 100_000) -> DataFrame:
-    """(tok, key, n, flags, g, grp) of what deviations of one group share in their prefixes."""
-    shared = deltas.sparkSession.sparkContext.broadcast((keys, level))
-    names = ["tok", "key", "n", "flags", "g", "grp"]
+def deviation_lists(deltas: DataFrame, ranges: int, flush: int = 100_000) -> DataFrame:
+    """(tok, key, n, flags, grp) of what deviations of one group share in their prefixes."""
+    names = ["tok", "key", "n", "flags", "grp"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def chosen() -> Iterator[tuple[np.ndarray, dict[str, object]]]:
             for batch in batches:
-                for grp, g, key, n, nc, near, delta in zip(*(batch.column(c).to_pylist() for c in ("grp", "g", "key", "n", "nc", "near", "delta")), strict=True):
-                    order = ranked(np.frombuffer(delta, U64), *shared.value)
-                    short, long = deviation_prefixes(len(order), n, nc, num, den)
-                    tok = order[: short if near else max(short, long)]
-                    flags = np.where(np.arange(len(tok)) < short, SHORT, 0) | (NEAR if near else 0)
-                    yield mixed(tok ^ mixed(np.full(1, grp, np.int64).view(U64))), {"key": key, "n": n, "flags": flags, "g": g, "grp": grp}
+                for grp, own, key, n, near, first, short in zip(*(batch.column(c).to_pylist() for c in ("grp", "own", "key", "n", "near", "first", "short")), strict=True):
+                    tok = np.frombuffer(first, U64)
+                    flags = np.where(np.arange(len(tok)) < short, SHORT, 0) | (NEAR if near else 0) | (OWN if own else 0)
+                    yield mixed(tok ^ mixed(np.full(1, grp, np.int64).view(U64))), {"key": key, "n": n, "flags": flags, "grp": grp}
 
         yield from _packed(chosen(), ranges, names, flush)
 
@@ -423,13 +507,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     if not in_large.isEmpty():
         # Linked sets differ in size by den / num at most: their bands are the same or next to each other.
         band = F.floor(F.log("n") / np.log(den / num) + 1e-9).cast("bigint")
-        banded = large.join(in_large, "key").select("tok", "key", "large", F.explode(F.array(band, band + 1)).alias("g"))
-        centre = banded.groupBy("tok", "g").agg(F.max_by("key", F.struct("large", "key")).alias("c"), F.count("*").alias("members")).filter("members > 1").drop("members")
-        members = banded.join(centre, ["tok", "g"]).select(F.xxhash64("c", "g").alias("grp"), "g", "c", "key").distinct().filter("c <> key")
+        banded = large.join(in_large, "key").select("tok", "key", F.struct("large", "key").alias("rank"), F.posexplode(F.array(band, band + 1)).alias("own", "g"))
+        # Of each list the member of most large lists; lists whose chosen members meet in another list go with that list's.
+        banded = written(banded.withColumn("own", F.col("own") == 0), "banded")
+        chosen = banded.groupBy("tok", "g").agg(F.max("rank").alias("top"), F.count("*").alias("members")).filter("members > 1").select("tok", "g", "top")
+        for _ in range(2):
+            above = banded.join(chosen, ["tok", "g"]).groupBy("key", "g").agg(F.max("top").alias("above"))
+            chosen = chosen.join(above, (above["key"] == F.col("top.key")) & (above["g"] == chosen["g"]), "left").select("tok", chosen["g"], F.coalesce("above", "top").alias("top"))
+        members = banded.join(chosen, ["tok", "g"]).select(F.xxhash64("top.key", "g").alias("grp"), "own", F.col("top.key").alias("c"), "key").distinct()
         members = written(members, "members")
+        members = members.join(members.groupBy("grp").agg(F.count("*").alias("size")), "grp")
         found = sets_of(members.select("key").unionByName(members.select(F.col("c").alias("key"))))
-        deltas = freed(written(deviations(members, found, num, den), "deltas", 200))
-        links = written(links.unionByName(deltas.filter("near").select(F.col("c").alias("a"), F.col("key").alias("b"))), "links")
+        first = freed(written(deviations(members, found, num, den), "deltas", 200))
+        deltas = freed(written(recentred(first, num, den, 12), "moved", 200))
+        near = first.filter("near AND c <> key").unionByName(deltas.filter("near"), allowMissingColumns=True)
+        links = written(links.unionByName(near.select(F.col("c").alias("a"), F.col("key").alias("b"))), "links")
         roots = components(links)
 
     # Small lists of several components, pair by pair.
@@ -447,10 +539,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, kno
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     more = written(_linked(pairs, sets_of(ends(pairs)), num, den), "more", 64)
     if deltas is not None:
-        met = rooted(deviation_lists(deltas, num, den, keys, level, 12), roots).select("tok", "key", "n", "flags", "g", "grp", "root")
-        met = written(met.withColumn("near", F.col("flags").bitwiseAND(NEAR) > 0).withColumn("short", F.col("flags").bitwiseAND(SHORT) > 0), "met")
-        other = met.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("near").alias("near2"), F.col("short").alias("short2"))
-        alike = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
+        met = rooted(deviation_lists(deltas, 12), roots)
+        met = written(met.select("tok", "key", "n", "grp", "root", *(F.col("flags").bitwiseAND(bit).cast("boolean").alias(c) for c, bit in (("near", NEAR), ("short", SHORT), ("own", OWN)))), "met")
+        other = met.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("near").alias("near2"), F.col("short").alias("short2"), F.col("own").alias("own2"))
+        alike = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (F.col("own") | F.col("own2"))  # both from below: they meet in their own band
         pairs = met.filter("NOT near").join(other, "tok").filter((F.col("root") != F.col("root2")) & (F.col("near2") | (F.col("short") & F.col("short2") & (F.col("key") < F.col("b")))) & alike)
         pairs = written(pairs.groupBy(F.col("key").alias("a"), "b").agg(F.min("grp").alias("grp")), "pairs")
         more = more.unionByName(written(_linked(pairs, deltas.select("grp", "key", "n", F.col("delta").alias("found")), num, den, ["grp"]), "more", 64))
