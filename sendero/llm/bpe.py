@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import pieces, prefix_sums, span_hashes, strings
+from sendero.llm._common import lean, pieces, prefix_sums, span_hashes, strings
 
 NEVER = 1 << 62
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -345,7 +345,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 ids, at = bpe.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["id", "ids"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -358,7 +358,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             texts = [bytes(bpe.decode(np.array(x or [], np.int64), np.array([0, len(x or [])]))[0]).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return encoded.select("id", "ids").mapInArrow(run, f"id {encoded.schema['id'].dataType.simpleString()}, text string")
+    return encoded.select("id", "ids").mapInArrow(lean(run), f"id {encoded.schema['id'].dataType.simpleString()}, text string")
 
 
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -378,7 +378,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.array(np.diff(at)), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import ALNUM, U64, broadcast_if_small, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words
+from sendero.llm._common import ALNUM, U64, broadcast_if_small, lean, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words
 
 MASK = (1 << 22) - 1
 
@@ -102,7 +102,7 @@ def _scan(rows: DataFrame, gram: int, span: int, short: list[int], seen: bytes |
                         col.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()), strict=True)], names=["rid", "id", "n_words", "at", "size", "h", "before", "context"])
 
-    return rows.mapInArrow(scan, OUT)
+    return rows.mapInArrow(lean(scan), OUT)
 
 
 def extended(context: str, before: int, other: str, other_before: int, size: int) -> tuple[int, int]:
@@ -131,7 +131,7 @@ def _verified(pairs: DataFrame, gram: int, span: int) -> DataFrame:
                 item.append(i if hit else None)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("id"), batch.column("n_words"), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(item, pa.int64())], names=["rid", "id", "n_words", "lo", "hi", "item_id"])
 
-    return pairs.mapInArrow(verify, "rid bigint, id bigint, n_words bigint, lo bigint, hi bigint, item_id bigint")
+    return pairs.mapInArrow(lean(verify), "rid bigint, id bigint, n_words bigint, lo bigint, hi bigint, item_id bigint")
 
 
 def contamination(docs: DataFrame, items: DataFrame, gram: int = 5, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from sendero.llm._common import broadcast_if_small, pieces, strings
+from sendero.llm._common import broadcast_if_small, pieces, strings, trim
 
 WIDTH, STRIDE, BLOCK, CHUNK = 6, 2, 64, 8
 FILTERS, HIDDEN = 24, 16
 ACCEPT = 0.3
+PIECE = 1 << 18  # bytes of texts scored together
 SHORT = 500  # beginnings of sample texts of label 1, added to the sample as short texts of label 1
 
 
@@ -170,16 +171,20 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str
     return fit([r[1] for r in rows], [r[2] for r in rows], **how)
 
 
-def score(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
-    """docs with the column `score`, 0 to 1: how likely label 1 is; every column of docs is kept."""
+def score(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out: str = "score") -> DataFrame:
+    """docs with the column `out`, 0 to 1: how likely label 1 is. Every column of docs is kept, so `out` must be a new name."""
+    if out.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"docs has a column {out} already")
 
     @F.arrow_udf(DoubleType())
-    def of(texts: pa.Array) -> pa.Array:
-        data, offsets = strings(texts)
-        parts = [np.full(b - a, 0.5) if net is None else net.scores(data, offsets[a : b + 1]) for a, b in pieces(offsets)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-
-    return docs.withColumn("score", of(F.col(text_col)))
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            data, offsets = strings(texts)
+            parts = [np.full(b - a, 0.5) if net is None else net.scores(data, offsets[a : b + 1]) for a, b in pieces(offsets, PIECE)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        trim()
+
+    return docs.withColumn(out, of(F.col(text_col)))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
