@@ -24,8 +24,10 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     spark.conf.set(BATCH, ROWS)
     net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    columns = docs.columns
-    return quality.score(docs, net).filter(F.col("score") >= quality.ACCEPT).select(*columns)
+    columns, own = docs.columns, "_score"
+    while own.lower() in (c.lower() for c in columns):
+        own += "_"
+    return quality.score(docs, net, out=own).filter(F.col(own) >= quality.ACCEPT).select(*columns)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
