@@ -1,10 +1,15 @@
 """Exact dedup by a log-structured merge index of text digests.
 
-A task collects (digest, extreme id, count) in a memtable. A full memtable is flushed as a sorted run for each
-range of digests, together with a Bloom filter. Compaction reads all runs of a range: an entry that no other run's
-filter knows, and that was counted once, is unique and costs no search; the others are merged, keeping the extreme id.
-Rows whose digest is a hit are then compared byte by byte with the row that stays; rows that share a digest and no
-bytes are taken apart and grouped again, so that even a weak digest gives exact groups.
+A task collects (digest, id) in a memtable. A full memtable is flushed as a sorted run with a Bloom filter, a digest
+once with its extreme id and count. Every FANIN runs of a level are merged into one run of the next; a run that has
+grown to SHIPPED entries, and what is left at a task's end, is cut by ranges of digests. Compaction reads the runs of a
+range and merges them by levels in the same way. In a merge, an entry that no other run's filter knows is unique there
+and is only put in its place; the others are compared, keeping the extreme id. An entry takes part in as many merges
+as there are levels, so work grows as the entries times the logarithm of the runs.
+
+Rows whose digest is a hit are then compared byte by byte with the row that stays, large groups in parts of PART rows
+that each get that row's text; rows that share a digest and no bytes are taken apart and grouped again, so that even a
+weak digest gives exact groups.
 
 Defined cases: a null text counts as empty; a null id never wins over another id; rows that repeat id and text count
 each in the group's size and share their fate; other columns are ignored; an empty table gives an empty result.
@@ -19,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import broadcast_if_small, digest, written
+from sendero.llm._common import broadcast_if_small, digest, lean, strings, written
 
 RUN = "bucket int, digests binary, ids binary, counts binary, filter binary"
+FANIN, SHIPPED, PART = 8, 400_000, 512
+Run = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # digests (n rows of four words, in order), ids, counts, filter
 NO_ID = {"largest": -(1 << 63), "smallest": (1 << 63) - 1}
 
 
@@ -44,79 +51,124 @@ def in_bloom(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (probe(keys[:, 0] & np.uint64(size - 1)) & probe(keys[:, 1] & np.uint64(size - 1))).astype(bool)
 
 
-def merge_runs(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Compaction of (digests n*4, ids, counts, filter) runs: the digests counted more than once, their extreme ids and counts."""
-    found = []
-    for i, (keys, ids, counts, _) in enumerate(runs):
-        some = counts > 1
-        for j, other in enumerate(runs):
-            if j != i:
-                rest = np.flatnonzero(~some)
-                some[rest] = in_bloom(other[3], keys[rest])
-        found.append((keys[some], ids[some], counts[some]))
-    keys, ids, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+def _reduced(keys: np.ndarray, ids: np.ndarray, counts: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In order, each digest once with its extreme id and the sum of its counts."""
     if not len(keys):
         return keys, ids, counts
     order = np.lexsort(keys.T[::-1])
     keys, ids, counts = keys[order], ids[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
-    ids = (np.maximum if keep == "largest" else np.minimum).reduceat(ids, first)
-    counts = np.add.reduceat(counts, first)
-    return keys[first][counts > 1], ids[counts > 1], counts[counts > 1]
+    return keys[first], (np.maximum if keep == "largest" else np.minimum).reduceat(ids, first), np.add.reduceat(counts, first)
+
 
+def flushed(keys: np.ndarray, ids: np.ndarray, keep: str) -> Run:
+    """A memtable's rows as a run."""
+    keys, ids, counts = _reduced(keys, ids, np.ones(len(ids), np.int64), keep)
+    return keys, ids, counts, bloom(keys)
 
-def _flush(table: dict[bytes, list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Sorted runs, one for each bucket (a range of digests), each with its filter."""
-    order = sorted(table)
-    keys = np.frombuffer(b"".join(order), ">u8").reshape(-1, 4).astype(np.uint64)
-    ids, counts = np.array([table[k] for k in order], np.int64).T
+
+def merge_runs(runs: list[Run], keep: str) -> Run:
+    """One run of several. What no other run's filter knows is unique here and is compared with nothing."""
+    if len(runs) == 1:
+        return runs[0]
+    alone, shared = [], []
+    for i, (keys, ids, counts, _) in enumerate(runs):
+        some = np.zeros(len(keys), bool)
+        for j, other in enumerate(runs):
+            if j != i:
+                rest = np.flatnonzero(~some)
+                some[rest] = in_bloom(other[3], keys[rest])
+        alone.append((keys[~some], ids[~some], counts[~some]))
+        shared.append((keys[some], ids[some], counts[some]))
+    merged = _reduced(*(np.concatenate(x) for x in zip(*shared, strict=True)), keep)
+    keys, ids, counts = (np.concatenate(x) for x in zip(*alone, merged, strict=True))
+    order = np.argsort(keys[:, 0], kind="stable")
+    if len(order) > 1 and (keys[order[1:], 0] == keys[order[:-1], 0]).any():  # first words seldom tell too little
+        order = np.lexsort(keys.T[::-1])
+    keys = keys[order]
+    return keys, ids[order], counts[order], bloom(keys)
+
+
+class Levels:
+    """Runs by level; FANIN runs of one level become one of the next."""
+
+    def __init__(self, keep: str) -> None:
+        self.keep, self.levels = keep, [[]]
+
+    def add(self, run: Run) -> None:
+        self.levels[0].append(run)
+        for k, level in enumerate(self.levels):
+            if len(level) < FANIN:
+                return
+            if k + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[k + 1].append(merge_runs(level, self.keep))
+            level.clear()
+
+    def grown(self, least: int) -> Iterator[Run]:
+        """The runs of at least so many entries, which leave."""
+        for level in self.levels:
+            yield from (run for run in level if len(run[1]) >= least)
+            level[:] = [run for run in level if len(run[1]) < least]
+
+    def merged(self) -> list[Run]:
+        """All that is left as one run, or none."""
+        held = [run for level in self.levels for run in level]
+        while len(held) > 1:
+            held = [merge_runs(held[i : i + FANIN], self.keep) for i in range(0, len(held), FANIN)]
+        self.levels = [[]]
+        return held
+
+
+def _cut(run: Run, buckets: int) -> pa.RecordBatch:
+    """The parts of a run, one for each bucket (a range of digests), each with its filter."""
+    keys, ids, counts, _ = run
     bucket = (keys[:, 0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    ends = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-    rows = [(b, keys[s:e].tobytes(), ids[s:e].tobytes(), counts[s:e].tobytes(), bloom(keys[s:e]).tobytes()) for b, (s, e) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if e > s]
-    cols = list(zip(*rows, strict=True))
-    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "digests", "ids", "counts", "filter"])
+    own, start = np.unique(bucket, return_index=True)
+    ends = [*start[1:].tolist(), len(bucket)]
+    cols = list(zip(*((b, keys[s:e].tobytes(), ids[s:e].tobytes(), counts[s:e].tobytes(), bloom(keys[s:e]).tobytes()) for b, s, e in zip(own.tolist(), start.tolist(), ends, strict=True)), strict=True)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "digests", "ids", "counts", "filter"])
 
 
 def index_hits(keyed: DataFrame, keep: str, buckets: int, memtable: int = 50_000) -> DataFrame:
     """Build and compact the index of keyed(id, digest); the digests of more than one row: digest, keep_id, n."""
-    best, none = max if keep == "largest" else min, NO_ID[keep]
+    none = NO_ID[keep]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: dict[bytes, list[int]] = {}
+        levels, table, size = Levels(keep), [], 0
         for batch in batches:
-            for i, key in zip(batch.column("id").to_pylist(), batch.column("digest").to_pylist(), strict=True):
-                i = none if i is None else i
-                if (had := table.get(key)) is None:
-                    table[key] = [i, 1]
-                    if len(table) >= memtable:
-                        yield from _flush(table, buckets)
-                        table = {}
-                else:
-                    had[0] = best(had[0], i)
-                    had[1] += 1
-        if table:
-            yield from _flush(table, buckets)
+            data, offsets = strings(batch.column("digest"))
+            table.append((data[offsets[0] : offsets[-1]].view(">u8").astype(np.uint64).reshape(-1, 4), batch.column("id").fill_null(none).to_numpy()))
+            size += len(batch)
+            if size >= memtable:
+                levels.add(flushed(*(np.concatenate(x) for x in zip(*table, strict=True)), keep))
+                table, size = [], 0
+                for run in levels.grown(SHIPPED):
+                    yield _cut(run, buckets)
+        if size:
+            levels.add(flushed(*(np.concatenate(x) for x in zip(*table, strict=True)), keep))
+        for run in levels.merged():
+            yield _cut(run, buckets)
 
     def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, runs = None, []
+        at, levels = None, Levels(keep)
 
-        def ended() -> pa.RecordBatch:
-            keys, ids, counts = merge_runs(runs, keep)
-            raw = keys.astype(">u8").tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([raw[i : i + 32] for i in range(0, len(raw), 32)], pa.binary()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["digest", "keep_id", "n"])
+        def ended() -> Iterator[pa.RecordBatch]:
+            for keys, ids, counts, _ in levels.merged():
+                hit = counts > 1
+                raw = keys[hit].astype(">u8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([raw[i : i + 32] for i in range(0, len(raw), 32)], pa.binary()), pa.array(ids[hit], pa.int64()), pa.array(counts[hit], pa.int64())], names=["digest", "keep_id", "n"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != at and runs:
-                    yield ended()
-                    runs = []
-                at = row["bucket"]
-                runs.append((np.frombuffer(row["digests"], np.uint64).reshape(-1, 4), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.int64), np.frombuffer(row["filter"], np.uint8)))
-        if runs:
-            yield ended()
-
-    runs = keyed.select("id", "digest").mapInArrow(fill, RUN)
-    hits = runs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(compact, "digest binary, keep_id bigint, n bigint")
+            for bucket, digests, ids, counts, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != at:
+                    yield from ended()
+                at = bucket
+                levels.add((np.frombuffer(digests, np.uint64).reshape(-1, 4), np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64), np.frombuffer(bits, np.uint8)))
+        yield from ended()
+
+    runs = keyed.select("id", "digest").mapInArrow(lean(fill), RUN)
+    hits = runs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(compact), "digest binary, keep_id bigint, n bigint")
     return hits.withColumn("keep_id", F.when(F.col("keep_id") != none, F.col("keep_id")))
 
 
@@ -129,14 +181,16 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), (digest(text_col) if key is None else key).alias("digest"))
     keyed = written(rows.select("id", "digest"), "digests")
     total = keyed.count()
-    hits = written(index_hits(keyed, keep, max(8, total // 100_000)), "hits")
+    hits = written(index_hits(keyed, keep, max(8, total // 500_000)), "hits", 10_000)
     n = hits.count()
     extreme = F.max if keep == "largest" else F.min
 
     def apart(candidates: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
         """candidates(id, digest, text, keep_id) split by whether they equal the row that stays."""
-        stay = candidates.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("text").alias("stays"))
-        both = candidates.join(stay, "digest")
+        parts = F.floor(F.col("n") / PART).cast("bigint")
+        stay = candidates.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("text").alias("stays"), F.max(parts).alias("parts"))
+        stay = stay.select("digest", "stays", F.explode(F.sequence(F.lit(0).cast("bigint"), "parts")).alias("part"))
+        both = candidates.withColumn("part", F.pmod(F.monotonically_increasing_id(), parts + 1)).join(stay, ["digest", "part"]).drop("part")
         return both.filter(F.col("text") == F.col("stays")).drop("stays"), both.filter(F.col("text") != F.col("stays")).drop("stays")
 
     candidates = rows.join(broadcast_if_small(hits, n), "digest")
