@@ -8,6 +8,7 @@ import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,38 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows go to a Python worker at a time in queries that run inside."""
+    was = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, was)
+
+
+_scratch: list[list[tuple[str, str]]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: set[str]) -> Iterator[None]:
+    """Delete what written() writes inside, at the end, but for tables of the names in keep."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for name, path in _scratch.pop():
+            if name not in keep:
+                deleted(spark, path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str, batch: int = 1000) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing.
 
@@ -42,12 +75,10 @@ def written(df: DataFrame, name: str, batch: int = 1000) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    was = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, batch)
-    try:
+    if _scratch:
+        _scratch[-1].append((name, path))
+    with arrow_batches(spark, batch):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH, was)
     return spark.read.schema(df.schema).parquet(path)
 
 

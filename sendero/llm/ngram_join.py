@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, freed, lean, lowered, mixed, pieces, shingles, strings, word_hashes, words, written
+from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, freed, lean, lowered, mixed, pieces, scratch, shingles, strings, word_hashes, words, written
 
 LONGEST = 8
 VERIFY = 10.0  # cost of a verification against that of reading a posting
@@ -451,6 +451,11 @@ def _possible(num: int, den: int) -> F.Column:
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, known: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id, n_shingles, component_id (the least id reachable by links)."""
+    with scratch(docs.sparkSession, {"listed", "classes", "labels"}):
+        return _near_duplicates(docs, k, num, den, known, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, k: int, num: int, den: int, known: int, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     for seed in range(8):
         listed = written(_documents(rows, k, seed), "listed")

@@ -1,14 +1,14 @@
 """Training-order materialisation of token sequences.
 
-Texts are encoded, each followed by the end token, and cut into sequences of `length` ids; what a partition's last
-sequence lacks is filled with end tokens. Sequences are numbered 0..N-1 by partition and place. A keyed Feistel
-network over the least even number of bits that hold N, walked along its cycles until it falls below N, permutes the
-numbers: slot = P_key(number), a bijection that needs no shuffle buffer and no stored order. Slots are dealt to
-partitions by ranges and written in order as shards of `per_shard` sequences of a fixed stride, so slot s starts at byte
-(s mod per_shard) * stride of shard s div per_shard: reading on from any slot is one seek.
+Texts are encoded once, each followed by the end token, cut into sequences of `length` ids and written, compressed, to a
+table; what a partition's last sequence lacks is filled with end tokens. Sequences are numbered 0..N-1 by partition and
+place. A keyed Feistel network over the least even number of bits that hold N, walked along its cycles until it falls
+below N, permutes the numbers: slot = P_key(number), a bijection that needs no shuffle buffer and no stored order. Slots
+are dealt to partitions by ranges of whole shards, and each shard is a file of `per_shard` sequences of a fixed stride:
+slot s starts at byte (s mod per_shard) * stride of file s div per_shard, so reading on from any slot is one seek.
 
-The texts are encoded twice (to count, to write) so that nothing but the sequences themselves is ever moved. `docs`
-must be a table read from files, whose partitions are the same both times; a difference is an error, not a wrong order.
+A shard is written under another name and moved, so a file is whole or absent. Where `place` already holds the encoded
+table or shards of an earlier run over the same docs and parameters, these are kept and only the rest is made.
 
 Defined cases: null and empty texts give an end token alone; null or repeated ids are listed as they are; other columns
 are ignored; an empty table gives no shard.
@@ -17,19 +17,23 @@ are ignored; an empty table gives no shard.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sendero.llm import bpe
-from sendero.llm._common import U64, mixed, pieces, shared_dir, strings
+from sendero.llm._common import U64, arrow_batches, deleted, lean, mixed, pieces, shared_dir, strings
 
 ROUNDS = 6
+IN_RANGE = 8  # shards that one task writes, from memory
+INDEX = "shard bigint, file string, first_slot bigint, n int, stride int, docs array<array<bigint>>"
 
 
 class Feistel:
@@ -76,91 +80,140 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator
             yield np.insert(ids, at[1:], end), at[1:] + np.arange(1, b - a + 1), names.slice(a, b - a).to_pylist()
 
 
-def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key: int = 20240101, end: int | None = None, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """Write all sequences of docs in training order; returns the shard table and N.
+SEQUENCES = "part int, first bigint, n int, ids binary, docs array<array<bigint>>"
+OWNERS = pa.list_(pa.list_(pa.int64()))
 
-    Shards: shard, first_slot, n, stride, blob (n * stride bytes), docs (the ids of the texts in each sequence).
-    """
-    file = path or bpe.default_path()
-    tok = bpe.tokenizer(file)
-    end = next(iter(tok.special.values())) if end is None else end
-    kind = np.dtype("<u2" if len(tok.lengths) <= 1 << 16 else "<u4")
-    stride = length * kind.itemsize
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(len(ids) for ids, _, _ in _encoded(batches, file, end))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-total // length)], pa.int64())], names=["part", "n"])
+def _packed(ids: np.ndarray) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(ids.tobytes(), asbytes=True)
 
-    sizes = sorted((r.part, r.n) for r in rows.mapInArrow(count, "part int, n bigint").collect())  # one row a partition
-    starts, n = {}, 0
-    for part, size in sizes:
-        starts[part] = (n, size)
-        n += size
-    order = Feistel(n, key)
+
+def _unpacked(raw: bytes, size: int, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(raw, decompressed_size=size, asbytes=True), kind)
+
+
+def sequences(rows: DataFrame, file: str, end: int, length: int, kind: np.dtype, chunk: int = 1024) -> DataFrame:
+    """The sequences of rows(id, text), up to `chunk` in a row: part, first (number in the part), n, ids, docs of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, size = starts[TaskContext.get().partitionId()]
-        done, rest, rest_docs = 0, np.zeros(0, kind), []
+        part, done, held, owned = TaskContext.get().partitionId(), 0, [], []
+        rest, rest_docs = np.zeros(0, kind), []
 
-        def packed(ids: np.ndarray, owners: list[list]) -> pa.RecordBatch:
-            nonlocal done
-            m = len(ids) // length
-            if done + m > size:
-                raise ValueError("the input's partitions changed between counting and writing")
-            slot = order.slot(np.arange(first + done, first + done + m))
-            done += m
-            blobs = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer((np.arange(m + 1) * stride).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), blobs, pa.array(owners, pa.list_(pa.int64()))], names=["slot", "ids", "docs"])
+        def made() -> pa.RecordBatch:
+            nonlocal done, held, owned
+            n = len(owned)
+            batch = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([done], pa.int64()), pa.array([n], pa.int32()), pa.array([_packed(np.concatenate(held))], pa.binary()), pa.array([owned], OWNERS)], names=["part", "first", "n", "ids", "docs"])
+            done, held, owned = done + n, [], []
+            return batch
 
         for ids, ends, names in _encoded(batches, file, end):
             ids, ends = np.concatenate((rest, ids.astype(kind))), ends + len(rest)
             m = len(ids) // length
-            last = np.searchsorted(ends, np.arange(1, m + 2) * length - 1, "right")  # the text of each sequence's last id
+            # Of each sequence, also the last and unfinished one, the texts that own its first and its last id.
             begin = np.searchsorted(ends, np.arange(m + 1) * length, "right")
+            last = np.searchsorted(ends, np.arange(1, m + 2) * length - 1, "right")
             owners = [(rest_docs if k == 0 else []) + names[begin[k] : last[k] + 1] for k in range(m + 1)]
             if m:
-                for i in range(0, m, 2048):
-                    j = min(m, i + 2048)
-                    yield packed(ids[i * length : j * length], owners[i:j])
+                held.append(ids[: m * length])
+                owned += owners[:m]
+                if len(owned) >= chunk:
+                    yield made()
             rest, rest_docs = ids[m * length :], owners[m] if len(ids) % length else []
-            if m == 0:
-                continue
-            if rest_docs and begin[m] < len(names) and not len(rest):
-                rest_docs = []
         if len(rest):
-            yield packed(np.concatenate((rest, np.full(length - len(rest), end, kind))), [rest_docs])
-        if done != size:
-            raise ValueError("the input's partitions changed between counting and writing")
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, blob, owners, first = -1, [], [], 0
-        made = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([first], pa.int64()), pa.array([len(blob)], pa.int32()), pa.array([stride], pa.int32()), pa.array([b"".join(blob)], pa.binary()), pa.array([owners], pa.list_(pa.list_(pa.int64())))], names=["shard", "first_slot", "n", "stride", "blob", "docs"])
-        for batch in batches:
-            for slot, ids, own in zip(batch.column("slot").to_pylist(), batch.column("ids").to_pylist(), batch.column("docs").to_pylist(), strict=True):
-                if slot // per_shard != at:
-                    if blob:
-                        yield made()
-                    at, blob, owners, first = slot // per_shard, [], [], slot
-                blob.append(ids)
-                owners.append(own)
-        if blob:
+            held.append(np.concatenate((rest, np.full(length - len(rest), end, kind))))
+            owned.append(rest_docs)
+        if owned:
             yield made()
 
-    count_shards = -(-n // per_shard)
-    parts = max(1, min(count_shards, 4 * max(1, len(sizes)) + count_shards // 64))
-    spark = docs.sparkSession
-    cutting = rows.mapInArrow(cut, "slot bigint, ids binary, docs array<bigint>")
-    # Ranges of whole shards: partition = floor(shard * parts / shards).
-    ranged = cutting.repartitionById(parts, F.floor((F.floor(F.col("slot") / per_shard)) * parts / max(1, count_shards)).cast("int"))
-    out = ranged.sortWithinPartitions("slot").mapInArrow(shards, "shard bigint, first_slot bigint, n int, stride int, blob binary, docs array<array<bigint>>")
-    place = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
-    out.write.parquet(place)
-    return spark.read.schema(out.schema).parquet(place), n
+    return rows.mapInArrow(lean(cut), SEQUENCES)
+
+
+def _files(place: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, and the folder's name in it."""
+    return fs.FileSystem.from_uri(place.replace("s3a://", "s3://", 1))
 
 
-def read_slots(shards: DataFrame, start: int = 0, stop: int | None = None) -> DataFrame:
-    """Sequences of slots [start, stop): slot, shard, offset (byte in the shard), ids (bytes), docs."""
+def shard_name(shard: int) -> str:
+    return f"shard-{shard:010d}.bin"
+
+
+def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key: int = 20240101, end: int | None = None, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", place: str | None = None) -> tuple[DataFrame, int]:
+    """Write all sequences of docs in training order as files in `place`; returns the index of the shards and N.
+
+    Index: shard, file, first_slot, n, stride, docs (the ids of the texts in each sequence).
+    """
+    spark = docs.sparkSession
+    place = place or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    store, folder = _files(place)
+    store.create_dir(folder, recursive=True)
+    file = path or bpe.default_path()
+    tok = bpe.tokenizer(file)
+    end = next(iter(tok.special.values())) if end is None else end
+    kind = np.dtype("<u2" if len(tok.lengths) <= 1 << 16 else "<u4")
+    stride = length * kind.itemsize
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    held = f"{place}/sequences"
+    if store.get_file_info(f"{folder}/sequences/_SUCCESS").type == fs.FileType.NotFound:
+        with arrow_batches(spark, 1000):
+            sequences(rows, file, end, length, kind).write.mode("overwrite").option("compression", "uncompressed").parquet(held)
+    table = spark.read.schema(SEQUENCES).parquet(held)
+    starts, n = {}, 0
+    for r in table.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one row a partition
+        starts[r.part] = n
+        n += r.n
+    order = Feistel(n, key)
+    shards = -(-n // per_shard)
+    ranges = max(1, -(-shards // IN_RANGE))
+    there = {info.base_name for info in store.get_file_info(fs.FileSelector(folder)) if info.size and info.base_name.endswith(".bin")}
+    whole = np.array([shard_name(s) in there for s in range(shards)], bool)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, first, m, ids, owners in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                slot = order.slot(starts[part] + first + np.arange(m))
+                ids = _unpacked(ids, m * stride, kind).reshape(m, length)
+                by = np.argsort(slot)
+                own = slot[by] // per_shard // IN_RANGE
+                cuts = [*np.flatnonzero(np.diff(own, prepend=-1)).tolist(), m]
+                made = [(int(own[i]), slot[by[i:j]].tobytes(), _packed(ids[by[i:j]]), [owners[k] for k in by[i:j].tolist()]) for i, j in itertools.pairwise(cuts)]
+                for i in range(0, len(made), 64):
+                    to, slots, raw, listed = zip(*made[i : i + 64], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(slots, pa.binary()), pa.array(raw, pa.binary()), pa.array(listed, OWNERS)], names=["range", "slots", "ids", "docs"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ids, owners, store, folder = None, None, [], *_files(place)
+        for batch in batches:
+            for to, slots, raw, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own is None:
+                    own, base = to, to * IN_RANGE * per_shard
+                    ids = np.zeros((min(n - base, IN_RANGE * per_shard), length), kind)
+                    owners = [None] * len(ids)
+                if to != own:
+                    raise ValueError("two ranges of shards in one partition")
+                at = np.frombuffer(slots, np.int64) - base
+                ids[at] = _unpacked(raw, len(at) * stride, kind).reshape(-1, length)
+                for i, docs_of in zip(at.tolist(), listed, strict=True):
+                    owners[i] = docs_of
+        for i in range(0, len(owners), per_shard):
+            shard, some = (base + i) // per_shard, ids[i : i + per_shard]
+            if any(x is None for x in owners[i : i + per_shard]):
+                raise ValueError(f"shard {shard} lacks a sequence")
+            if not whole[shard]:
+                draft = f"{folder}/.{shard_name(shard)}-{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as out:
+                    out.write(some.tobytes())
+                store.move(draft, f"{folder}/{shard_name(shard)}")
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([f"{place}/{shard_name(shard)}"]), pa.array([base + i], pa.int64()), pa.array([len(some)], pa.int32()), pa.array([stride], pa.int32()), pa.array([owners[i : i + per_shard]], OWNERS)], names=["shard", "file", "first_slot", "n", "stride", "docs"])
+
+    dealt = table.mapInArrow(lean(deal), "range int, slots binary, ids binary, docs array<array<bigint>>")
+    with arrow_batches(spark, 16):
+        dealt.repartitionById(ranges, "range").mapInArrow(lean(write), INDEX).write.mode("overwrite").parquet(f"{place}/index")
+    deleted(spark, held)
+    return spark.read.schema(INDEX).parquet(f"{place}/index"), n
+
+
+def read_slots(shards: DataFrame, start: int = 0, stop: int | None = None, block: int = 256) -> DataFrame:
+    """Sequences of slots [start, stop): slot, shard, offset (byte in the shard's file), ids (bytes), docs."""
     if start:
         shards = shards.filter(F.col("first_slot") + F.col("n") > start)
     if stop is not None:
@@ -168,13 +221,19 @@ def read_slots(shards: DataFrame, start: int = 0, stop: int | None = None) -> Da
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                row = {c: batch.column(c)[i].as_py() for c in ("shard", "first_slot", "n", "stride", "blob", "docs")}
+            for row in batch.to_pylist():
                 lo, hi = max(0, start - row["first_slot"]), row["n"] if stop is None else min(row["n"], stop - row["first_slot"])
-                stride = row["stride"]
-                yield pa.RecordBatch.from_arrays([pa.array(range(row["first_slot"] + lo, row["first_slot"] + hi), pa.int64()), pa.array([row["shard"]] * (hi - lo), pa.int64()), pa.array(range(lo * stride, hi * stride, stride), pa.int64()), pa.array([row["blob"][k * stride : (k + 1) * stride] for k in range(lo, hi)], pa.binary()), pa.array(row["docs"][lo:hi], pa.list_(pa.int64()))], names=["slot", "shard", "offset", "ids", "docs"])
-
-    return shards.mapInArrow(split, "slot bigint, shard bigint, offset bigint, ids binary, docs array<bigint>")
+                stride, (store, name) = row["stride"], _files(row["file"])
+                with store.open_input_file(name) as file:
+                    file.seek(lo * stride)
+                    for i in range(lo, hi, block):
+                        j = min(hi, i + block)
+                        raw = file.read((j - i) * stride)
+                        if len(raw) != (j - i) * stride:
+                            raise ValueError(f"{row['file']} is too short")
+                        yield pa.RecordBatch.from_arrays([pa.array(range(row["first_slot"] + i, row["first_slot"] + j), pa.int64()), pa.array([row["shard"]] * (j - i), pa.int64()), pa.array(range(i * stride, j * stride, stride), pa.int64()), pa.array([raw[k : k + stride] for k in range(0, len(raw), stride)], pa.binary()), pa.array(row["docs"][i:j], pa.list_(pa.int64()))], names=["slot", "shard", "offset", "ids", "docs"])
+
+    return shards.mapInArrow(lean(split), "slot bigint, shard bigint, offset bigint, ids binary, docs array<bigint>")
 
 
 def ids_of(blob: bytes, stride: int, length: int = 1024) -> np.ndarray:

@@ -55,3 +55,24 @@ def test_docs_are_the_owners_of_the_tokens(spark, tmp_path):
         slot = token_shards.Feistel(n, 20240101).slot(np.arange(n))
         want = [list(dict.fromkeys(owner[k : k + length])) for k in range(0, len(owner), length)]
         assert [got[s] for s in slot.tolist()] == want
+
+
+def test_files_of_a_fixed_stride_and_resumed_writes(spark, tmp_path):
+    rows = [(i, f"word {i} and more " * (i % 30), 1) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, slot int").repartition(4)
+    place = f"file://{tmp_path}/out"
+    shards, n = token_shards.write_shards(docs, length=16, per_shard=20, place=place)
+    files = sorted((tmp_path / "out").glob("shard-*.bin"))
+    assert len(files) == -(-n // 20) > token_shards.IN_RANGE and not (tmp_path / "out/sequences").exists()
+    assert all(f.stat().st_size == 20 * 32 for f in files[:-1])
+    back = {r.slot: bytes(r.ids) for r in token_shards.read_slots(shards).collect()}
+    assert b"".join(back[s] for s in range(n)) == b"".join(f.read_bytes() for f in files)
+    whole = [f.read_bytes() for f in files]
+    index = sorted(shards.collect())
+    files[3].unlink()
+    files[9].unlink()
+    made = {f: f.stat().st_mtime_ns for f in files if f.exists()}
+    again, m = token_shards.write_shards(docs, length=16, per_shard=20, place=place)
+    assert m == n and [f.read_bytes() for f in files] == whole
+    assert all(f.stat().st_mtime_ns == t for f, t in made.items())
+    assert sorted(again.collect()) == index
