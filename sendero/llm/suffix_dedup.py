@@ -11,8 +11,13 @@ Equal strings have equal anchors at equal offsets, so starts need comparing only
    multikey quicksort by eight bytes at a time to a shallow depth, and a blind trie for what still agrees there. With
    the LCPs, the strings at offset s agree exactly where both arrays keep two contexts together, to depth length - s
    and s. Agreement changes only at the LCPs, so a few offsets are looked at for each group.
-4. A group of more than `most` contexts is not brought together: its strings are counted by 128-bit hashes, which
-   combine before they are shuffled and spread over all tasks.
+4. A group of more than `most` contexts is not brought together. Its equal contexts become one, with their number. If
+   that leaves too many, the offsets are halved: strings at offsets s to t agree in the s bytes before the anchor and the
+   length - t from it on, so each half is dealt by those bytes into groups of its own, again and again where need be. At
+   a single offset these bytes are the whole string, and what shares them is repeated.
+
+`repeated_words` finds runs of words in the same way: a text is the sequence of 64-bit hashes of its words, eight bytes to
+a symbol, so that a passage counts by its words, however short these are.
 
 Defined cases: null counts as empty; texts shorter than `length` lose nothing; each row gives one row, also where the
 id is null or repeated (a repeated row is a copy); other columns are ignored; an empty table gives an empty result.
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import U64, broadcast_if_small, digest, mixed, pieces, powers, prefix_sums, span_hashes, strings, written
+from sendero.llm._common import NOT_SPACE, U64, broadcast_if_small, digest, lean, mixed, pieces, powers, prefix_sums, scratch, strings, word_hashes, words, written
 
 SHALLOW, STEP = 32, 8
 PLACE = (1 << 21) - 1
@@ -145,24 +150,27 @@ def deep_shallow(texts: list[bytes]) -> list[int]:
     return out
 
 
-def repeats(contexts: list[tuple[int, int, bytes]], weights: list[int], length: int) -> list[list[tuple[int, int]]]:
+def repeats(contexts: list[tuple[int, int, bytes]], weights: list[int], length: int, unit: int = 1, within: tuple[int, int] = (0, 1 << 40)) -> list[list[tuple[int, int]]]:
     """For each distinct (most, least offset before the anchor, context): the offset ranges [s, t) of repeated strings.
 
-    weights: how often each context occurs.
+    weights: how often each context occurs; unit: bytes of a symbol, of which length and offsets are numbers; within: the
+    least and the most offset that count.
     """
     g = len(contexts)
+    low, top = [max(c[1], within[0]) for c in contexts], [min(c[0], within[1]) for c in contexts]
+    own = [[(a, b + 1)] if w > 1 and a <= b else [] for a, b, w in zip(low, top, weights, strict=True)]
     if g == 1 or (g == 2 and min(weights) > 1):
-        return [[(low, high + 1)] if w > 1 else [] for (high, low, _), w in zip(contexts, weights, strict=True)]
-    right = [c[high:] for high, _, c in contexts]
-    left = [c[:high][::-1] for high, _, c in contexts]
+        return own
+    right = [c[high * unit :] for high, _, c in contexts]
+    left = [c[: high * unit][::-1] for high, _, c in contexts]
     if g == 2:
-        s, t = max(contexts[0][1], contexts[1][1], length - lcp(*right)), min(contexts[0][0], contexts[1][0], lcp(*left)) + 1
+        s, t = max(*low, length - lcp(*right) // unit), min(*top, lcp(*left) // unit) + 1
         both = [(s, t)] if s < t else []
-        return [both + ([(low, high + 1)] if w > 1 else []) for (high, low, _), w in zip(contexts, weights, strict=True)]
+        return [both + x for x in own]
     order_l, order_r = np.array(deep_shallow(left)), np.array(deep_shallow(right))
-    lcp_l = np.array([lcp(left[i], left[j]) for i, j in zip(order_l[:-1], order_l[1:], strict=True)], np.int64)
-    lcp_r = np.array([lcp(right[i], right[j]) for i, j in zip(order_r[:-1], order_r[1:], strict=True)], np.int64)
-    high, low = np.array([c[0] for c in contexts]), np.array([c[1] for c in contexts])
+    lcp_l = np.array([lcp(left[i], left[j]) // unit for i, j in zip(order_l[:-1], order_l[1:], strict=True)], np.int64)
+    lcp_r = np.array([lcp(right[i], right[j]) // unit for i, j in zip(order_r[:-1], order_r[1:], strict=True)], np.int64)
+    high, low = np.array(top), np.array(low)
     weight = np.array(weights)
     cuts = np.unique(np.concatenate((lcp_l + 1, length - lcp_r, low, high + 1)))
     cuts = cuts[(cuts >= low.min()) & (cuts <= high.max() + 1)]
@@ -182,6 +190,14 @@ def repeats(contexts: list[tuple[int, int, bytes]], weights: list[int], length:
     return found
 
 
+def symbols(data: np.ndarray, offsets: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of texts laid end to end, and where each text's end: bytes, or hashes of words."""
+    if unit == 1:
+        return data, offsets[1:]
+    start, end, first = words(data, offsets, NOT_SPACE)
+    return word_hashes(data, start, end), first[1:]
+
+
 GROUPED = "h bigint, digest binary, high int, low int, context binary, at array<bigint>"
 STARTS = "digest binary, first bigint, last bigint"
 
@@ -199,16 +215,15 @@ def _seen_once(batches: Iterator[pa.RecordBatch], remember: int = 100_000) -> It
             seen.clear()
 
 
-def _anchor_hashes(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def _anchor_hashes(rows: DataFrame, length: int, gram: int, unit: int) -> DataFrame:
     """(h, digest, c): how often each anchor hash occurs in each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _seen_once(batches):
             data, offsets = strings(batch.column("text"))
             for a, b in pieces(offsets):
-                ends = offsets[a + 1 : b + 1] - offsets[a]
-                own = data[offsets[a] : offsets[b]]
-                parts = [(0, *anchors(own, ends, length, gram))] if len(own) <= PART else text_anchors(own, length, gram)
+                own, ends = symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], unit)
+                parts = [(0, *anchors(own, ends, length, gram))] if len(own) <= PART else text_anchors(own, length, gram) if b == a + 1 else _each(own, ends, length, gram)
                 text, found = [], []
                 for base, at, _, _, h in parts:
                     text.append(np.searchsorted(ends, at + base, "right"))
@@ -220,29 +235,38 @@ def _anchor_hashes(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 count = np.diff(np.append(first, len(text)))
                 yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), batch.column("digest").take(pa.array(text[first] + a)), pa.array(count.astype(np.int64))], names=["h", "digest", "c"])
 
-    return rows.mapInArrow(run, "h bigint, digest binary, c bigint")
+    return rows.mapInArrow(lean(run), "h bigint, digest binary, c bigint")
+
+
+def _each(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """text_anchors() of several texts, one after the other."""
+    for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        for base, *found in text_anchors(data[start:end], length, gram):
+            yield start + base, *found
 
 
-def _contexts(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def _contexts(texts: DataFrame, length: int, gram: int, unit: int) -> DataFrame:
     """The contexts of the anchors whose hashes (hs) occur again; equal contexts of a text in one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, raw, hs in zip(*(batch.column(c).to_pylist() for c in ("digest", "text", "hs")), strict=True):
-                raw, wanted = raw.encode(), np.sort(np.array(hs, np.int64))
+            for key, text, hs in zip(*(batch.column(c).to_pylist() for c in ("digest", "text", "hs")), strict=True):
+                text, wanted = np.frombuffer(text.encode(), np.uint8), np.sort(np.array(hs, np.int64))
+                own, _ = symbols(text, np.array([0, len(text)]), unit)
+                raw = own.tobytes()
                 merged: dict[tuple, list[int]] = {}
-                for base, at, first, last, h in text_anchors(np.frombuffer(raw, np.uint8), length, gram):
+                for base, at, first, last, h in text_anchors(own, length, gram):
                     h = h.view(np.int64)
                     keep = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
                     for p, s, e, x in zip(at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), h[keep].tolist(), strict=True):
-                        merged.setdefault((x, p - s, p - e, raw[base + s : base + e + length]), []).append(base + p)
+                        merged.setdefault((x, p - s, p - e, raw[(base + s) * unit : (base + e + length) * unit]), []).append(base + p)
                 rows = list(merged.items())
                 for i in range(0, len(rows), 2000):
                     part = rows[i : i + 2000]
                     h, high, low, context = zip(*(k for k, _ in part), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array([key] * len(part), pa.binary()), pa.array(high, pa.int32()), pa.array(low, pa.int32()), pa.array(context, pa.binary()), pa.array([v for _, v in part], pa.list_(pa.int64()))], names=["h", "digest", "high", "low", "context", "at"])
 
-    return texts.mapInArrow(run, GROUPED)
+    return texts.mapInArrow(lean(run), GROUPED)
 
 
 def _starts(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
@@ -250,7 +274,22 @@ def _starts(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(first, pa.int64()), pa.array(last, pa.int64())], names=["digest", "first", "last"])
 
 
-def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
+    """Rows that come sorted by a column, group by group."""
+    at, group = None, []
+    for batch in batches:
+        for i in range(0, len(batch), 1000):
+            for row in batch.slice(i, 1000).to_pylist():
+                if row[by] != at and group:
+                    yield group
+                    group = []
+                at = row[by]
+                group.append(row)
+    if group:
+        yield group
+
+
+def _by_suffixes(contexts: DataFrame, length: int, unit: int) -> DataFrame:
     """Repeated starts of the groups, which come sorted by h."""
 
     def solved(group: list[dict]) -> list[tuple[bytes, int, int]]:
@@ -259,44 +298,77 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
             distinct.setdefault((row["high"], row["low"], row["context"]), []).append(row)
         weights = [sum(len(r["at"]) for r in rows) for rows in distinct.values()]
         out = []
-        for ranges, rows in zip(repeats(list(distinct), weights, length), distinct.values(), strict=True):
+        for ranges, rows in zip(repeats(list(distinct), weights, length, unit), distinct.values(), strict=True):
             out.extend((r["digest"], p - t + 1, p - s) for s, t in ranges for r in rows for p in r["at"])
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, group, out = None, [], []
-        for batch in batches:
-            for i in range(0, len(batch), 1000):
-                for row in batch.slice(i, 1000).to_pylist():
-                    if row["h"] != h and group:
-                        out.extend(solved(group))
-                        group = []
-                        if len(out) > 10_000:
-                            yield _starts(out)
-                            out = []
-                    h = row["h"]
-                    group.append(row)
-        yield _starts(out + (solved(group) if group else []))
+        out = []
+        for group in _groups(batches, "h"):
+            out.extend(solved(group))
+            if len(out) > 10_000:
+                yield _starts(out)
+                out = []
+        yield _starts(out)
 
-    return contexts.mapInArrow(run, STARTS)
+    return contexts.mapInArrow(lean(run), STARTS)
 
 
-def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated starts of groups of any size: strings counted by two hashes."""
+WHO = ["h", "high", "low", "context"]
+RANGES = "h bigint, high int, low int, context binary, s int, t int"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["context"], np.uint8)
-                start = np.arange(row["high"] - row["low"] + 1)
-                one = span_hashes(prefix_sums(data), start, start + length)
-                two = span_hashes(prefix_sums(data[::-1] ^ np.uint8(0x5A)), len(data) - start - length, len(data) - start)
-                for p in row["at"]:
-                    yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([row["digest"]] * len(start), pa.binary()), pa.array(start + (p - row["high"]))], names=["w1", "w2", "digest", "first"])
 
-    windows = contexts.mapInArrow(run, "w1 bigint, w2 bigint, digest binary, first bigint")
-    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("c")).filter("c > 1")
-    return windows.join(again, ["w1", "w2"]).select("digest", "first", F.col("first").alias("last"))
+def _of_large(contexts: DataFrame, length: int, gram: int, unit: int, most: int) -> DataFrame:
+    """Repeated starts of groups of any size: equal contexts once, and offsets halved until the groups are small."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "own"):
+            rows = [(r["h"], r["high"], r["low"], r["context"], s, t) for r, ranges in zip(group, repeats([(r["high"], r["low"], r["context"]) for r in group], [r["n"] for r in group], length, unit, (group[0]["a"], group[0]["b"])), strict=True) for s, t in ranges]
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32()), strict=True)], names=[*WHO, "s", "t"])
+
+    rows = contexts.groupBy(*WHO).agg(F.sum(F.size("at")).alias("n"))
+    rows = written(rows.select("*", F.lit(0).alias("a"), F.lit(length - gram).alias("b"), F.struct("h", F.lit(b"").alias("shared")).alias("own")), "distinct", 200)
+    found = []
+    while True:
+        sizes = written(rows.groupBy("own").agg(F.count("*").alias("members"), F.sum("n").alias("total")), "sizes", 10_000)
+        known = rows.join(sizes.filter("total > 1"), "own")
+        small = known.filter(F.col("members") <= most).select(*WHO, "n", "a", "b", "own").repartition("own").sortWithinPartitions("own")
+        found.append(written(small.mapInArrow(lean(run), RANGES), "ranges", 200))
+        large = known.filter(F.col("members") > most)
+        found.append(written(large.filter("a = b").select(*WHO, F.col("a").alias("s"), (F.col("a") + 1).alias("t")), "ranges", 200))
+        middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
+        halves = F.array(F.struct(F.col("a").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("b").alias("b")))
+        split = large.filter("a < b").select(*WHO, "n", F.explode(halves).alias("half")).select(*WHO, "n", "half.a", "half.b").filter("low <= b AND high >= a")
+        # Of a string at an offset from a to b, the bytes around the anchor that it has whatever its offset.
+        shared = F.substring("context", (F.col("high") - F.col("a")) * unit + 1, (F.col("a") + length - F.col("b")) * unit)
+        rows = written(split.select(*WHO, "n", "a", "b", F.struct("h", F.concat(shared, F.encode(F.concat_ws(",", "a", "b"), "UTF-8")).alias("shared")).alias("own")), "split", 200)
+        if rows.isEmpty():
+            break
+    ranges = found[0]
+    for more in found[1:]:
+        ranges = ranges.unionByName(more)
+    both = contexts.join(ranges, WHO).select("digest", "s", "t", F.explode("at").alias("p"))
+    return both.select("digest", (F.col("p") - F.col("t") + 1).alias("first"), (F.col("p") - F.col("s")).alias("last"))
+
+
+def _repeated(rows: DataFrame, length: int, gram: int, unit: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows(digest, text): the texts with a repeated string (digest, text; maybe more), and spans of starts by digest."""
+    hashes = written(_anchor_hashes(rows, length, gram, unit), "anchors")
+    again = hashes.groupBy("h").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("c").alias("c")).filter("lo <> hi OR c > 1").select("h")
+    wanted = written(hashes.join(again, "h").groupBy("digest").agg(F.collect_set("h").alias("hs")), "wanted")
+    n = wanted.count()
+    texts = rows.join(broadcast_if_small(wanted.select("digest"), n), "digest", "left_semi").mapInArrow(lean(_seen_once), rows.schema)
+    texts = written(texts.dropDuplicates(["digest"]).join(wanted, "digest"), "texts")
+    contexts = written(_contexts(texts, length, gram, unit), "contexts", 200)
+    big = written(contexts.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > most).select("h"), "big")
+    count = big.count()
+    big = broadcast_if_small(big, count, 8)
+    small = contexts.join(big, "h", "left_anti").repartition("h").sortWithinPartitions("h")
+    starts = _by_suffixes(small, length, unit)
+    if count:
+        starts = starts.unionByName(_of_large(written(contexts.join(big, "h", "left_semi"), "large", 200), length, gram, unit, most))
+    return texts.select("digest", "text"), starts.groupBy("digest").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def union(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -310,30 +382,41 @@ def union(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(one row for each row of docs: id, n_bytes, n_removed, n_spans, digest, kept_sha256;
     the changed texts: digest, spans, kept (bytes)).
     """
+    with scratch(docs.sparkSession, {"listed", "changed"}):
+        return _remove_repeats(docs, length, gram, most, id_col, text_col)
+
+
+def repeated_words(docs: DataFrame, least: int = 50, gram: int = 8, most: int = 2000, text_col: str = "text") -> DataFrame:
+    """digest, n_repeated_words: of the texts that have any, the words (runs of no white space) in runs of at least `least` words that also start anywhere else."""
+    with scratch(docs.sparkSession, {"repeated"}):
+        rows = docs.select(digest(text_col).alias("digest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        n_words = F.regexp_count("text", F.lit(r"[^ \t-\r]+"))
+        copies = rows.groupBy("digest").agg(F.count("*").alias("copies")).filter("copies > 1").select("digest")
+        copies = written(copies, "copies", 10_000)
+        whole = rows.join(broadcast_if_small(copies, copies.count()), "digest", "left_semi").mapInArrow(lean(_seen_once), rows.schema)
+        whole = whole.select("digest", n_words.cast("bigint").alias("n")).filter(F.col("n") >= least).groupBy("digest").agg(F.max("n").alias("n"))
+        whole = written(whole, "whole", 200)
+        _, spans = _repeated(rows.filter(F.octet_length("text") >= 2 * least - 1), least, gram, 8, most)
+
+        def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = [sum(e - s for s, e in union([(s["first"], s["last"]) for s in own], least)) for own in batch.column("spans").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], names=["digest", "n"])
+
+        found = whole.unionByName(spans.mapInArrow(lean(covered), "digest binary, n bigint"))
+        return written(found.groupBy("digest").agg(F.max("n").alias("n_repeated_words")), "repeated")
+
+
+def _remove_repeats(docs: DataFrame, length: int, gram: int, most: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), digest(text_col).alias("digest"))
     listed = written(rows.select("id", "digest", F.octet_length("text").cast("bigint").alias("n_bytes")), "listed")
     classes = listed.groupBy("digest").agg(F.count("*").alias("copies"))
     long = rows.filter(F.octet_length("text") >= length).select("digest", "text")
-    hashes = written(_anchor_hashes(long, length, gram), "anchors")
-    again = hashes.groupBy("h").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("c").alias("c")).filter("lo <> hi OR c > 1").select("h")
-    wanted = written(hashes.join(again, "h").groupBy("digest").agg(F.collect_set("h").alias("hs")), "wanted")
-    n = wanted.count()
-    texts = long.join(broadcast_if_small(wanted.select("digest"), n), "digest", "left_semi").mapInArrow(_seen_once, long.schema)
-    texts = written(texts.dropDuplicates(["digest"]).join(wanted, "digest"), "texts")
-    contexts = written(_contexts(texts, length, gram), "contexts", 200)
-    sizes = contexts.groupBy("h").agg(F.count("*").alias("c"), F.sum(F.size("at")).alias("total")).filter("c > 1 OR total > 1")
-    big = written(sizes.filter(F.col("c") > most).select("h"), "big")
-    count = big.count()
-    big = broadcast_if_small(big, count, 8)
-    small = contexts.join(big, "h", "left_anti").repartition("h").sortWithinPartitions("h")
-    starts = _by_suffixes(small, length)
-    if count:
-        starts = starts.unionByName(_by_windows(contexts.join(big, "h", "left_semi"), length))
-    spans = starts.groupBy("digest").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    texts, spans = _repeated(long, length, gram, 1, most)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +432,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int
                 kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([[{"first": s, "end": e} for s, e in r] for r in runs], kind), pa.array(kept, pa.binary()), pa.array(hashed, pa.string())], names=["digest", "spans", "kept", "kept_sha256"])
 
-    changed = written(texts.select("digest", "text").join(spans, "digest").mapInArrow(cut, "digest binary, spans array<struct<first:bigint,end:bigint>>, kept binary, kept_sha256 string"), "changed", 200)
+    changed = written(texts.join(spans, "digest").mapInArrow(lean(cut), "digest binary, spans array<struct<first:bigint,end:bigint>>, kept binary, kept_sha256 string"), "changed", 200)
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["end"] - s["first"])
     found = changed.select("digest", removed.alias("gone"), F.size("spans").cast("bigint").alias("runs"), F.col("kept_sha256").alias("hashed"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
@@ -367,6 +450,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, most: int
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    """What repeated 400-byte strings take from every text of documents."""
-    found, _ = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """What repeated 400-byte strings take from every text of documents, and its words in repeated passages of 50 words or more."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    passages = repeated_words(docs)
+    found, _ = remove_repeats(docs)
+    n = F.coalesce("n_repeated_words", F.lit(0).cast("bigint"))
+    both = found.join(passages, "digest", "left")
+    return both.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", n.alias("n_repeated_words"), (n > 0).alias("repeats_passage"))

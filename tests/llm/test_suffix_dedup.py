@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -49,9 +50,9 @@ def test_sorting():
         assert sorted(sd.deep_shallow(texts)) == list(range(n))
 
 
-@pytest.mark.parametrize("most", [20_000, 3])
-def test_against_brute_force(spark, most):
-    for seed in (1, 2):
+@pytest.mark.parametrize(("most", "seed"), [(20_000, 1), (3, 2), (1, 3)])
+def test_against_brute_force(spark, most, seed):
+    for seed in (seed,):
         texts = corpus(seed)
         docs = spark.createDataFrame([(i if i % 9 else 7, t, i) for i, t in enumerate(texts)], "doc_id bigint, text string, digest int").repartition(4)
         found, changed = sd.remove_repeats(docs, length=40, gram=8, most=most)
@@ -68,3 +69,27 @@ def test_parts_of_a_long_text(monkeypatch, spark):
     starts = [i for _, s, e, _ in anchors for i in range(s, e + 1)]
     assert starts == list(range(len(texts[-1].encode()) * 9 - 39))
     assert sd.remove_repeats(docs.limit(0), 40, 8)[0].count() == 0
+
+
+@pytest.mark.parametrize("most", [2000, 1])
+def test_repeated_words(spark, most):
+    rng = random.Random(8)
+    some = lambda n: [rng.choice(["a", "b", "ñandú", "C"]) + rng.choice("xyz") * rng.randrange(3) for _ in range(n)]
+    passage, texts = some(14), [None, "", " ", "a " * 30, "one two"]
+    for _ in range(70):
+        t = some(rng.randrange(40))
+        if rng.random() < 0.6:
+            at = rng.randrange(len(t) + 1)
+            t[at:at] = passage[rng.randrange(3) : rng.randrange(8, 15)]
+        texts.append(rng.choice([" ", "\n", " \t"]).join(t))
+    texts += texts[9:12]
+    lists = [re.findall(r"[^ \t-\r]+", t or "") for t in texts]
+    seen = Counter(tuple(w[i : i + 10]) for w in lists for i in range(len(w) - 9))
+    want = []
+    for w in lists:
+        gone = {j for i in range(len(w) - 9) if seen[tuple(w[i : i + 10])] > 1 for j in range(i, i + 10)}
+        want.append(len(gone))
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, digest int").repartition(4)
+    n = {bytes(r.digest): r.n_repeated_words for r in sd.repeated_words(docs, least=10, gram=3, most=most).collect()}
+    assert [n.get(hashlib.sha256((t or "").encode()).digest(), 0) for t in texts] == want
+    assert sd.repeated_words(docs.limit(0)).count() == 0
