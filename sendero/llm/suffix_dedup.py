@@ -348,8 +348,22 @@ def _of_large(contexts: DataFrame, length: int, gram: int, unit: int, most: int)
     ranges = found[0]
     for more in found[1:]:
         ranges = ranges.unionByName(more)
-    both = contexts.join(ranges, WHO).select("digest", "s", "t", F.explode("at").alias("p"))
-    return both.select("digest", (F.col("p") - F.col("t") + 1).alias("first"), (F.col("p") - F.col("s")).alias("last"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, at, spans in zip(*(batch.column(c).to_pylist() for c in ("digest", "at", "spans")), strict=True):
+                whole: list[list[int]] = []
+                for s, t in sorted((x["s"], x["t"]) for x in spans):
+                    if whole and s <= whole[-1][1]:
+                        whole[-1][1] = max(whole[-1][1], t)
+                    else:
+                        whole.append([s, t])
+                out.extend((key, p - t + 1, p - s) for s, t in whole for p in at)
+            yield _starts(out)
+
+    spans = ranges.groupBy(*WHO).agg(F.collect_list(F.struct("s", "t")).alias("spans"))  # at most one for each offset
+    return contexts.join(spans, WHO).select("digest", "at", "spans").mapInArrow(lean(place), STARTS)
 
 
 def _repeated(rows: DataFrame, length: int, gram: int, unit: int, most: int) -> tuple[DataFrame, DataFrame]:
