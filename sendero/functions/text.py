@@ -235,3 +235,8 @@ def whole_number(col: Column) -> Column:
 def amount(col: Column) -> Column:
     """An exact amount of 18 digits before the point, null for blanks and what is no number."""
     return F.nullif(strip(col), F.lit("")).try_cast("decimal(20,2)")
+
+
+def strip_commas(col: Column) -> Column:
+    """Without the spaces at the ends, then the commas there, then the spaces."""
+    return strip(F.trim(strip(col), F.lit(",")))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sendero.functions.classify import JUDICIAL
+from sendero.sources.stage import staged
 
 #: What a status is worth when duplicates compete, and statuses that never enter the model.
 PRIORITY = {"PROCESADO": 1, "RECONFIRMADO": 2, "CONFIRMADO": 3, "PROCESADO_CON_ERRORES": 4, "EN_PROCESO": 5, "SIN_CONFIRMAR": 6}
@@ -81,3 +82,32 @@ def cascade(rows: DataFrame, id_col: str, levels: list[DataFrame]) -> DataFrame:
         rest = rest.join(level.select(id_col), id_col, "left_anti")
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def not_deleted(rows: DataFrame, mark: str = "deleted") -> DataFrame:
+    """Rows whose mark of deletion is false; unknown counts as marked."""
+    return rows.filter(F.col(mark).cast("boolean") == F.lit(False))
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with 1..n in the given order: sorted by ranges, each range numbered from the count of those before it."""
+    part = F.spark_partition_id()
+    placed = staged(rows.orderBy(*order).withColumns({"_part": part, "_at": F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)}), "numbered")
+    counts = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}  # one row a partition
+    before, starts = 0, {}
+    for p in sorted(counts):
+        starts[p] = before
+        before += counts[p]
+    if not starts:
+        return rows.withColumn(name, F.lit(0).cast("bigint"))
+    start = F.element_at(F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, s)]), F.col("_part"))
+    return placed.withColumn(name, (start + F.col("_at") + 1).cast("bigint")).drop("_part", "_at")
+
+
+#: Tables in an order in which none refers to a later one.
+LOAD_ORDER = ["dim_departamentos", "dim_municipios", "dim_entidad_bancaria", "dim_entidades", "dim_variantes", "fact_oficios"]
+
+
+def rebuild_ddl() -> list[str]:
+    """Statements that drop all tables, referring ones first, and create them again."""
+    return [f"DROP TABLE IF EXISTS {t}" for t in reversed(LOAD_ORDER)] + [ddl(t) for t in LOAD_ORDER]

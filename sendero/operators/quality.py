@@ -50,3 +50,29 @@ def coverage(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def sample(rows: DataFrame, key: str, share: int) -> DataFrame:
     """About one row in `share`, the same ones each time, chosen by key."""
     return rows.filter(F.col(key) % share == 0)
+
+
+def labelled(col: Column, label: str) -> Column:
+    """The stripped text, or the label for null and blank."""
+    return F.coalesce(F.nullif(F.trim(col), F.lit("")), F.lit(label))
+
+
+def confidence(score: Column) -> Column:
+    """The band of a similarity."""
+    return F.when(score >= 0.92, "alta").when(score >= 0.85, "media").otherwise("baja")
+
+
+def row_drift(tables: list[tuple[str, DataFrame, DataFrame]], most: float = 1.0) -> DataFrame:
+    """(tabla, origen, destino, diferencia, porcentaje, veredicto) of (name, source, loaded): ok below `most` percent, an empty source only if nothing was loaded."""
+    counts = [a.agg(F.lit(name).alias("tabla"), F.count("*").alias("origen")).join(b.agg(F.lit(name).alias("tabla"), F.count("*").alias("destino")), "tabla") for name, a, b in tables]
+    both = reduce(DataFrame.unionByName, counts).withColumn("diferencia", F.col("destino") - F.col("origen"))
+    share = F.when(F.col("origen") > 0, F.col("diferencia") * F.lit(100.0) / F.col("origen")).when(F.col("destino") == 0, 0.0)
+    return both.withColumns({"porcentaje": F.round(share, 4), "veredicto": F.when(F.abs(share) < most, "ok").otherwise("fail")})
+
+
+def report(title: str, figures: DataFrame) -> DataFrame:
+    """A text report of a small table of figures: (n, linea), the title, a rule, and a line for each row in order of its columns."""
+    line = F.concat_ws("  ", *[F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("-")), 24, " ") for c in figures.columns])
+    head = F.array(F.lit(title), F.lit("=" * len(title)), F.lit("  ".join(c.ljust(24) for c in figures.columns)))
+    lines = figures.select(F.struct(*figures.columns).alias("k"), line.alias("linea")).agg(F.array_sort(F.collect_list(F.struct("k", "linea"))).alias("x"))
+    return lines.select(F.posexplode(F.concat(head, F.transform("x", lambda e: e["linea"]))).alias("n", "linea")).select("n", F.rtrim("linea").alias("linea"))

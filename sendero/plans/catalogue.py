@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sendero.plans import relational_queries, resolve_queries, text_queries
+from sendero.plans import model_queries, relational_queries, resolve_queries, text_queries
 from sendero.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "relational_queries", "resolve_queries", "text_queries"]
+__all__ = ["ORACLE_SQL", "QUERIES", "model_queries", "relational_queries", "resolve_queries", "text_queries"]

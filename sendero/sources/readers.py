@@ -49,3 +49,24 @@ def header_column(columns: list[str], *parts: str) -> str | None:
 def optional(rows: DataFrame, name: str, default: str = "") -> Column:
     """A column, or a default where the table has none."""
     return F.col(name) if name in rows.columns else F.lit(default).alias(name)
+
+
+def csv_with_found_header(spark: SparkSession, path: str, mark: str, within: int = 15) -> DataFrame:
+    """All-text columns of one CSV whose header, the first of its first rows with `mark` in the first field, follows a preamble.
+
+    Of columns that share a name the last stays. A file without such a row is an error.
+    """
+    rows = spark.read.csv(path, header=False, inferSchema=False, quote='"', escape='"', multiLine=True)  # such a file is one partition
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    first = F.upper(F.trim(F.coalesce(F.col(rows.columns[0]), F.lit(""))))
+    head = rows.filter((F.col("_at") < within) & first.contains(mark.upper())).orderBy("_at").first()
+    if head is None:
+        raise ValueError(f"no header with {mark} in the first {within} rows")
+    named = {(name or "").strip(): c for c, name in head.asDict().items() if c != "_at"}
+    return rows.filter(F.col("_at") > head["_at"]).select(*[F.coalesce(F.col(c), F.lit("")).alias(name) for name, c in named.items() if name])
+
+
+def last_wins(rows: DataFrame, key: str, order: Column) -> DataFrame:
+    """One row a key, the last in the given order."""
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("_row"))
+    return last.select("_row.*")
