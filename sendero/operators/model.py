@@ -89,7 +89,7 @@ def not_deleted(rows: DataFrame, mark: str = "deleted") -> DataFrame:
     return rows.filter(F.col(mark).cast("boolean") == F.lit(False))
 
 
-def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """rows with 1..n in the given order: sorted by ranges, each range numbered from the count of those before it."""
     part = F.spark_partition_id()
     placed = staged(rows.orderBy(*order).withColumns({"_part": part, "_at": F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)}), "numbered")

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sendero.functions.text import clean_text, levenshtein_ratio, mixed_case, remove_accents, replace_ordinals
+from sendero.operators.model import numbered
 from sendero.sources.stage import staged
 
 #: Least similarity to an anchor, by type.
@@ -137,5 +138,5 @@ def entities(grouped: DataFrame, key: list[str]) -> DataFrame:
         F.count("*").alias("num_variantes"),
         F.min("seen").alias("seen"),
     )
-    ordered = made.withColumn("entidad_id", F.row_number().over(W.orderBy(F.desc("total_registros"), "seen")).cast("bigint"))
+    ordered = numbered(made, [F.desc("total_registros"), F.col("seen")], "entidad_id")
     return ordered.select("entidad_id", *key, "nombre", F.coalesce("lugar_de.municipio", F.lit("")).alias("municipio"), F.coalesce("lugar_de.departamento", F.lit("")).alias("departamento"), "total_registros", "num_variantes")

@@ -11,6 +11,7 @@ from sendero.plans import duck
 from sendero.plans.registry import query, table
 from sendero.plans.sender import SENDERS, senders
 from sendero.plans.text_queries import classified
+from sendero.sources.stage import broadcast_if_small
 
 MONEY = "decimal(20,2)"
 STATUS = {"P": 1, "F": 2, "O": 3}
@@ -235,7 +236,8 @@ def q_geo_dist(spark, sf_dir):
 
 @query(f"WITH {duck.CLASSIFIED} SELECT tipo, {_t('o_totalprice')} AS suma, round(avg(CAST(o_totalprice AS DOUBLE)), 2) AS media FROM s JOIN c ON c.raw = s.raw WHERE o_totalprice IS NOT NULL GROUP BY tipo")
 def q_amount_by_type(spark, sf_dir):
-    c = F.broadcast(classified(spark, sf_dir).select("raw", "tipo"))
+    c = classified(spark, sf_dir).select("raw", "tipo")
+    c = broadcast_if_small(c, c.count())
     return senders(spark, sf_dir).filter("o_totalprice IS NOT NULL").join(c, "raw").groupBy("tipo").agg(total("o_totalprice").alias("suma"), F.round(F.avg("o_totalprice"), 2).alias("media"))
 
 

@@ -10,7 +10,7 @@ from sendero.plans import duck
 from sendero.plans.registry import query, table
 from sendero.plans.sender import SENDERS, distinct_senders, senders
 from sendero.plans.text_queries import classified
-from sendero.sources.stage import staged
+from sendero.sources.stage import broadcast_if_small, staged
 
 PLACES = sorted({*geo.DEPARTMENTS, *[m for m, _ in geo.MUNICIPALITIES]})
 _FOLD = str.maketrans(*text.KEEP_ENIE)
@@ -142,14 +142,18 @@ def q_entity_ids(spark, sf_dir):
 
 @query(f"{_FULL} SELECT rec.raw AS variante_original, ent.entidad_id, ent.nombre, rec.n AS conteo FROM rec JOIN ent ON ent.tipo = rec.tipo AND ent.subtipo = rec.subtipo AND ent.numero = rec.numero AND ent.lug = rec.lugar2")
 def q_variant_map(spark, sf_dir):
-    r = recovered(spark, sf_dir)
+    return _variant_map(recovered(spark, sf_dir))
+
+
+def _variant_map(r):
     return r.join(resolve.entities(r, KEY).select("entidad_id", "nombre", *KEY), KEY).select(F.col("raw").alias("variante_original"), "entidad_id", "nombre", F.col("n").alias("conteo"))
 
 
 @query(f"{_FULL}, v AS (SELECT rec.raw, ent.entidad_id, ent.nombre FROM rec JOIN ent ON ent.tipo = rec.tipo AND ent.subtipo = rec.subtipo AND ent.numero = rec.numero AND ent.lug = rec.lugar2) SELECT r_name, v.entidad_id, v.nombre, count(*) AS oficios, CAST(sum(CAST(o_totalprice AS DECIMAL(20, 2))) AS DECIMAL(30, 2)) AS monto FROM s JOIN v ON v.raw = s.raw JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY ALL ORDER BY monto DESC, entidad_id, r_name LIMIT 20")
 def q_top_entities(spark, sf_dir):
     """The flagship: senders cleaned, classified, located, clustered, named; the top of them by region and amount."""
-    variants = F.broadcast(q_variant_map(spark, sf_dir).select(F.col("variante_original").alias("raw"), "entidad_id", "nombre"))
+    r = recovered(spark, sf_dir)
+    variants = broadcast_if_small(_variant_map(r).select(F.col("variante_original").alias("raw"), "entidad_id", "nombre"), r.count())
     fact = senders(spark, sf_dir).join(variants, "raw")
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     nation = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))

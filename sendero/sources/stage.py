@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +27,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 256, limit_mb: int = 64) -> DataFrame:
+    """df with a hint to broadcast it, only if its counted rows stay under limit_mb; else it is joined by a shuffle."""
+    return F.broadcast(df) if rows * row_bytes <= limit_mb << 20 else df
