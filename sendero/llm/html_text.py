@@ -4,7 +4,8 @@ A tree builder closes implied tags (p, li, dt, dd, option, rows and cells), drop
 style and the like as raw text. Visibility rules leave out head, scripts, templates, what svg and math only define or
 annotate, `hidden`, display:none and visibility:hidden (which a descendant may undo). The renderer emits all visible text: blocks on lines of their own,
 paragraphs, headings, lists and tables set apart by a blank line, nested lists indented with their markers, table
-cells padded to the width of their column whatever it is, labels in drawings set apart by a space, white space collapsed
+cells padded to the width of their column whatever it is, wide characters counted as two, cells that reach over several
+rows keeping their column below, labels in drawings set apart by a space, white space collapsed
 except in pre. Neither step recurses, so nesting may be as deep as it likes.
 
 Defined cases: null or empty html gives an empty text; text outside any tag is kept; an unfinished tag or comment at
@@ -13,7 +14,9 @@ the end is dropped; repeated rows give repeated results; other columns are ignor
 
 from __future__ import annotations
 
+import itertools
 import re
+import unicodedata
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sendero.llm._common import lean
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object video audio canvas datalist".split())
@@ -35,6 +40,7 @@ SCOPE = frozenset("table td th caption html body".split())
 IN_HEAD = frozenset("meta link title base script style noscript template".split())
 NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")  # at once after the start, a comment is empty
 QUOTED = re.compile(r"[\"'>]")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
@@ -58,8 +64,8 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
         if lt == n:
             return
         if html.startswith("<!--", lt):
-            end = html.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
+            end = COMMENT_END.search(html, lt + 4)
+            at = end.end() if end else n
             continue
         if html.startswith(("<!", "<?"), lt):
             end = html.find(">", lt)
@@ -214,26 +220,51 @@ class Page:
         return "".join(self.parts)
 
 
-def laid_out(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Lines of a table: cells padded to their column's width, a cell of several lines going on below."""
-    width: list[int] = []
+def cell_width(text: str) -> int:
+    """Columns that a text takes where wide characters take two and combining marks none."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.category(c) in ("Mn", "Me", "Cf") else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, str, int]]]:
+    """(column, text, columns) of the cells (text, columns, rows) of each row: cells that reach down from above keep their columns."""
+    out, down = [], {}  # column: rows below that it still reaches
     for row in rows:
-        at = 0
-        for text, span in row:
-            width.extend([0] * (at + span - len(width)))
-            if span == 1:
-                width[at] = max(width[at], *map(len, text.split("\n")))
+        at, cells, fresh = 0, [], {}
+        for text, span, deep in row:
+            while at in down:
+                at += 1
+            cells.append((at, text, span))
+            if deep > 1:
+                fresh.update((c, deep) for c in range(at, at + span))
             at += span
+        out.append(cells)
+        down = {c: k - 1 for c, k in (down | fresh).items() if k > 1}
+    return out
+
+
+def laid_out(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Lines of a table: cells padded to their column's width, a cell of several lines going on below."""
+    width: dict[int, int] = {}
+    grid = [[(at, text.split("\n"), span) for at, text, span in row] for row in placed(rows)]
+    for row in grid:
+        for at, lines, span in row:
+            for c in range(at, at + span):
+                width.setdefault(c, 0)
+            if span == 1:
+                width[at] = max(width[at], *map(cell_width, lines))
+    starts = list(itertools.accumulate((width.get(c, 0) + 2 for c in range(max(width, default=-1) + 1)), initial=0))
     out = []
-    for row in rows:
-        cells = [(text.split("\n"), span) for text, span in row]
-        for k in range(max((len(c) for c, _ in cells), default=0)):
-            at, line = 0, []
-            last = max((i for i, (lines, _) in enumerate(cells) if k < len(lines) and lines[k]), default=-1)
-            for lines, span in cells[: last + 1]:
-                line.append((lines[k] if k < len(lines) else "").ljust(sum(width[at : at + span]) + 2 * (span - 1)))
-                at += span
-            out.append("  ".join(line).rstrip())
+    for row in grid:
+        for k in range(max((len(lines) for _, lines, _ in row), default=0)):
+            line, reached = [], 0
+            for at, lines, _ in row:
+                if k < len(lines) and lines[k]:
+                    gap = max(starts[at] - reached, 2 * (reached > 0))
+                    line.append(" " * gap + lines[k])
+                    reached += gap + cell_width(lines[k])
+            out.append("".join(line).rstrip())
     return out
 
 
@@ -246,6 +277,12 @@ def _span(node: Node) -> int:
     return min(max(int(found[1]), 1), 1000) if found else 1
 
 
+def _deep(node: Node) -> int:
+    """Rows that a cell reaches over; 0 means all that follow, which 65534, the most that HTML allows, stands for."""
+    found = re.match(r"\s*(\d{1,5})", node.attrs.get("rowspan", ""))
+    return min(int(found[1]), 65534) or 65534 if found else 1
+
+
 def render(html: str | None) -> str:
     """All visible text of a page."""
     if not html:
@@ -318,7 +355,7 @@ def render(html: str | None) -> str:
         if tag == "table":
             outside, rows = pages.pop().text(), tables.pop()
             page = pages[-1]
-            for line in [*(outside.split("\n") if outside else []), *laid_out([r for r in rows if any(t for t, _ in r)])]:
+            for line in [*(outside.split("\n") if outside else []), *(line for line in laid_out(rows) if line)]:
                 if line:
                     page.put(line)
                 page.br()
@@ -328,7 +365,7 @@ def render(html: str | None) -> str:
             cell = pages.pop().text()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((cell, _span(node)))
+            tables[-1][-1].append((cell, _span(node), _deep(node)))
         elif tag in ("ul", "ol", "menu", "dir"):
             lists.pop()
             page.apart(1 if lists else 2)
@@ -356,7 +393,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([render(h) for h in part.column("html").to_pylist()], pa.string())], names=["id", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInArrow(run, f"id {kind}, text string")
+    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInArrow(lean(run), f"id {kind}, text string")
 
 
 def op5_html_text(spark, sf_dir: str) -> DataFrame:

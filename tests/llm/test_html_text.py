@@ -1,4 +1,6 @@
-from sendero.llm.html_text import extract, render
+import random
+
+from sendero.llm.html_text import cell_width, extract, render
 
 
 def test_blocks_and_implied_tags():
@@ -59,3 +61,26 @@ def test_wide_columns_are_aligned():
     wide = "w" * 300
     lines = render(f"<table><tr><td>{wide}<td>a<tr><td>x<td>b<tr><td>y<td></table>").split("\n")
     assert lines == [f"{wide}  a", "x".ljust(302) + "b", "y"]
+
+
+def test_short_comments():
+    assert render("<p>a</p><!--><p>b</p>-->c") == "a\n\nb\n\n-->c"
+    assert render("a<!--->b<!-- x --!>c<!-- - -> -->d<!---->e") == "abcde"
+
+
+def test_rows_and_widths():
+    assert render("<table><tr><td rowspan=2>A<td>b<tr><td>c<tr><td>d<td>e</table>") == "A  b\n   c\nd  e"
+    assert render("<table><tr><td>x<td rowspan=0>y<td>z<tr><td>p<td>q<tr><td>r<td>s</table>") == "x  y  z\np     q\nr     s"
+    assert render("<table><tr><td>日本<td>b<tr><td>abcde<td>c<tr><td>e\u0301e<td>d</table>") == "日本   b\nabcde  c\ne\u0301e     d"
+    assert render(f"<table><tr><td>{'z' * 300}<td>b<tr><td>q<td>c</table>") == f"{'z' * 300}  b\nq{' ' * 301}c"
+
+
+def test_columns_line_up():
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randrange(1, 6)
+        rows = [["".join(rng.choice("ab日e\u0301") for _ in range(rng.randrange(1, 9))).lstrip("\u0301") + "." for _ in range(n)] for _ in range(rng.randrange(1, 5))]
+        lines = render("<table>" + "".join("<tr>" + "".join(f"<td>{c}" for c in row) for row in rows) + "</table>").split("\n")
+        width = [max(cell_width(row[k]) for row in rows) for k in range(n)]
+        for row, line in zip(rows, lines, strict=True):
+            assert line == "  ".join(c + " " * (w - cell_width(c)) for c, w in zip(row, width, strict=True)).rstrip()
