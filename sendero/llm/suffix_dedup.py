@@ -199,7 +199,7 @@ def symbols(data: np.ndarray, offsets: np.ndarray, unit: int) -> tuple[np.ndarra
 
 
 GROUPED = "h bigint, digest binary, high int, low int, context binary, at array<bigint>"
-STARTS = "digest binary, first bigint, last bigint"
+STARTS = "digest binary, spans array<struct<first:bigint,last:bigint>>"
 
 
 def _seen_once(batches: Iterator[pa.RecordBatch], remember: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -270,8 +270,16 @@ def _contexts(texts: DataFrame, length: int, gram: int, unit: int) -> DataFrame:
 
 
 def _starts(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-    key, first, last = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(first, pa.int64()), pa.array(last, pa.int64())], names=["digest", "first", "last"])
+    """Starts [first, last] by text, those that follow one another as one."""
+    by: dict[bytes, list[list[int]]] = {}
+    for key, first, last in sorted(rows):
+        spans = by.setdefault(key, [])
+        if spans and first <= spans[-1][1] + 1:
+            spans[-1][1] = max(spans[-1][1], last)
+        else:
+            spans.append([first, last])
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    return pa.RecordBatch.from_arrays([pa.array(list(by), pa.binary()), pa.array([[{"first": s, "last": e} for s, e in spans] for spans in by.values()], kind)], names=["digest", "spans"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
@@ -382,7 +390,7 @@ def _repeated(rows: DataFrame, length: int, gram: int, unit: int, most: int) ->
     starts = _by_suffixes(small, length, unit)
     if count:
         starts = starts.unionByName(_of_large(written(contexts.join(big, "h", "left_semi"), "large", 200), length, gram, unit, most))
-    return texts.select("digest", "text"), starts.groupBy("digest").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    return texts.select("digest", "text"), starts.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def union(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
