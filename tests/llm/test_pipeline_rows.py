@@ -38,3 +38,18 @@ def test_decontamination_by_row(spark, tmp_path):
 def test_rows_not_read_from_files(spark, tmp_path):
     docs = spark.createDataFrame([(None, "a", "x"), (1, "a", "x"), (1, "a", "x")], COLUMNS)
     assert [tuple(r) for r in corpus_pipeline.distinct_texts(spark, docs, str(tmp_path)).collect()] == [(1, "a", "x")]
+
+
+def test_a_column_called_score_is_handed_on(spark, tmp_path):
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(1, "some good words of a text", "mine", 1), (2, None, None, 2), (3, "more words", "yours", 3)], "doc_id bigint, text string, score string, _score int")
+    out = corpus_pipeline.good(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and dict(out.dtypes)["score"] == "string"
+    assert {(r.doc_id, r.score, r["_score"]) for r in out.collect()} <= {(1, "mine", 1), (2, None, 2), (3, "yours", 3)}
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from sendero.llm import quality
 
 
@@ -44,3 +46,13 @@ def test_training_reads_whole_texts(spark, monkeypatch):
     quality.train(docs, labels)
     used = [r.doc_id for r in docs.filter(~quality.held_out("doc_id")).collect()]
     assert used and seen == {b"" if i == 8 else f"{long}{i}".encode(): i % 2 for i in used}
+
+
+def test_a_column_called_score_stays(spark):
+    docs = spark.createDataFrame([(1, "good words", "mine", 0.5), (2, None, None, None)], "doc_id bigint, text string, score string, Own double")
+    with pytest.raises(ValueError, match="score"):
+        quality.score(docs, None)
+    with pytest.raises(ValueError, match="own"):
+        quality.score(docs, None, out="own")
+    out = quality.score(docs, None, out="p")
+    assert out.columns == [*docs.columns, "p"] and sorted(((r.doc_id, r.score, r.p) for r in out.collect())) == [(1, "mine", 0.5), (2, None, 0.5)]
