@@ -66,7 +66,7 @@ def _out(columns, taken):
 
 _COERCIVE = f"coa AS (SELECT {_out(enrich.COERCIVE, enrich.FROM_COERCIVE)} FROM j WHERE entidad_id % 3 <> 1)"
 _JUDICIAL = f"jud AS (SELECT {_out(enrich.JUDICIAL, enrich.FROM_JUDICIAL)} FROM j WHERE entidad_id % 3 = 1)"
-_JUDGES = F.expr("entidad_id % 3 = 1")  # the third of the entities that are courts
+_JUDGES = "entidad_id % 3 = 1"  # the third of the entities that are courts
 
 
 def _entities(spark, sf_dir):
@@ -80,7 +80,7 @@ def _listed(spark, sf_dir, taken, city=None):
 
 @query(f"WITH {_MATCHED}, {_COERCIVE} SELECT * FROM coa")
 def q_enrich_coercive(spark, sf_dir):
-    return enrich.enrich_coercive(_entities(spark, sf_dir).filter(~_JUDGES), _listed(spark, sf_dir, enrich.FROM_COERCIVE))
+    return enrich.enrich_coercive(_entities(spark, sf_dir).filter(f"NOT ({_JUDGES})"), _listed(spark, sf_dir, enrich.FROM_COERCIVE))
 
 
 @query(f"WITH {_MATCHED}, {_JUDICIAL} SELECT * FROM jud")
