@@ -11,33 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Whole phrases of ordinals and the number each stands for.
-TENS = {"DECIMO": 10, "VIGESIMO": 20}
-UNITS = {"PRIMER[OA]": 1, "SEGUND[OA]": 2, "TERCER[OA]": 3, "CUART[OA]": 4, "QUINT[OA]": 5, "SEXT[OA]": 6, "SEPTIM[OA]": 7, "OCTAV[OA]": 8, "NOVEN[OA]": 9}
-CARDINAL_TENS = {"TREINTA": 30, "CUARENTA": 40, "CINCUENTA": 50, "SESENTA": 60, "SETENTA": 70, "OCHENTA": 80}
-CARDINAL_UNITS = {"UNO?": 1, "DOS": 2, "TRES": 3, "CUATRO": 4, "CINCO": 5, "SEIS": 6, "SIETE": 7, "OCHO": 8, "NUEVE": 9}
-LAST_COMPOUND = 85
-#: Single words by number.
-SINGLES = {
-    1: "PRIMERO|PRIMER|PRIMERA|1ERO|1ER|1RO", 2: "SEGUNDO|SEGUNDA|2DO|2DA", 3: "TERCERO|TERCERA|3ERO|3ER|3RO", 4: "CUARTO|CUARTA|4TO", 5: "QUINTO|QUINTA|5TO",
-    6: "SEXTO|SEXTA|6TO", 7: "SEPTIMO|SEPTIMA|7MO", 8: "OCTAVO|OCTAVA|8VO", 9: "NOVENO|NOVENA|9NO", 10: "DECIMO|DECIMA", 11: "UNDECIMO|UNDECIMA|ONCE",
-    12: "DUODECIMO|DUODECIMA|DOCE", 13: "TRECE", 14: "CATORCE", 15: "QUINCE", 16: "DIECISEIS", 17: "DIECISIETE", 18: "DIECIOCHO", 19: "DIECINUEVE", 20: "VEINTE",
-    21: "VEINTIUNO|VEINTIUN", 22: "VEINTIDOS", 23: "VEINTITRES", 24: "VEINTICUATRO", 25: "VEINTICINCO", 26: "VEINTISEIS", 27: "VEINTISIETE", 28: "VEINTIOCHO",
-    29: "VEINTINUEVE", 30: "TREINTA", 40: "CUARENTA", 50: "CINCUENTA", 60: "SESENTA", 70: "SETENTA", 80: "OCHENTA", 90: "NOVENTA",
-}
-#: Phrases of court names that are looked for anywhere in the name, and their numbers.
-COURT_TENS = {"TREINTA": 30, "CUARENTA": 40, "CINCUENTA": 50, "SESENTA": 60, "SETENTA": 70, "OCHENTA": 80}
-COURT_UNITS = ["UNO", "DOS", "TRES", "CUATRO", "CINCO", "SEIS", "SIETE", "OCHO", "NUEVE"]
-COURT_ORDINALS = {"DECIMO": (4, 9), "VIGESIMO": (1, 9)}
-ORDINAL_UNITS = ["PRIMERO", "SEGUNDO", "TERCERO", "CUARTO", "QUINTO", "SEXTO", "SEPTIMO", "OCTAVO", "NOVENO"]
-#: Words of a court name's first three that stand for a number.
-COURT_WORDS = {
-    1: "PRIMERO PRIMERA PRIMER 1 01 001", 2: "SEGUNDO SEGUNDA 2 02 002", 3: "TERCERO TERCERA TERCER 3 03 003 TRES", 4: "CUARTO CUARTA 4 04 004", 5: "QUINTO QUINTA 5 05 005",
-    6: "SEXTO SEXTA 6 06 006", 7: "SEPTIMO SEPTIMA SETIMO 7 07 007", 8: "OCTAVO OCTAVA 8 08 008", 9: "NOVENO NOVENA 9 09 009", 10: "DECIMO DECIMA 10 010", 11: "ONCE 11 UNDECIMO",
-    12: "DOCE 12", 13: "TRECE 13", 14: "CATORCE 14", 15: "QUINCE 15", 16: "DIECISEIS 16", 17: "DIECISIETE 17", 18: "DIECIOCHO 18", 19: "DIECINUEVE 19", 20: "VEINTE 20",
-    21: "VEINTIUNO VEINTIUN 21", 22: "VEINTIDOS 22", 23: "VEINTITRES 23", 24: "VEINTICUATRO 24", 25: "VEINTICINCO 25", 26: "VEINTISEIS 26", 27: "VEINTISIETE 27",
-    28: "VEINTIOCHO 28", 29: "VEINTINUEVE 29", 30: "TREINTA 30", 40: "CUARENTA 40", 50: "CINCUENTA 50", 60: "SESENTA 60", 70: "SETENTA 70", 80: "OCHENTA 80", 90: "NOVENTA 90",
-}
+from sendero.functions.numbers import COURT_PHRASES, COURT_WORDS, ORDINAL_PHRASES, ORDINAL_WORDS
+
 #: Words without weight.
 STOPWORDS = ["DE", "DEL", "LA", "LAS", "LOS", "EL", "EN", "Y", "A", "CON", "POR", "PARA", "D", "C", "E", "S", "P"]
 KEY_STOPWORDS = ["DE", "DEL", "LA", "LAS", "LOS", "EL", "EN", "Y", "A"]
@@ -121,15 +96,19 @@ def norm_audit(col: Column) -> Column:
 
 
 def ordinal_rules() -> list[tuple[str, str]]:
-    """(pattern, number): compounds first, then single words."""
-    rules = [(rf"\b{t} {u}\b", str(a + b)) for t, a in TENS.items() for u, b in UNITS.items()]
-    rules += [(rf"\b{t} Y {u}\b", str(a + b)) for t, a in CARDINAL_TENS.items() for u, b in CARDINAL_UNITS.items() if a + b <= LAST_COMPOUND]
-    return rules + [(rf"\b(?:{words})\b", str(n)) for n, words in SINGLES.items()]
+    """(pattern, number): phrases first, then single words, those of one number as one pattern."""
+    words: dict[int, list[str]] = {}
+    for word, n in ORDINAL_WORDS.items():
+        words.setdefault(n, []).append(word)
+    rules = [(rf"\b{phrase}\b", str(n)) for phrase, n in ORDINAL_PHRASES.items()]
+    return rules + [(rf"\b(?:{'|'.join(some)})\b", str(n)) for n, some in words.items()]
 
 
 def replace_ordinals(col: Column) -> Column:
-    """Spelled-out ordinals as digits; meant for distinct texts, as it tries every rule in turn."""
-    return reduce(lambda t, rule: _sub(t, *rule), ordinal_rules(), col)
+    """Spelled-out ordinals as digits. Every rule is tried in turn, but only on texts that hold some word of a rule."""
+    singles = "|".join(ORDINAL_WORDS)
+    tens = "|".join(dict.fromkeys(p.split(" ")[0] for p in ORDINAL_PHRASES))
+    return F.when(col.rlike(rf"\b(?:{singles}|{tens})\b"), reduce(lambda t, rule: _sub(t, *rule), ordinal_rules(), col)).otherwise(col)
 
 
 def extract_number(col: Column) -> Column:
@@ -139,21 +118,14 @@ def extract_number(col: Column) -> Column:
 
 def court_phrases() -> list[tuple[str, int]]:
     """Phrases of two or three words and their numbers, longest first."""
-    found = {f"{t} Y {u}": a + i for t, a in COURT_TENS.items() for i, u in enumerate(COURT_UNITS, 1) if a + i <= 83}
-    found |= {f"{t} Y UN": a + 1 for t, a in COURT_TENS.items() if a < 70}
-    found |= {f"{t} {ORDINAL_UNITS[i - 1]}": {"DECIMO": 10, "VIGESIMO": 20}[t] + i for t, (lo, hi) in COURT_ORDINALS.items() for i in range(lo, hi + 1)}
-    return sorted(found.items(), key=lambda x: -len(x[0]))
-
-
-def court_word_numbers() -> dict[str, int]:
-    return {w: n for n, ws in COURT_WORDS.items() for w in ws.split()}
+    return sorted(COURT_PHRASES.items(), key=lambda x: -len(x[0]))
 
 
 def court_ordinal(col: Column) -> Column:
     """A court's number: a phrase anywhere, else one of the first three words, else the first number of 1-3 digits."""
     t = _sub(norm_suggest(col), r"^JUZGADO\s+")
     phrase = F.coalesce(*[F.when(F.contains(t, F.lit(p)), F.lit(n)) for p, n in court_phrases()])
-    table = F.create_map(*[F.lit(x) for w, n in court_word_numbers().items() for x in (w, n)])
+    table = F.create_map(*[F.lit(x) for w, n in COURT_WORDS.items() for x in (w, n)])
     word = F.filter(F.transform(F.slice(F.split(t, " "), 1, 3), lambda w: F.try_element_at(table, w)), lambda n: n.isNotNull())
     return F.coalesce(phrase, F.try_element_at(word, F.lit(1)), F.regexp_extract(t, r"\b(\d{1,3})\b", 1).try_cast("int"))
 
@@ -175,7 +147,7 @@ def key_words(col: Column) -> Column:
 def court_subtype_key(col: Column) -> Column:
     """What remains of a court's name without number, place and stop words."""
     t = _sub(_sub(_sub(norm_suggest(col), r"^JUZGADO\s+"), CITY_TAIL), PLACE_WORDS)
-    ordinal = sorted({w for p, _ in court_phrases() for w in p.split()} | set(court_word_numbers()))
+    ordinal = sorted({w for p, _ in court_phrases() for w in p.split()} | set(COURT_WORDS))
     return F.array_join(_words_but(squeeze(t), [*ordinal, *KEY_STOPWORDS]), " ")
 
 

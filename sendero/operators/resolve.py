@@ -25,8 +25,15 @@ CITY_PREFIX = {
     "MUNICIPIO": [r"^MUNICIPIO\s*(DE|DEL)?\s*"],
 }
 CITY_TAIL = [r"\s+(SECRETARI|DIRECCION|DESPACHO|HACIENDA|PROCESO|RESOLUCION|NIT|OFICIO|GESTION|FECHA).*", r"\s*\d+.*$", r"[^A-Z0-9Ñ\s]"]
+#: Types whose place is guessed from the name.
 RECOVERABLE = ["GOBERNACION", "ALCALDIA", "MUNICIPIO", "SECRETARIA", "CONTRALORIA", "PERSONERIA", "TRANSITO", "ESP", "TRIBUNAL"]
-GARBAGE = ["CERTIFIED", "SOCIAL", "PROCESO", "TESORERIA", "PUERTO", "DEPARTAMENTO", "GEST", "TRANSITO", "MOVILIDAD", "CONSTRUYENDO", "CIUDAD", "SECRETARIA", "HACIENDA", "VERDE", "TRD", "RADICADO", "VERSION", "NEGRO", "ALCALDE", "ALCALDIAS", "ST", "ES", "RE", "MP", "VI", "IBA", "BARRA", "MON", "SAN", "VILLA", "MUNICIPIO", "RETEN", "GESTION", "VENTANILLA", "ZONA", "PRESIDENCIA", "PAZ", "ESTOS", "GENTE", "NIT", "MIT", "DIRECCIONAMIENTO", "CALL", "SU", "O 6", "POSTAL MUNICIPIO"]
+#: City portions that are no place; personal names are left to the caller's `extra`.
+GARBAGE = [
+    "CERTIFIED", "SOCIAL", "GFIC", "PROCESO", "TESORERIA", "PUERTO", "DEPARTAMENTO", "GEST", "TRANSITO", "MOVILIDAD", "CONSTRUYENDO", "CIUDAD", "ERTIFIE", "CER",
+    "SECRETARIA", "HACIENDA", "VERDE", "CAKE", "ERINTED", "TRD", "RADICADO", "VERSION", "NEGRO", "ALCALDE", "ALCALDIAS", "GRON", "ST", "ES", "RE", "MP", "VI", "IBA",
+    "BARRA", "BLOS", "MON", "SAN", "VILLA", "MUNICIPIO", "RETEN", "GESTION", "VENTANILLA", "ZONA", "DIGDDD", "ATTO", "ESPINBAL", "EDUMAS", "PRESIDENCIA", "PAZ", "ESTOS",
+    "GENTE", "NIT", "MIT", "DIRECCIONAMIENTO", "CALL", "SU", "O 6", "POSTAL MUNICIPIO",
+]
 FUZZY = 0.70
 
 
@@ -56,28 +63,82 @@ def threshold(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(table, kind), F.lit(DEFAULT_THRESHOLD))
 
 
-def anchor_clusters(named: DataFrame, block: list[str], order: list[Column]) -> DataFrame:
-    """named(raw, core, clean, tipo, block...) with `cluster`, the 0-based number of its cluster in its block.
+def grams(text: Column, q: int) -> Column:
+    """The runs of q characters of a text with q - 1 marks before and after it, each with the number of equal ones before."""
+    edge = F.lit("\x01" * (q - 1))
+    runs = F.transform(F.sequence(F.lit(1), F.length(text) + q - 1), lambda i: F.substring(F.concat(edge, text, edge), i, F.lit(q)))
+    return F.transform(runs, lambda g, i: F.struct(g.alias("g"), F.size(F.filter(F.slice(runs, 1, i), lambda h: h == g)).alias("k")))
+
 
-    In order, a name joins the first cluster whose anchor (first member) is similar enough, or opens one. Similar pairs
-    come from a join within the block; which of them count is a fold over the block's names in order.
+def rare_grams(rows: DataFrame, keep: list[str], text: str, counted: DataFrame, q: int, most: float) -> DataFrame:
+    """rows(keep...) once for each of the text's rarest grams, as many as two texts within `most` edits per character
+    of the longer one cannot both be without.
+
+    An edit touches at most q grams, so that such texts of lengths a <= L share L + q - 1 - q * most * L of them or more;
+    of any order of all grams, each text's first 1 + q * most * a then hold one in common.
     """
-    ranked = named.withColumn("i", F.row_number().over(W.partitionBy(*block).orderBy(*order)))
-    a = ranked.select(*block, F.col("i").alias("ai"), F.col("core").alias("ac"), F.col("clean").alias("at"))
+    each = rows.select(*keep, F.length(text).alias("_l"), F.explode(grams(F.col(text), q)).alias("gram"))
+    ranked = each.join(counted, "gram", "left").groupBy(*keep, "_l").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram"))).alias("all"))
+    first = F.slice("all", 1, F.floor(1 + q * most * F.col("_l") + 1e-6).cast("int"))
+    return ranked.select(*keep, F.explode(first).alias("x")).select(*keep, "x.gram")
+
+
+def gram_counts(rows: DataFrame, text: str, q: int) -> DataFrame:
+    return rows.select(F.explode(grams(F.col(text), q)).alias("gram")).groupBy("gram").agg(F.count("*").alias("times"))
+
+
+def near_pairs(ranked: DataFrame, block: list[str]) -> DataFrame:
+    """(ai, i) of names of one block with ai < i whose cores, or cleaned texts where a core is empty, are similar enough
+    for the type of i. Candidates share a rare gram; none that is similar enough is left out."""
+    q, most = 3, 1 - min(*THRESHOLDS.values(), DEFAULT_THRESHOLD)
+    keep = [*block, "i", "blank"]
+    told = ranked.withColumn("blank", F.col("core") == "")
+    found = []
+    for text, rows, one_blank in (("core", told.filter(~F.col("blank")), False), ("clean", told, True)):
+        lists = rare_grams(rows, keep, text, gram_counts(rows, text, q), q, most)
+        a = lists.select(*block, "gram", F.col("i").alias("ai"), F.col("blank").alias("ab"))
+        pairs = lists.join(a, [*block, "gram"]).filter(F.col("ai") < F.col("i"))
+        found.append((pairs.filter(F.col("blank") | F.col("ab")) if one_blank else pairs).select("ai", "i"))
+    pairs = found[0].unionByName(found[1]).distinct()
+    a = told.select(F.col("i").alias("ai"), F.col("core").alias("ac"), F.col("clean").alias("at"))
     blank = (F.col("core") == "") | (F.col("ac") == "")
     alike = F.when(blank, levenshtein_ratio(F.col("at"), F.col("clean"))).otherwise(levenshtein_ratio(F.col("ac"), F.col("core")))
-    near = ranked.join(a, block).filter((F.col("ai") < F.col("i")) & (alike >= threshold(F.col("tipo")))).groupBy(*block, "i").agg(F.collect_list("ai").alias("near"))
-    members = ranked.join(near, [*block, "i"], "left").groupBy(*block).agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("near", F.array().cast("array<int>")).alias("near"), "raw"))).alias("members"))
-    start = F.struct(F.array().cast("array<int>").alias("anchors"), F.array().cast("array<int>").alias("of"))
+    return pairs.join(a, "ai").join(told.select("i", "core", "clean", "tipo"), "i").filter(alike >= threshold(F.col("tipo"))).select("ai", "i")
+
+
+def joined_by(edges: DataFrame) -> DataFrame:
+    """The i of edges(ai, i), ai < i, that some ai opens no cluster before: all that are no anchors.
 
-    def step(acc: Column, m: Column) -> Column:
-        hit = F.filter(acc["anchors"], lambda x: F.array_contains(m["near"], x))
-        place = F.when(F.size(hit) > 0, F.array_position(acc["anchors"], F.try_element_at(hit, F.lit(1))).cast("int") - 1).otherwise(F.size(acc["anchors"]))
-        return F.struct(F.when(F.size(hit) > 0, acc["anchors"]).otherwise(F.array_append(acc["anchors"], m["i"])).alias("anchors"), F.array_append(acc["of"], place).alias("of"))
+    Whatever has no earlier neighbour left is an anchor, and what is next to an anchor is none; each round decides those
+    and leaves their edges out. The first undecided name is always decided, so the rounds end.
+    """
+    out, spark = [], edges.sparkSession
+    while not edges.isEmpty():
+        anchors = edges.select(F.col("ai").alias("a")).join(edges.select(F.col("i").alias("a")), "a", "left_anti").distinct()
+        gone = staged(edges.join(anchors, F.col("ai") == F.col("a"), "left_semi").select("i").distinct(), "joined")
+        out.append(gone)
+        edges = staged(edges.join(gone, "i", "left_anti").join(gone.select(F.col("i").alias("ai")), "ai", "left_anti").select("ai", "i"), "edges")
+    joined = spark.createDataFrame([], "i bigint")
+    for gone in out:
+        joined = joined.unionByName(gone)
+    return joined
+
+
+def anchor_clusters(named: DataFrame, block: list[str], order: list[Column]) -> DataFrame:
+    """named(raw, core, clean, tipo, block...) with `cluster`, the 0-based number of its cluster in its block.
 
-    solved = members.withColumn("of", F.aggregate("members", start, step, lambda acc: acc["of"]))
-    each = solved.select(*block, F.explode(F.arrays_zip(F.col("members.raw").alias("raw"), F.col("of").alias("cluster"))).alias("x")).select(*block, "x.raw", "x.cluster")
-    return named.join(each, [*block, "raw"])
+    In order, a name joins the first cluster whose anchor (first member) is similar enough, or opens one. Nulls in core or
+    clean count as empty. An empty table gives an empty one.
+    """
+    filled = named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("core", "clean")})
+    ranked = numbered(filled, [*block, *order], "i")
+    edges = staged(near_pairs(ranked, block), "edges")
+    joined = staged(joined_by(edges), "joined")
+    first = edges.join(joined.select(F.col("i").alias("ai")), "ai", "left_anti").groupBy("i").agg(F.min("ai").alias("anchor"))
+    own = numbered(ranked.join(joined, "i", "left_anti").select(*block, F.col("i").alias("anchor")), ["anchor"], "at")
+    opened = own.join(own.groupBy(*block).agg(F.min("at").alias("least")), block).select("anchor", (F.col("at") - F.col("least")).cast("int").alias("cluster"))
+    member = ranked.join(first.join(joined, "i"), "i", "left").withColumn("anchor", F.coalesce("anchor", "i"))
+    return member.join(opened, "anchor").select(*named.columns, "cluster")
 
 
 def city_portion(kind: Column, clean: Column) -> Column:
@@ -97,22 +158,25 @@ def city_portion(kind: Column, clean: Column) -> Column:
 def nearest(fragments: DataFrame, names: DataFrame, least: float = FUZZY) -> DataFrame:
     """fragments(part) with the columns of the most similar of names(norm, ord, ...), if similar enough.
 
-    Names are one small table; lengths that the ratio rules out are left out by the join condition.
+    Candidates share a rare pair of characters, which all that are similar enough (`least` of 0.5 or more) do.
     """
-    gate = F.abs(F.length("part") - F.length("norm")) / F.greatest(F.length("part"), F.length("norm")) <= 0.4
-    pairs = fragments.select("part").distinct().filter(F.length("part") >= 3).join(F.broadcast(names), gate).withColumn("ratio", levenshtein_ratio(F.col("part"), F.col("norm")))
-    return pairs.filter(F.col("ratio") >= least).groupBy("part").agg(F.max_by(F.struct(*names.columns), F.struct("ratio", (-F.col("ord")).alias("o"))).alias("hit"), F.max("ratio").alias("ratio")).select("part", "hit.*", "ratio")
+    q, most = 2, 1 - least
+    counted = gram_counts(names, "norm", q)
+    parts = rare_grams(fragments.select("part").distinct().filter(F.length("part") >= 3), ["part"], "part", counted, q, most)
+    listed = rare_grams(names.select("norm").distinct(), ["norm"], "norm", counted, q, most)
+    pairs = parts.join(listed, "gram").select("part", "norm").distinct().withColumn("ratio", levenshtein_ratio(F.col("part"), F.col("norm"))).filter(F.col("ratio") >= least).join(names, "norm")
+    return pairs.groupBy("part").agg(F.max_by(F.struct(*names.columns), F.struct("ratio", (-F.col("ord")).alias("o"))).alias("hit"), F.max("ratio").alias("ratio")).select("part", "hit.*", "ratio")
 
 
-def recover_places(groups: DataFrame, names: DataFrame, departments: DataFrame) -> DataFrame:
+def recover_places(groups: DataFrame, names: DataFrame, departments: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """groups(tipo, lugar, cluster, raw, n, clean) with the place of groups without one, guessed from the most frequent
-    name's city portion; `lugar2` is the new place, '' + the old one and its cluster where nothing was found."""
+    name's city portion; `lugar2` is the new place, '' + the old one and its cluster where nothing was found. Portions in GARBAGE or `extra` are no place."""
     without = F.contains("lugar", F.lit("__NO_"))
     key = ["tipo", "subtipo", "numero", "lugar", "cluster"]
     prime = groups.filter(without & F.col("tipo").isin(*RECOVERABLE)).groupBy(*key).agg(F.max_by("clean", F.struct("n", (-F.col("seen")).alias("s"))).alias("prime"))
     prime = prime.withColumn("part", city_portion(F.col("tipo"), F.col("prime")))
     prime = staged(prime, "prime")  # one row a group without a place
-    prime = prime.filter(~F.col("part").isin(*GARBAGE))
+    prime = prime.filter(~F.col("part").isin(*GARBAGE, *(extra or [])))
     cities = nearest(prime, names).select("part", F.col("municipio").alias("gm"), F.col("departamento").alias("gd"))
     depts = nearest(prime, departments).select("part", F.col("departamento").alias("od"))
     found = prime.join(cities, "part", "left").join(depts, "part", "left").withColumn("found", F.when(F.col("tipo") == "GOBERNACION", F.coalesce("od", "gd")).otherwise(F.col("gm")))

@@ -44,8 +44,8 @@ def _upper_words(x, stop):
 
 _COURT = duck.sub(duck.norm_keep("raw"), r"^JUZGADO\s+")
 _PHRASES = " ".join(f"WHEN contains({_COURT}, {duck.q(p)}) THEN {n}" for p, n in text.court_phrases())
-_WORDS = "MAP {" + ", ".join(f"{duck.q(w)}: {n}" for w, n in text.court_word_numbers().items()) + "}"
-_ORDINAL_STOP = [*sorted({w for p, _ in text.court_phrases() for w in p.split()} | set(text.court_word_numbers())), *text.KEY_STOPWORDS]
+_WORDS = "MAP {" + ", ".join(f"{duck.q(w)}: {n}" for w, n in text.COURT_WORDS.items()) + "}"
+_ORDINAL_STOP = [*sorted({w for p, _ in text.court_phrases() for w in p.split()} | set(text.COURT_WORDS)), *text.KEY_STOPWORDS]
 _each("q_clean_text", text.clean_text, duck.clean_text)
 _each("q_norm_keep_enie", text.norm_keep, duck.norm_keep)
 _each("q_norm_fold_all", text.norm_fold, duck.norm_fold)
