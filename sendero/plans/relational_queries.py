@@ -151,9 +151,9 @@ def q_semi_membership(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey").join(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti").agg(F.count("*").alias("fuera"))
 
 
-@query("WITH a AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem) SELECT count_if(b.k IS NULL) AS solo_a, count_if(a.k IS NULL) AS solo_b, count_if(a.k IS NOT NULL AND b.k IS NOT NULL) AS ambos FROM a FULL OUTER JOIN b ON a.k = b.k")
+@query("WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer), b AS (SELECT DISTINCT user_id AS k FROM events) SELECT count_if(b.k IS NULL) AS solo_a, count_if(a.k IS NULL) AS solo_b, count_if(a.k IS NOT NULL AND b.k IS NOT NULL) AS ambos FROM a FULL OUTER JOIN b ON a.k = b.k")
 def q_id_reconcile(spark, sf_dir):
-    return quality.reconcile(table(spark, sf_dir, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k")), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")), "k")
+    return quality.reconcile(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "events").select(F.col("user_id").alias("k")), "k")
 
 
 @query("WITH a AS (SELECT list_sort(list_distinct(list(c_nationkey))) AS x FROM customer), b AS (SELECT list_sort(list_distinct(list(s_nationkey))) AS y FROM supplier) SELECT len(list_intersect(x, y)) AS comunes, len(x) AS clientes, len(y) AS proveedores, array_to_string(list_sort(list_filter(x, lambda v: NOT list_contains(y, v))), ',') AS sobrantes FROM a, b")
@@ -253,12 +253,12 @@ def q_topn_page(spark, sf_dir):
     return table(spark, sf_dir, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").offset(50).limit(50).select("c_custkey", "c_name")
 
 
-@query("SELECT c_custkey, row_number() OVER (ORDER BY coalesce(CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END, 'zzz'), c_acctbal DESC, c_custkey) AS lugar FROM customer ORDER BY lugar LIMIT 100")
+@query("SELECT c_custkey, row_number() OVER (ORDER BY coalesce(CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END, 'zzz'), c_acctbal DESC, c_custkey) AS lugar FROM customer")
 def q_user_sort(spark, sf_dir):
-    """The first hundred by segment (missing last) and balance, numbered."""
+    """All customers by segment (missing last) and balance, numbered range by range."""
     key = F.coalesce(F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")), F.lit("zzz"))
-    top = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", key.alias("k")).orderBy("k", F.desc("c_acctbal"), "c_custkey").limit(100)
-    return top.select("c_custkey", F.row_number().over(W.orderBy("k", F.desc("c_acctbal"), "c_custkey")).cast("bigint").alias("lugar"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", key.alias("k"))
+    return model.numbered(rows, ["k", F.desc("c_acctbal"), "c_custkey"], "lugar").select("c_custkey", "lugar")
 
 
 @query("SELECT r.event_id AS desembargo_id, o.event_id AS embargo_id, o.user_id AS usuario FROM events r JOIN events o ON o.event_id = r.event_id - 1 WHERE r.event_type = 'purchase' AND o.event_type <> 'purchase' ORDER BY 1 LIMIT 30")
