@@ -14,8 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sendero.functions.text import norm_fold, remove_accents, strip
+from sendero.operators.model import numbered
 
 MAX_WORDS = 5
+ALIAS_ORD = 10_000  # the place of the first alias, after all municipalities
 DEPARTMENTS = ["Amazonas", "Antioquia", "Atlántico", "Bolívar", "Boyacá", "Caldas", "Cauca", "Cesar", "Córdoba", "Cundinamarca", "Huila", "Magdalena", "Meta", "Nariño", "Norte de Santander", "Quindío", "Risaralda", "Santander", "Sucre", "Tolima", "Valle del Cauca"]
 MUNICIPALITIES = [
     ("Medellín", "Antioquia"), ("Armenia", "Antioquia"), ("Rionegro", "Antioquia"), ("Caldas", "Antioquia"), ("Barranquilla", "Atlántico"), ("Cartagena de Indias", "Bolívar"),
@@ -24,10 +26,11 @@ MUNICIPALITIES = [
     ("Pasto", "Nariño"), ("Mosquera", "Nariño"), ("Cúcuta", "Norte de Santander"), ("Armenia", "Quindío"), ("Pereira", "Risaralda"), ("San Gil", "Santander"), ("Rionegro", "Santander"),
     ("Sincelejo", "Sucre"), ("Ibagué", "Tolima"), ("Cali", "Valle del Cauca"), ("Buga", "Valle del Cauca"),
 ]
-#: Ambiguous names and the department that is meant without context.
+#: Ambiguous names and the department that is meant without context.
 PREFERRED = [("ARMENIA", "Quindío"), ("RIONEGRO", "Antioquia"), ("MOSQUERA", "Cundinamarca")]
-#: Other spellings, the last of a spelling wins.
+#: Other spellings, the last of a spelling wins.
 CITY_ALIASES = [("BOGOTA", "Bogotá D.C.", "Cundinamarca"), ("BOGOTA DC", "Bogotá D.C.", "Cundinamarca"), ("SANTIAGO DE CALI", "Cali", "Valle del Cauca"), ("CARTAGENA", "Cartagena de Indias", "Bolívar"), ("SAN JOSE DE CUCUTA", "Cúcuta", "Norte de Santander"), ("GUADALAJARA DE BUGA", "Buga", "Valle del Cauca"), ("BOGOTA", "Bogotá", "Bogotá, D.C.")]
+#: Other spellings of departments, and a city that stands for its own.
 DEPT_ALIASES = [("VALLE DEL CAUCA", "Valle del Cauca"), ("VALLE", "Valle del Cauca"), ("N DE SANTANDER", "Norte de Santander"), ("BOLIBAR", "Bolívar"), ("NORTE", "Norte de Santander"), ("CALI", "Valle del Cauca")]
 
 
@@ -50,12 +53,32 @@ def plain(col: Column) -> Column:
 def geography(spark: SparkSession, departments=DEPARTMENTS, municipalities=MUNICIPALITIES, preferred=PREFERRED, city_aliases=CITY_ALIASES, dept_aliases=DEPT_ALIASES) -> Geography:
     """The name tables. A city name with one meaning stands for it, one of several for the preferred or else the first
     listed; an alias overrides both, and of equal aliases the last counts."""
-    depts = spark.createDataFrame([(d, i) for i, d in enumerate(departments)], "departamento string, ord int").select(plain(F.col("departamento")).alias("norm"), "departamento", "ord")
+    depts = spark.createDataFrame([(d, i) for i, d in enumerate(departments)], "departamento string, ord int")
+    cities = spark.createDataFrame([(m, d, i) for i, (m, d) in enumerate(municipalities)], "municipio string, departamento string, ord int")
+    return _geography(depts, cities, preferred, city_aliases, dept_aliases)
+
+
+def geography_of(listed: DataFrame, preferred=PREFERRED, city_aliases=CITY_ALIASES, dept_aliases=DEPT_ALIASES) -> Geography:
+    """The name tables of listed(departamento, municipio, ord), as readers.geography_json gives them: departments and
+    municipalities in the order of ord, a null municipality being a department without any. A row without a department
+    and repeated rows count once or not at all. More than ALIAS_ORD municipalities are an error."""
+    rows = listed.filter("departamento IS NOT NULL")
+    depts = numbered(rows.groupBy("departamento").agg(F.min("ord").alias("first")), ["first", "departamento"], "n")
+    cities = numbered(rows.filter("municipio IS NOT NULL").groupBy("municipio", "departamento").agg(F.min("ord").alias("first")), ["first", "departamento", "municipio"], "n")
+    if (count := cities.count()) > ALIAS_ORD:
+        raise ValueError(f"{count} municipalities, at most {ALIAS_ORD} can be told from aliases")
+    place = (F.col("n") - 1).cast("int").alias("ord")
+    return _geography(depts.select("departamento", place), cities.select("municipio", "departamento", place), preferred, city_aliases, dept_aliases)
+
+
+def _geography(departments: DataFrame, municipalities: DataFrame, preferred, city_aliases, dept_aliases) -> Geography:
+    spark = departments.sparkSession
+    depts = departments.select(plain(F.col("departamento")).alias("norm"), "departamento", "ord")
     aliases = spark.createDataFrame([(a, d, i) for i, (a, d) in enumerate(dept_aliases)], "norm string, departamento string, ord int")
-    raw = spark.createDataFrame([(m, d, i) for i, (m, d) in enumerate(municipalities)], "municipio string, departamento string, ord int").select(plain(F.col("municipio")).alias("norm"), "municipio", "departamento", "ord")
-    pref = spark.createDataFrame(preferred, "norm string, departamento string").withColumn("preferred", F.lit(1))
+    raw = municipalities.select(plain(F.col("municipio")).alias("norm"), "municipio", "departamento", "ord")
+    pref = spark.createDataFrame(list(preferred), "norm string, departamento string").withColumn("preferred", F.lit(1))
     listed = raw.join(pref, ["norm", "departamento"], "left").select("norm", "municipio", "departamento", "ord", F.when(F.col("preferred").isNotNull(), 1).otherwise(2).alias("rank"), F.col("ord").alias("place"))
-    named = spark.createDataFrame([(a, m, d, 10_000 + i, 0, -i) for i, (a, m, d) in enumerate(city_aliases)], listed.schema)
+    named = spark.createDataFrame([(a, m, d, ALIAS_ORD + i, 0, -i) for i, (a, m, d) in enumerate(city_aliases)], "norm string, municipio string, departamento string, ord int, rank int, place int")
     first = W.partitionBy("norm").orderBy("rank", "place")
     cities = listed.unionByName(named).withColumn("ord", F.min("ord").over(W.partitionBy("norm"))).withColumn("rn", F.row_number().over(first)).filter("rn = 1").select("norm", "municipio", "departamento", "ord")
     return Geography(depts, aliases, cities, raw)
@@ -115,7 +138,7 @@ def resolve_cities(raw: DataFrame, geo: Geography, col: str = "ciudad") -> DataF
     """(col, municipio, departamento) of distinct spellings: the name itself, without a D.C. or D.T. suffix, before a
     suffix that is part of some department's name, or its first one, two or three words."""
     names = geo.homonyms.select(norm_fold(F.col("municipio")).alias("key"), "municipio", "departamento", F.col("ord").alias("place"), F.lit(1).alias("rank"))
-    alias = geo.cities.filter("ord >= 10000").select(norm_fold(F.col("norm")).alias("key"), "municipio", "departamento", F.lit(0).alias("place"), F.lit(0).alias("rank"))
+    alias = geo.cities.filter(F.col("ord") >= ALIAS_ORD).select(norm_fold(F.col("norm")).alias("key"), "municipio", "departamento", F.lit(0).alias("place"), F.lit(0).alias("rank"))
     table = names.unionByName(alias).groupBy("key").agg(F.min_by(F.struct("municipio", "departamento"), F.struct("rank", "place")).alias("to"))
     n = norm_fold(F.col(col))
     words = F.split("n", " ")

@@ -109,3 +109,15 @@ def test_residual_candidates_of_courts_against_all_pairs(spark):
     large = against(rows)
     subtype = {r[0]: r[3] for r in rows}
     assert any(subtype[c] != subtype[p] for c, p in small) and all(subtype[c] == subtype[p] for c, p in large)
+
+
+def test_geography_of_a_file(spark, tmp_path):
+    path = str(tmp_path / "g.json")
+    (tmp_path / "g.json").write_text('[{"id": 0, "departamento": "Antioquia", "ciudades": ["Medellín", "Armenia", "Armenia"]}, {"id": 1, "departamento": "Quindío", "ciudades": ["Armenia", "Circasia"]}, {"id": 2, "departamento": "Vaupés", "ciudades": []}, {"id": 3, "ciudades": ["X"]}]')
+    g = geo.geography_of(readers.geography_json(spark, path))
+    assert [(r.departamento, r.ord) for r in g.departments.orderBy("ord").collect()] == [("Antioquia", 0), ("Quindío", 1), ("Vaupés", 2)]
+    assert [(r.municipio, r.departamento) for r in g.homonyms.orderBy("ord").collect()] == [("Medellín", "Antioquia"), ("Armenia", "Antioquia"), ("Armenia", "Quindío"), ("Circasia", "Quindío")]
+    texts = {"ALCALDIA DE ARMENIA": ("Armenia", "Quindío"), "ALCALDIA DE ARMENIA ANTIOQUIA": ("Armenia", "Antioquia"), "PERSONERIA DE CIRCASIA": ("Circasia", "Quindío"), "OFICINA DEL VAUPES": (None, "Vaupés")}
+    rows = spark.createDataFrame([(t, "ALCALDIA") for t in texts], "clean string, tipo string")
+    assert {r.clean: (r.municipio, r.departamento) for r in geo.locate(rows, g).collect()} == texts
+    assert geo.geography_of(spark.createDataFrame([], "departamento string, municipio string, ord int")).homonyms.collect() == []
