@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,19 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(BATCH, was)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for queries that run inside."""
+    was = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _scratch: list[list[tuple[str, str]]] = []
 
 
@@ -112,6 +126,34 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64, limit_mb:
     return F.broadcast(df) if rows * row_bytes <= limit_mb << 20 else df
 
 
+def keyed(rows: DataFrame, key: str) -> DataFrame:
+    """rows with a number of each, the same whenever it is read: its file's, and its place in there.
+
+    Rows that no file holds are written first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    try:
+        placed = rows.select("*", *place)
+    except AnalysisException:  # not read from files
+        placed = (rows := written(rows, "rows")).select("*", *place)
+    files = sorted(r[0] for r in placed.select("_file").distinct().collect())  # one row a file
+    numbers = rows.sparkSession.createDataFrame(pa.table({"_file": pa.array(files, pa.string()), "_number": pa.array(range(len(files)), pa.int64())}))
+    return placed.join(broadcast_if_small(numbers, len(files), 256), "_file").select(*rows.columns, (F.col("_number") * (1 << 36) + F.col("_at")).alias(key))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, rows: int, salts: int = 64, row_bytes: int = 64) -> DataFrame:
+    """left joined with right, which has one row for each key, though a key may hold a large share of left.
+
+    right is broadcast if its counted rows are small; else both sides are dealt by the key and a salt, a hash of left's
+    column `by`, and right's rows are repeated for each salt that occurs.
+    """
+    if rows * row_bytes <= 64 << 20:
+        return left.join(F.broadcast(right), on)
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    occurs = left.groupBy(*on, "_salt").agg(F.count("*").alias("_n")).groupBy(*on).agg(F.collect_list("_salt").alias("_salts"))
+    return left.join(right.join(occurs, on).withColumn("_salt", F.explode("_salts")).drop("_salts"), [*on, "_salt"]).drop("_salt")
+
+
 def digest(text: str = "text") -> F.Column:
     """SHA-256 of the UTF-8 bytes as 32 bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
