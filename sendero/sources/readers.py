@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +13,19 @@ def named_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, quote='"', escape='"', multiLine=True, enforceSchema=True)
 
 
-def positional_csv(spark: SparkSession, path: str, width: int, wanted: dict[int, str], least: int) -> DataFrame:
-    """Columns of a headed CSV by position; rows with fewer than `least` fields are left out."""
+def positional_csv(spark: SparkSession, path: str, width: int, wanted: dict[int, str], least: int, seen: Observation | None = None) -> DataFrame:
+    """Columns of a headed CSV by position; rows with fewer than `least` fields are left out, wider ones are cut.
+
+    A row that is not `width` fields wide is counted by its text: a comma inside quotes ends no field. seen, if any, gets
+    `filas` and `filas_cortas` as the rows are read.
+    """
     schema = T.StructType([*[T.StructField(f"_{i}", T.StringType()) for i in range(width)], T.StructField("_corrupt", T.StringType())])
     rows = spark.read.csv(path, schema=schema, header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
-    present = F.col("_corrupt").isNull() | F.col(f"_{least - 1}").isNotNull()
+    bare = F.regexp_replace("_corrupt", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    present = F.col("_corrupt").isNull() | (fields >= least)
+    if seen is not None:
+        rows = rows.observe(seen, F.count("*").alias("filas"), F.count_if(~present).alias("filas_cortas"))
     return rows.filter(present).select(*[F.col(f"_{i}").alias(n) for i, n in wanted.items()])
 
 
@@ -35,6 +43,46 @@ def jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
+def jdbc_ranges(spark: SparkSession, url: str, table: str, key: str, rows: int = 1_000_000, ways: int = 64, **options: str) -> DataFrame:
+    """A database table, read by one task for each range of an integer key that holds about `rows` rows.
+
+    The database counts the rows of `ways` equal ranges, and again within each that is too full, so that keys which lie close
+    together are split as well; a single key is never split. Rows without a key are a range of their own. Each task reads by
+    a connection of its own: rows that change meanwhile may be seen or not.
+    """
+    ask = lambda q: spark.read.format("jdbc").options(url=url, query=q, **options).load().collect()  # noqa: E731  a row for each range
+    least, most, keyed, total = (int(x or 0) for x in ask(f"SELECT MIN({key}) AS a, MAX({key}) AS b, COUNT({key}) AS c, COUNT(*) AS d FROM {table}")[0])
+
+    def cuts(lo: int, hi: int, count: int) -> list[int]:
+        """Where ranges begin in [lo, hi), lo among them."""
+        if count <= rows or hi - lo <= 1:
+            return [lo]
+        width = max(1, -(-(hi - lo) // ways))
+        within = f"SELECT FLOOR(({key} - ({lo})) / {width}) AS a FROM {table} WHERE {key} >= {lo} AND {key} < {hi}"
+        counted = ask(f"SELECT q.a, COUNT(*) AS b FROM ({within}) q GROUP BY q.a")
+        out, held = [lo], 0
+        for bucket, n in sorted((int(r[0]), int(r[1])) for r in counted):
+            begin, end = lo + bucket * width, min(hi, lo + (bucket + 1) * width)
+            if held and held + n > rows:
+                out.append(begin)
+                held = 0
+            if n > rows and end - begin > 1:
+                inner = cuts(begin, end, n)
+                out += [c for c in inner if c > out[-1]]
+                held = rows  # the next bucket begins a range
+            else:
+                held += n
+        return out
+
+    if not total:
+        return spark.read.jdbc(url, table, properties=options)
+    starts = cuts(least, most + 1, keyed) if keyed else []
+    parts = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(starts, [*starts, most + 1][1:], strict=True)] if starts else []
+    if keyed < total:
+        parts.append(f"{key} IS NULL")
+    return spark.read.jdbc(url, table, predicates=parts, properties=options)
+
+
 def line_count(spark: SparkSession, path: str) -> int:
     """Physical lines after the header, quoted line ends counted too."""
     return spark.read.text(path).count() - 1
