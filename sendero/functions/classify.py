@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sendero.functions import text
+
 #: Fixed values: (type, pattern, pattern that must not match), in order.
 TYPES: list[tuple[str, str, str]] = [
     ("DATT", r"DATT|DEPARTAMENTO\s+ADMINISTRATIVO\s+DE\s+TRANS", ""),
@@ -93,3 +95,19 @@ def subtype(kind: Column, clean: Column) -> Column:
             chain = chain.when(reduce(lambda a, b: a & b, [clean.rlike(p) for p in patterns], kind == of), name)
     tail = F.substring(F.trim(F.regexp_extract(clean, "MINISTERIO(.*)$", 1)), 1, 25)
     return chain.when(kind == "MINISTERIO", tail).otherwise("")
+
+
+def classified(names: DataFrame) -> DataFrame:
+    """names(raw, ...) with clean, tipo, subtipo and numero."""
+    out = names.withColumn("clean", text.clean_text(F.col("raw")))
+    out = out.withColumn("tipo", entity_type(F.col("clean")))
+    number = F.when(F.col("tipo").isin(*NUMBERED), text.extract_number(F.col("raw"))).otherwise("")
+    return out.withColumns({"subtipo": subtype(F.col("tipo"), F.col("clean")), "numero": number})
+
+
+def with_default_places(placed: DataFrame) -> DataFrame:
+    """placed(tipo, municipio, departamento, ...) with the places of types that name none."""
+    for kind, (city, dept) in DEFAULT_PLACE.items():
+        own = F.col("tipo") == kind
+        placed = placed.withColumns({"municipio": F.when(own, F.coalesce("municipio", F.lit(city))).otherwise(F.col("municipio")), "departamento": F.when(own, F.coalesce("departamento", F.lit(dept))).otherwise(F.col("departamento"))})
+    return placed

@@ -1,13 +1,14 @@
 """Geography of names: department and municipality tables, longest-match location, city cascades.
 
 Tables are DataFrames that a caller may replace; the seeds below hold public place names enough for tests. A name occurs
-in a text where its words follow one another between word boundaries. Texts are therefore cut into word n-grams and
-joined to the names by equality, and only what joins is checked with the boundary pattern.
+in a text where its words follow one another between word boundaries. Texts are therefore cut into word n-grams, of the
+lengths that the names have, and joined to the names by equality; only what joins is checked with the boundary pattern.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from sendero.functions.text import norm_fold, remove_accents, strip
 from sendero.operators.model import numbered
+from sendero.sources.stage import broadcast_if_small, staged
 
-MAX_WORDS = 5
-ALIAS_ORD = 10_000  # the place of the first alias, after all municipalities
+ALIAS_ORD = 1 << 30  # the place of the first alias, after all municipalities
 DEPARTMENTS = ["Amazonas", "Antioquia", "Atlántico", "Bolívar", "Boyacá", "Caldas", "Cauca", "Cesar", "Córdoba", "Cundinamarca", "Huila", "Magdalena", "Meta", "Nariño", "Norte de Santander", "Quindío", "Risaralda", "Santander", "Sucre", "Tolima", "Valle del Cauca"]
 MUNICIPALITIES = [
     ("Medellín", "Antioquia"), ("Armenia", "Antioquia"), ("Rionegro", "Antioquia"), ("Caldas", "Antioquia"), ("Barranquilla", "Atlántico"), ("Cartagena de Indias", "Bolívar"),
@@ -37,12 +38,14 @@ DEPT_ALIASES = [("VALLE DEL CAUCA", "Valle del Cauca"), ("VALLE", "Valle del Cau
 @dataclass
 class Geography:
     """departments(norm, departamento, ord), dept_aliases(norm, departamento, ord), cities(norm, municipio,
-    departamento, ord), homonyms(norm, municipio, departamento, ord)."""
+    departamento, ord), homonyms(norm, municipio, departamento, ord); rows: of all, sizes: in words, of the names."""
 
     departments: DataFrame
     dept_aliases: DataFrame
     cities: DataFrame
     homonyms: DataFrame
+    rows: int
+    sizes: list[int]
 
 
 def plain(col: Column) -> Column:
@@ -81,42 +84,73 @@ def _geography(departments: DataFrame, municipalities: DataFrame, preferred, cit
     named = spark.createDataFrame([(a, m, d, ALIAS_ORD + i, 0, -i) for i, (a, m, d) in enumerate(city_aliases)], "norm string, municipio string, departamento string, ord int, rank int, place int")
     first = W.partitionBy("norm").orderBy("rank", "place")
     cities = listed.unionByName(named).withColumn("ord", F.min("ord").over(W.partitionBy("norm"))).withColumn("rn", F.row_number().over(first)).filter("rn = 1").select("norm", "municipio", "departamento", "ord")
-    return Geography(depts, aliases, cities, raw)
+    return Geography(depts, aliases, cities, raw, *name_sizes(depts, aliases, cities, raw))
 
 
-def named_in(texts: DataFrame, text: str, names: DataFrame) -> DataFrame:
-    """Rows (text, columns of names) for each name that occurs in a text."""
-    words = F.split(F.col(text), r"[^A-Z0-9Ñ]+")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(MAX_WORDS)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))))
-    found = texts.select(text).distinct().select(text, F.explode(F.array_distinct(grams)).alias("gram"))
-    keyed = names.withColumn("gram", F.array_join(F.filter(F.split("norm", r"[^A-Z0-9Ñ]+"), lambda w: w != ""), " "))
-    return found.join(F.broadcast(keyed), "gram").drop("gram").filter(F.rlike(F.col(text), F.concat(F.lit(r"\b\Q"), F.col("norm"), F.lit(r"\E\b")))).distinct()
+def words(text: Column) -> Column:
+    return F.split(text, r"[^A-Z0-9Ñ]+")
 
 
-def department_of(texts: DataFrame, text: str, geo: Geography) -> DataFrame:
+def name_words(norm: Column) -> Column:
+    """A name as word n-grams of texts have it."""
+    return F.filter(words(norm), lambda w: w != "")
+
+
+def name_sizes(*names: DataFrame) -> tuple[int, list[int]]:
+    """How many rows names(norm) have, and the numbers of words of their names."""
+    each = [rows.select(F.size(name_words(F.col("norm"))).alias("n")) for rows in names]
+    counted = reduce(DataFrame.unionByName, each).groupBy("n").count().filter("n > 0").collect()  # a row for each length
+    return sum(r["count"] for r in counted), sorted(r["n"] for r in counted)
+
+
+def named_in(texts: DataFrame, text: str, names: DataFrame, rows: int, sizes: list[int]) -> DataFrame:
+    """Rows (text, columns of names) for each name that occurs in a text, however many words it has."""
+    own = words(F.col(text))
+
+    def runs(n: int) -> Column:
+        """Every n words that follow one another; all of a text that has fewer."""
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(own) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(own, i, n), " "))
+
+    found = texts.select(text).distinct().select(text, F.explode(F.array_distinct(F.concat(*map(runs, sizes or [1])))).alias("gram"))
+    keyed = names.withColumn("gram", F.array_join(name_words(F.col("norm")), " "))
+    return found.join(broadcast_if_small(keyed, rows), "gram").drop("gram").filter(F.rlike(F.col(text), F.concat(F.lit(r"\b\Q"), F.col("norm"), F.lit(r"\E\b")))).distinct()
+
+
+def place_hits(texts: DataFrame, text: str, geo: Geography) -> DataFrame:
+    """Every department, alias of one, and city that is named in a text, found in one join, with what kind of name it is.
+
+    A city whose name is a department's too, or an alias of one, is marked to be passed over.
+    """
+    also = geo.departments.select("norm", F.col("departamento").alias("passed")).unionByName(geo.dept_aliases.select("norm", F.lit(None).cast("string").alias("passed")))
+    also = also.groupBy("norm").agg(F.max("passed").alias("passed")).withColumn("skip", F.lit(True))
+    empty, no = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    cities = geo.cities.filter(F.length("norm") >= 3).join(also, "norm", "left").select(F.lit("city").alias("of"), "norm", "municipio", "departamento", "ord", "passed", "skip")
+    depts = [rows.select(F.lit(of).alias("of"), "norm", empty.alias("municipio"), "departamento", "ord", empty.alias("passed"), no.alias("skip")) for of, rows in (("department", geo.departments), ("alias", geo.dept_aliases))]
+    return staged(named_in(texts, text, reduce(DataFrame.unionByName, [cities, *depts]), geo.rows, geo.sizes), "places")
+
+
+def department_of(texts: DataFrame, text: str, geo: Geography, hits: DataFrame | None = None) -> DataFrame:
     """(text, departamento) of the longest department name in each text, else of the first alias."""
-    named = named_in(texts, text, geo.departments.withColumn("rank", -F.length("norm")))
-    other = named_in(texts, text, geo.dept_aliases.withColumn("rank", F.lit(0)))
-    return named.unionByName(other).groupBy(text).agg(F.min_by("departamento", F.struct("rank", "ord")).alias("departamento"))
+    hits = place_hits(texts, text, geo) if hits is None else hits
+    rank = F.when(F.col("of") == "department", -F.length("norm")).otherwise(0)
+    return hits.filter("of <> 'city'").groupBy(text).agg(F.min_by("departamento", F.struct(rank.alias("rank"), "ord")).alias("departamento"))
 
 
-def municipality_of(texts: DataFrame, text: str, geo: Geography, hint: str = "hint") -> DataFrame:
+def municipality_of(texts: DataFrame, text: str, geo: Geography, hint: str = "hint", hits: DataFrame | None = None) -> DataFrame:
     """(text, hint, municipio, departamento) of the longest municipality name in each text of texts(text, hint).
 
     A name that is also a department's, or an alias of one, is passed over and remembered as context. The hint, or else
     what was passed over before, chooses among cities of the same name; without such a city the hit stands.
     """
-    also = geo.departments.select("norm", F.col("departamento").alias("passed")).unionByName(geo.dept_aliases.select("norm", F.lit(None).cast("string").alias("passed")))
-    also = also.groupBy("norm").agg(F.max("passed").alias("passed")).withColumn("skip", F.lit(True))
-    names = geo.cities.filter(F.length("norm") >= 3).join(also, "norm", "left").withColumn("place", F.struct((-F.length("norm")).alias("l"), F.col("ord").alias("o")))
-    hits = named_in(texts, text, names)
+    hits = place_hits(texts, text, geo) if hits is None else hits
+    hits = hits.filter("of = 'city'").withColumn("place", F.struct((-F.length("norm")).alias("l"), F.col("ord").alias("o")))
     real = hits.filter("skip IS NULL").groupBy(text).agg(F.min_by(F.struct("norm", "municipio", "departamento", "place"), "place").alias("hit"))
     passed = hits.filter("skip AND passed IS NOT NULL").select(text, "passed", F.col("place").alias("before"))
     context = real.join(passed, text).filter(F.col("before") < F.col("hit.place")).groupBy(text).agg(F.min_by("passed", "before").alias("context"))
     found = texts.select(text, hint).distinct().join(real, text).join(context, text, "left").select(text, hint, "hit", plain(F.coalesce(hint, "context")).alias("wanted"))
     same = geo.homonyms.select(F.col("norm").alias("hnorm"), F.col("municipio").alias("hcity"), F.col("departamento").alias("hdept"), plain(F.col("departamento")).alias("wanted2"))
     direct = plain(F.col("hit.departamento")) == F.col("wanted")
-    joined = found.join(F.broadcast(same), (F.col("hit.norm") == F.col("hnorm")) & (F.col("wanted") == F.col("wanted2")), "left")
+    joined = found.join(broadcast_if_small(same, geo.rows), (F.col("hit.norm") == F.col("hnorm")) & (F.col("wanted") == F.col("wanted2")), "left")
     use = F.coalesce(~direct, F.lit(False)) & F.col("hcity").isNotNull()
     return joined.select(text, hint, F.when(use, F.col("hcity")).otherwise(F.col("hit.municipio")).alias("municipio"), F.when(use, F.col("hdept")).otherwise(F.col("hit.departamento")).alias("departamento"))
 
@@ -125,9 +159,10 @@ def locate(texts: DataFrame, geo: Geography, text: str = "clean", kind: str = "t
     """texts with municipio and departamento: the municipality and its department, else the department alone; for a
     governor's office the department alone, if need be that of a city it names."""
     base = texts.select(text, kind).distinct()
-    depts = department_of(base, text, geo).withColumnRenamed("departamento", "hint")
+    hits = place_hits(base, text, geo)
+    depts = department_of(base, text, geo, hits).withColumnRenamed("departamento", "hint")
     hinted = base.join(depts, text, "left").withColumn("hint2", F.when(F.col(kind) != "GOBERNACION", F.col("hint")))
-    cities = municipality_of(hinted.select(text, "hint2"), text, geo, "hint2").select(F.col(text).alias("t2"), F.col("hint2").alias("h2"), F.col("municipio").alias("m"), F.col("departamento").alias("d"))
+    cities = municipality_of(hinted.select(text, "hint2"), text, geo, "hint2", hits).select(F.col(text).alias("t2"), F.col("hint2").alias("h2"), F.col("municipio").alias("m"), F.col("departamento").alias("d"))
     both = hinted.join(cities, (F.col(text) == F.col("t2")) & F.col("hint2").eqNullSafe(F.col("h2")), "left")
     office = F.col(kind) == "GOBERNACION"
     found = both.select(text, kind, F.when(~office, F.col("m")).alias("municipio"), F.when(office, F.coalesce("hint", "d")).when(F.col("m").isNotNull(), F.col("d")).otherwise(F.col("hint")).alias("departamento"))
@@ -182,11 +217,14 @@ def municipality_key(norm: Column) -> Column:
 def resolve_ids(rows: DataFrame, municipios: DataFrame, departamentos: DataFrame) -> DataFrame:
     """rows(key, dept_key) with municipio_id and departamento_id.
 
-    municipios(norm, departamento_id, municipio_id), departamentos(norm, departamento_id): by name and department, else
-    by a name that only one department has. A department is matched whole, else with the first that holds it or is held.
+    municipios(norm, departamento_id, municipio_id), departamentos(norm, departamento_id), with `ord` if their order is not that
+    of the ids: by name and department, else by a name that only one department has. A department is matched whole, else
+    with the first that holds it or is held.
     """
+    order = "ord" if "ord" in departamentos.columns else "departamento_id"
     exact = departamentos.select(F.col("norm").alias("dept_key"), F.col("departamento_id").alias("d1"))
-    partial = rows.select("dept_key").distinct().filter("dept_key <> ''").join(F.broadcast(departamentos), F.contains("norm", "dept_key") | F.contains("dept_key", "norm")).groupBy("dept_key").agg(F.min("departamento_id").alias("d2"))
+    held = F.contains("norm", "dept_key") | F.contains("dept_key", "norm")
+    partial = rows.select("dept_key").distinct().filter("dept_key <> ''").join(F.broadcast(departamentos), held).groupBy("dept_key").agg(F.min_by("departamento_id", order).alias("d2"))
     alone = municipios.groupBy(F.col("norm").alias("key")).agg(F.min("municipio_id").alias("m2"), F.count("*").alias("c")).filter("c = 1").drop("c")
     own = municipios.select(F.col("norm").alias("key"), F.col("departamento_id").alias("d1"), F.col("municipio_id").alias("m1"))
     out = rows.join(F.broadcast(exact), "dept_key", "left").join(F.broadcast(own), ["key", "d1"], "left").join(F.broadcast(alone), "key", "left").join(F.broadcast(partial), "dept_key", "left")

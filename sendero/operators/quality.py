@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def orphans(relations: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
@@ -52,6 +53,29 @@ def sample(rows: DataFrame, key: str, share: int) -> DataFrame:
     return rows.filter(F.col(key) % share == 0)
 
 
+def sample_of(rows: DataFrame, key: str, n: int, seed: int = 42, heap: int = 10_000) -> DataFrame:
+    """Exactly n rows, or all if there are fewer: those of the least seeded hashes of their key.
+
+    The same rows for any partitioning; rows of one key compete by their other columns. Up to `heap` rows come from a heap a
+    partition and one merge; of more, those below the hash range in which the last of them lies are kept where they are, and
+    only the rest of that range is merged.
+    """
+    told = rows.withColumn("_draw", F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))), 256))
+    order = ["_draw", *[f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]]
+    if n <= heap:
+        return told.orderBy(*order).limit(n).drop("_draw")
+    begin = F.substring("_draw", 1, 4)
+    below, last = 0, None
+    for r in told.groupBy(begin.alias("begin")).count().orderBy("begin").collect():  # 65536 rows at most
+        if below + r["count"] > n:
+            last = r["begin"]
+            break
+        below += r["count"]
+    if last is None:
+        return rows
+    return told.filter(begin < last).unionByName(told.filter(begin == last).orderBy(*order).limit(n - below)).drop("_draw")
+
+
 def labelled(col: Column, label: str) -> Column:
     """The stripped text, or the label for null and blank."""
     return F.coalesce(F.nullif(F.trim(col), F.lit("")), F.lit(label))

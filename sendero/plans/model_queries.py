@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sendero.functions import text
-from sendero.operators import enrich, model, quality
+from sendero.functions import geo, text
+from sendero.operators import enrich, model, quality, schema
 from sendero.plans.registry import query, table
 
 # Entities and registries derived from parts and suppliers, by the same expressions for Spark and for DuckDB.
@@ -202,3 +202,39 @@ _DRIFT = [("orders", "o_orderkey % 200 <> 0"), ("lineitem", "l_orderkey % 11 <>
 def q_row_drift(spark, sf_dir):
     """Rows of a source against those that were loaded."""
     return quality.row_drift([(t, table(spark, sf_dir, t), table(spark, sf_dir, t).filter(kept)) for t, kept in _DRIFT])
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY sha256('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 1000")
+def q_sample_of(spark, sf_dir):
+    """A thousand orders, exactly, by seeded hash: sampling is the operator."""
+    return quality.sample_of(table(spark, sf_dir, "orders"), "o_orderkey", 1000).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+# A listing of places with names of up to eight words, and offices that name them whole, in part, or only their region.
+_LONG = "n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' de la Segunda Zona del Norte' ELSE '' END"
+_SHORT = "n_nationkey % 2 = 0 AND s_suppkey % 4 = 0"
+
+
+@query(f"WITH x AS (SELECT s_suppkey, {_LONG} AS m, r.r_name AS d, o.r_name AS other, {_SHORT} AS short FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region r ON r.r_regionkey = n_regionkey JOIN region o ON o.r_regionkey = s_suppkey % 5) SELECT s_suppkey, CASE WHEN NOT short THEN m END AS municipio, CASE WHEN NOT short THEN d WHEN s_suppkey % 3 = 0 THEN other END AS departamento FROM x")
+def q_listing_places(spark, sf_dir):
+    """Places of a whole listing, of any number of words, in the names of offices."""
+    nations = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    listed = nations.select(F.col("r_name").alias("departamento"), F.expr(_LONG).alias("municipio"), F.col("n_nationkey").cast("int").alias("ord"))
+    g = geo.geography_of(listed, preferred=[], city_aliases=[], dept_aliases=[])
+    other = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("o"), F.col("r_name").alias("other"))
+    offices = table(spark, sf_dir, "supplier").join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(other), F.col("s_suppkey") % 5 == F.col("o"))
+    told = F.expr(f"upper('oficina de ' || CASE WHEN {_SHORT} THEN n_name ELSE {_LONG} END || CASE WHEN s_suppkey % 3 = 0 THEN ' ' || other ELSE '' END)")
+    return geo.locate(offices.select("s_suppkey", told.alias("clean"), F.lit("ALCALDIA").alias("tipo")), g).select("s_suppkey", "municipio", "departamento")
+
+
+_OFFICE = "CASE p_partkey % 4 WHEN 0 THEN 'JUZGADO' WHEN 1 THEN 'ALCALDIA' WHEN 2 THEN 'FISCALIA' ELSE 'OTRO' END"
+
+
+@query(f"SELECT CASE WHEN p_partkey % 2 = 0 THEN 'judicial' ELSE 'coactiva' END AS vista, CAST(p_partkey AS INT) AS entidad_id, p_name AS nombre_extraido, {_OFFICE} AS tipo, n_name AS ciudad, CAST(p_size AS INT) AS total_registros FROM part LEFT JOIN nation ON n_nationkey = p_size AND p_size < 20")
+def q_entity_views(spark, sf_dir):
+    """Both views of the third model, over entities in the columns and types of its tables."""
+    entities = table(spark, sf_dir, "part").selectExpr("p_partkey AS entidad_id", "p_name AS nombre_normalizado", f"{_OFFICE} AS tipo", "CASE WHEN p_size < 20 THEN p_size END AS municipio_id", "p_size AS total_registros")
+    cities = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS municipio_id", "n_name AS nombre", "n_regionkey AS departamento_id")
+    schema.create_views({"dim_entidades": schema.fitted(entities, "dim_entidades"), "dim_municipios": schema.fitted(cities, "dim_municipios")})
+    seen = [spark.table(f"vista_entidades_{name}").withColumn("vista", F.lit(label)) for name, label in (("judiciales", "judicial"), ("coactivas", "coactiva"))]
+    return seen[0].unionByName(seen[1]).select("vista", "entidad_id", "nombre_extraido", "tipo", "ciudad", "total_registros")

@@ -13,19 +13,12 @@ from sendero.sources.stage import staged
 
 def classified(spark, sf_dir):
     """Distinct senders with clean, tipo, subtipo, numero; staged, as one row a spelling is all that the rest reads."""
-    out = distinct_senders(spark, sf_dir).withColumn("clean", text.clean_text(F.col("raw")))
-    out = out.withColumn("tipo", classify.entity_type(F.col("clean")))
-    number = F.when(F.col("tipo").isin(*classify.NUMBERED), text.extract_number(F.col("raw"))).otherwise("")
-    return staged(out.withColumns({"subtipo": classify.subtype(F.col("tipo"), F.col("clean")), "numero": number}), "classified")
+    return staged(classify.classified(distinct_senders(spark, sf_dir)), "classified")
 
 
 def located(spark, sf_dir):
     """classified() with municipio and departamento, defaults of types that name no place included."""
-    out = geo.locate(classified(spark, sf_dir), geo.geography(spark))
-    for kind, (city, dept) in classify.DEFAULT_PLACE.items():
-        own = F.col("tipo") == kind
-        out = out.withColumns({"municipio": F.when(own, F.coalesce("municipio", F.lit(city))).otherwise(F.col("municipio")), "departamento": F.when(own, F.coalesce("departamento", F.lit(dept))).otherwise(F.col("departamento"))})
-    return out
+    return classify.with_default_places(geo.locate(classified(spark, sf_dir), geo.geography(spark)))
 
 
 def _each(name, column, sql):
