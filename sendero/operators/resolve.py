@@ -5,6 +5,8 @@ All of it runs on one row a spelling; facts are touched once, by a join on the s
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,7 +69,8 @@ def grams(text: Column, q: int) -> Column:
     """The runs of q characters of a text with q - 1 marks before and after it, each with the number of equal ones before."""
     edge = F.lit("\x01" * (q - 1))
     runs = F.transform(F.sequence(F.lit(1), F.length(text) + q - 1), lambda i: F.substring(F.concat(edge, text, edge), i, F.lit(q)))
-    return F.transform(runs, lambda g, i: F.struct(g.alias("g"), F.size(F.filter(F.slice(runs, 1, i), lambda h: h == g)).alias("k")))
+    told = lambda held: F.transform(held, lambda g, i: F.struct(g.alias("g"), F.size(F.filter(F.slice(held, 1, i), lambda h: h == g)).alias("k")))
+    return F.element_at(F.transform(F.array(runs), told), 1)  # the runs are made once, not once for each of them
 
 
 def rare_grams(rows: DataFrame, keep: list[str], text: str, counted: DataFrame, q: int, most: float) -> DataFrame:
@@ -87,23 +90,52 @@ def gram_counts(rows: DataFrame, text: str, q: int) -> DataFrame:
     return rows.select(F.explode(grams(F.col(text), q)).alias("gram")).groupBy("gram").agg(F.count("*").alias("times"))
 
 
-def near_pairs(ranked: DataFrame, block: list[str]) -> DataFrame:
-    """(ai, i) of names of one block with ai < i whose cores, or cleaned texts where a core is empty, are similar enough
-    for the type of i. Candidates share a rare gram; none that is similar enough is left out."""
-    q, most = 3, 1 - min(*THRESHOLDS.values(), DEFAULT_THRESHOLD)
-    keep = [*block, "i", "blank"]
-    told = ranked.withColumn("blank", F.col("core") == "")
-    found = []
-    for text, rows, one_blank in (("core", told.filter(~F.col("blank")), False), ("clean", told, True)):
-        lists = rare_grams(rows, keep, text, gram_counts(rows, text, q), q, most)
-        a = lists.select(*block, "gram", F.col("i").alias("ai"), F.col("blank").alias("ab"))
-        pairs = lists.join(a, [*block, "gram"]).filter(F.col("ai") < F.col("i"))
-        found.append((pairs.filter(F.col("blank") | F.col("ab")) if one_blank else pairs).select("ai", "i"))
-    pairs = found[0].unionByName(found[1]).distinct()
+def alike(pairs: DataFrame, told: DataFrame) -> DataFrame:
+    """(ai, i) of pairs(ai, i) whose cores, or cleaned texts where a core is empty, are similar enough for the type of i."""
     a = told.select(F.col("i").alias("ai"), F.col("core").alias("ac"), F.col("clean").alias("at"))
+    return _similar(pairs.join(a, "ai").join(told.select("i", "core", "clean", "tipo"), "i"))
+
+
+def _similar(pairs: DataFrame) -> DataFrame:
+    """pairs(ai, ac, at, i, core, clean, tipo) that are similar enough; lengths are compared first."""
     blank = (F.col("core") == "") | (F.col("ac") == "")
-    alike = F.when(blank, levenshtein_ratio(F.col("at"), F.col("clean"))).otherwise(levenshtein_ratio(F.col("ac"), F.col("core")))
-    return pairs.join(a, "ai").join(told.select("i", "core", "clean", "tipo"), "i").filter(alike >= threshold(F.col("tipo"))).select("ai", "i")
+    x, y = F.when(blank, F.col("at")).otherwise(F.col("ac")), F.when(blank, F.col("clean")).otherwise(F.col("core"))
+    need = threshold(F.col("tipo"))
+    fits = F.least(F.length(x), F.length(y)) >= need * F.greatest(F.length(x), F.length(y)) - 1e-9
+    return pairs.filter(fits).filter(F.when(fits, levenshtein_ratio(x, y)) >= need).select("ai", "i")
+
+
+def all_pairs(batch: DataFrame, block: list[str]) -> DataFrame:
+    """The similar pairs of small batches of a block."""
+    a = batch.select(*block, F.col("i").alias("ai"), F.col("core").alias("ac"), F.col("clean").alias("at"))
+    return _similar(batch.join(a, block).filter(F.col("ai") < F.col("i")))
+
+
+Q, MOST = 3, 1 - min(*THRESHOLDS.values(), DEFAULT_THRESHOLD)
+
+
+def gram_lists(told: DataFrame, block: list[str]) -> DataFrame:
+    """(block..., i, blank, of, size, gram): the rare grams of each name's core, and of its cleaned text."""
+    keep, lists = [*block, "i", "blank"], []
+    for of, rows in (("core", told.filter(~F.col("blank"))), ("clean", told)):
+        made = rare_grams(rows.withColumn("size", F.length(of)), [*keep, "size"], of, gram_counts(rows, of, Q), Q, MOST)
+        lists.append(made.select(*keep, F.lit(of).alias("of"), "size", "gram"))
+    return lists[0].unionByName(lists[1])
+
+
+def listed_pairs(first: DataFrame, then: DataFrame, block: list[str]) -> DataFrame:
+    """(ai, i), ai < i, of names in the lists `first` and `then` that share a rare gram of their cores, or, where one has
+    none, of their cleaned texts, and whose lengths fit. No pair that is similar enough is left out."""
+    a = first.select(*block, "of", "gram", F.col("i").alias("ai"), F.col("blank").alias("ab"), F.col("size").alias("as"))
+    fits = F.least("size", "as") >= (1 - MOST) * F.greatest("size", "as") - 1e-9
+    key, sides = [*block, "of", "gram"], []
+    for x, y in (
+        (then.filter("of = 'core'"), a.filter("of = 'core'")),
+        (then.filter("of = 'clean' AND blank"), a.filter("of = 'clean'")),
+        (then.filter("of = 'clean' AND NOT blank"), a.filter("of = 'clean' AND ab")),
+    ):
+        sides.append(x.join(y, key).filter((F.col("ai") < F.col("i")) & fits).select("ai", "i"))
+    return sides[0].unionByName(sides[1]).unionByName(sides[2]).distinct()
 
 
 def joined_by(edges: DataFrame) -> DataFrame:
@@ -124,6 +156,63 @@ def joined_by(edges: DataFrame) -> DataFrame:
     return joined
 
 
+WIDTH = 200  # names of a block that are compared with each other at first
+CROWD = 100  # pairs a name, on average, beyond which a later batch is cut down
+
+
+def _batch(todo: DataFrame, block: list[str], width: int) -> DataFrame:
+    """The first of the undecided names of each block."""
+    starts = todo.groupBy(*block).agg(F.min("i").alias("start"))
+    return staged(todo.join(starts, block).filter(F.col("i") < F.col("start") + width).drop("start"), "batch")
+
+
+def _next_batch(todo: DataFrame, lists: DataFrame, block: list[str], width: int) -> tuple[DataFrame, DataFrame, int]:
+    """A batch, its lists and its width, which shrinks while its lists, by their lengths, give too many pairs."""
+    while True:
+        batch = _batch(todo, block, width)
+        own = lists.join(batch.select("i"), "i", "left_semi")
+        by_gram = own.groupBy(*block, "of", "gram").agg(F.count("*").alias("_n"), F.count_if("blank").alias("_blank"))
+        met = F.when(F.col("of") == "core", F.col("_n") * F.col("_n")).otherwise(F.col("_n") * F.col("_blank"))
+        if width <= WIDTH or (by_gram.agg(F.sum(met)).first()[0] or 0) <= CROWD * batch.count():
+            return batch, own, width
+        width //= 4
+
+
+def anchors_of(told: DataFrame, block: list[str]) -> DataFrame:
+    """(i, anchor) of told(i, block..., core, clean, tipo, blank): each name's anchor, which may be itself.
+
+    In batches: the first undecided names of each block are settled among themselves, then all later names are compared
+    with the anchors this gave, and only those that no anchor takes wait for the next batch. A crowd of alike names is so
+    taken by its first anchors and never compared with itself. Batches widen fourfold; those after the first, and the
+    comparisons with anchors, go by rare grams.
+    """
+    todo, width, lists, done = told, WIDTH, None, []
+    while True:
+        if lists is None:
+            batch = _batch(todo, block, width)
+            edges = staged(all_pairs(batch, block), "edges")
+        else:
+            batch, own, width = _next_batch(todo, lists, block, width)
+            edges = staged(alike(listed_pairs(own, own, block), batch), "edges")
+        joined = staged(joined_by(edges), "joined")
+        first = edges.join(joined.select(F.col("i").alias("ai")), "ai", "left_anti").join(joined, "i", "left_semi").groupBy("i").agg(F.min("ai").alias("anchor"))
+        done.append(batch.select("i").join(first, "i", "left").select("i", F.coalesce("anchor", "i").alias("anchor")))
+        rest = todo.join(batch.select("i"), "i", "left_anti")
+        if rest.isEmpty():
+            break
+        if lists is None:
+            lists = staged(gram_lists(told, block), "lists")
+        anchors = lists.join(batch.select("i").join(joined, "i", "left_anti"), "i", "left_semi")
+        pairs = listed_pairs(anchors, lists.join(rest.select("i"), "i", "left_semi"), block)
+        taken = staged(alike(pairs, told).groupBy("i").agg(F.min("ai").alias("anchor")), "taken")
+        done.append(taken)
+        todo = staged(rest.join(taken, "i", "left_anti"), "todo")
+        if todo.isEmpty():
+            break
+        width *= 4
+    return reduce(DataFrame.unionByName, done)
+
+
 def anchor_clusters(named: DataFrame, block: list[str], order: list[Column]) -> DataFrame:
     """named(raw, core, clean, tipo, block...) with `cluster`, the 0-based number of its cluster in its block.
 
@@ -132,13 +221,11 @@ def anchor_clusters(named: DataFrame, block: list[str], order: list[Column]) ->
     """
     filled = named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("core", "clean")})
     ranked = numbered(filled, [*block, *order], "i")
-    edges = staged(near_pairs(ranked, block), "edges")
-    joined = staged(joined_by(edges), "joined")
-    first = edges.join(joined.select(F.col("i").alias("ai")), "ai", "left_anti").groupBy("i").agg(F.min("ai").alias("anchor"))
-    own = numbered(ranked.join(joined, "i", "left_anti").select(*block, F.col("i").alias("anchor")), ["anchor"], "at")
+    told = ranked.select(*dict.fromkeys(["i", *block, "core", "clean", "tipo"]), (F.col("core") == "").alias("blank"))
+    found = staged(anchors_of(told, block), "anchors")
+    own = numbered(ranked.select(*block, F.col("i").alias("anchor")).join(found.filter("i = anchor").select("anchor"), "anchor"), ["anchor"], "at")
     opened = own.join(own.groupBy(*block).agg(F.min("at").alias("least")), block).select("anchor", (F.col("at") - F.col("least")).cast("int").alias("cluster"))
-    member = ranked.join(first.join(joined, "i"), "i", "left").withColumn("anchor", F.coalesce("anchor", "i"))
-    return member.join(opened, "anchor").select(*named.columns, "cluster")
+    return ranked.join(found, "i").join(opened, "anchor").select(*named.columns, "cluster")
 
 
 def city_portion(kind: Column, clean: Column) -> Column:

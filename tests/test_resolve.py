@@ -61,6 +61,64 @@ def test_clusters_against_all_pairs(spark, seed):
     assert {x.raw: x.cluster for x in out.collect()} == want
 
 
+def greedy(rows):
+    """Clusters in order, each name compared with every anchor of its block."""
+    want, anchors = {}, {}
+    for raw, core, clean, _, kind, b in rows:
+        of = anchors.setdefault(b, [])
+        near = [i for i, (x, y) in enumerate(of) if (ratio(x, core) if x and core else ratio(y, clean)) >= resolve.THRESHOLDS[kind]]
+        want[raw] = near[0] if near else len(of)
+        if not near:
+            of.append((core, clean))
+    return want
+
+
+@pytest.mark.parametrize("width,crowd", [(3, 100), (4, 1), (7, 0)])
+def test_batches_against_all_pairs(spark, monkeypatch, width, crowd):
+    """Many batches, also such as are cut down; a crowd of alike names, strangers, and names without a core."""
+    monkeypatch.setattr(resolve, "WIDTH", width)
+    monkeypatch.setattr(resolve, "CROWD", crowd)
+    r = random.Random(width)
+    rows = []
+    for block, kind in (("a", "JUZGADO"), ("b", "CAR")):
+        bases = ["".join(r.choice("ABC") for _ in range(r.randint(0, 14))) for _ in range(6)]
+        for k in range(70):
+            core = changed(r, bases[0] if k > 20 and r.random() < 0.6 else r.choice(bases)) if r.random() < 0.85 else ""
+            rows.append((f"{block}{k}", core, r.choice([core + "X", "", "AAB", "AABB"]), 100 - k, kind, block))
+    named = spark.createDataFrame(rows, "raw string, core string, clean string, n long, tipo string, b string")
+    assert {x.raw: x.cluster for x in resolve.anchor_clusters(named, ["b"], [F.desc("n")]).collect()} == greedy(rows)
+
+
+def test_a_crowd_of_alike_names_is_compared_in_proportion(spark, monkeypatch):
+    """Ten times the names of one dense block: at most about ten times the pairs that are verified."""
+    compared = []
+    similar = resolve._similar
+
+    def counting(pairs):
+        compared.append(pairs.count())
+        return similar(pairs)
+
+    monkeypatch.setattr(resolve, "_similar", counting)
+
+    def run(n):
+        r = random.Random(n)
+        rows = []
+        for k in range(n):
+            word = list(r.choice(["CIVIL MUNICIPAL PEQUENAS CAUSAS TERCERO", "PENAL DEL CIRCUITO ESPECIALIZADO QUINTO", "LABORAL DE DESCONGESTION SEGUNDO TURNO"]))
+            for _ in range(2):
+                word[r.randrange(len(word))] = r.choice("ABCDEFGH")
+            rows.append((f"n{k}", "".join(word), "", n - k, "JUZGADO", "b"))
+        compared.clear()
+        named = spark.createDataFrame(rows, "raw string, core string, clean string, n long, tipo string, b string")
+        got = {x.raw: x.cluster for x in resolve.anchor_clusters(named, ["b"], [F.desc("n")]).collect()}
+        return got, greedy(rows) if n <= 400 else None, sum(compared)
+
+    got, want, few = run(400)
+    assert got == want
+    got, _, many = run(4000)
+    assert len(got) == 4000 and many <= 14 * few and many < 40 * 4000 * 3
+
+
 def test_a_chain_of_neighbours_and_an_empty_table(spark):
     words = ["A" * k + "B" * (20 - k) for k in range(21)]
     rows = [(w, w, w, 100 - k, "GOBERNACION", "x") for k, w in enumerate(words)]
