@@ -5,7 +5,9 @@ the whole of it are scored, every one of them; features are all word n-grams (on
 softmax regression over licence families and one unknown class is trained here on short notices composed from the
 templates below, on passages of the licences' own texts, whole and in pieces, and on sentences that say something else,
 also such as name a licence and grant nothing. Its temperature is fitted on frames and names kept apart, and a family counts only if its calibrated probability reaches `sure`.
-A prediction is confirmed if what was scored holds enough of a template of that family. A paragraph without a word has
+A prediction is confirmed by word order: what was scored holds enough of the telling words of a licence's text one after
+another, or the sentence around it grants (a verb such as "released under", a label, or a heading of nothing else) what one
+of the family's names says, its words next to each other, and neither negates nor asks nor takes it back. A paragraph without a word has
 no feature and is unknown. N-grams are looked up by 64-bit hashes.
 
 Defined cases: null and empty texts have no paragraph; each row gives one row, also where doc_id is null or repeated;
@@ -31,7 +33,7 @@ UNKNOWN = "unknown"
 NAMES: dict[str, list[str]] = {
     "AGPL": ["the GNU Affero General Public License", "the AGPL", "AGPL-3.0", "the GNU Affero General Public License, version 3"],
     "Apache": ["the Apache License, Version 2.0", "the Apache License", "Apache-2.0", "the Apache Software License", "Apache 2.0 license"],
-    "BSD": ["the BSD License", "the 3-clause BSD license", "the BSD 2-Clause License", "BSD-3-Clause", "the New BSD License", "the simplified BSD license"],
+    "BSD": ["the BSD License", "a BSD-style license", "the 3-clause BSD license", "the BSD 2-Clause License", "BSD-3-Clause", "the New BSD License", "the simplified BSD license"],
     "CC-BY": ["CC BY 4.0", "a Creative Commons Attribution 4.0 International License", "CC-BY-3.0", "the Creative Commons Attribution License"],
     "CC-BY-NC": ["CC BY-NC 4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-3.0", "CC BY-NC-SA 4.0", "CC BY-NC-ND 4.0", "the Creative Commons Attribution-NonCommercial License"],
     "CC-BY-SA": ["CC BY-SA 4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-3.0", "the Creative Commons Attribution-ShareAlike License"],
@@ -44,7 +46,7 @@ NAMES: dict[str, list[str]] = {
     "Proprietary": ["a proprietary license", "a commercial license agreement"],
     "Public domain": ["the public domain", "the Unlicense"],
 }
-FRAMES = ["Licensed under {}.", "Released under {}.", "This work is licensed under {}.", "Distributed under the terms of {}.", "This program is free software; you can redistribute it under the terms of {}.", "SPDX-License-Identifier: {}", "License: {}", "This project is available under {}, see the LICENSE file.", "Copyright 2019 the authors. Licensed under {}.", "The code is made available under {}.", "Published under {}."]
+FRAMES = ["Licensed under {}.", "Use of this source code is governed by {}.", "Lizenz: {}", "Released under {}.", "This work is licensed under {}.", "Distributed under the terms of {}.", "This program is free software; you can redistribute it under the terms of {}.", "SPDX-License-Identifier: {}", "License: {}", "This project is available under {}, see the LICENSE file.", "Copyright 2019 the authors. Licensed under {}.", "The code is made available under {}.", "Published under {}."]
 #: Sentences that name a licence and grant nothing.
 TALK = ["{} is not the license of this file.", "This file is not covered by {}.", "The debate about {} went on for years.", "The {} debate went on.", "We talked about {} at the conference.", "She wrote a history of {}.", "Do not use {} for this.", "The state of {} was discussed.", "Many people have heard of {}.", "He prefers {} to others.", "What is {}?", "It is not released under {}."]
 #: Frames that are kept apart when the temperature is fitted, as is the last of three or more names of a family.
@@ -78,6 +80,7 @@ OTHER += ["mit", "Mit.", "Mit!", "mit mit", "und mit", "Er kam mit dem Zug.", "D
 CUE = re.compile(rb"[a-z0-9]")
 WORD = re.compile(r"[a-z0-9]+")
 SENTENCE = re.compile(rb"[.!?;:]\s")
+TEXT_SENTENCE = re.compile(r"[.!?;]\s")
 ASCII = np.zeros(256, bool)
 ASCII[48:58] = ASCII[97:123] = True
 #: Words that frames and names share, of no weight in a comparison with a template.
@@ -196,17 +199,85 @@ class Model:
         return self.families[int(p.argmax())], float(p.max())
 
 
+#: What stands before the name of a licence that is granted, to the name itself; and a label of which the name is the value.
+GRANT = re.compile(
+    r"(?:\b(?:licen[sc]ed|relicensed|released|distributed|published|available|provided|offered|shared|governed|covered|permitted|redistribut\w*|modify|dedicated|subject|placed|contributed)\b[^.?!]{0,80}?\b(?:under|by|to|into|with|of)\b"
+    r"|\buse[ds]?\b[^.?!]{0,60}?\bunder\b|\b(?:is|are|be|code|work|software|project|file|document|text|library)\s+under\b|\blizenziert unter\b|\bunter der\b)[^.?!;:]{0,60}$"
+)
+LABEL = re.compile(r"\b(?:spdx[- ]licen[sc]e[- ]identifier|licen[sc]es?|lizenz|licencia|licenza|licença)\s*[:=]\s*[\w ]{0,20}$")
+#: What takes a grant back: before the name, after it, or as the beginning or the end of a question.
+DENIED = re.compile(r"\b(?:not|never|no|nor|neither|without|cannot|\w+n['’]t|instead of|rather than|unlike|formerly|previously|once|if|whether|would|could|might|should|compar\w+|versus|vs|about|considered|refused|nicht|kein\w*)\b")
+ENDED = re.compile(r"^[^.?!;]{0,80}?\b(?:until|no longer|but (?:\w+ )?(?:now|no longer)|is not the)\b")
+ASKED = re.compile(r"^\W*(?:is|are|was|were|does|do|did|can|could|should|would|will|which|what|why|how|who|whose|when|where)\b")
+NEAR = 60  # characters before a name in which a denial counts
+SHORT = 8  # telling words of a short passage
+
+
 @lru_cache(None)
-def _telling(family: str, names: bool) -> list[set[str]]:
-    """The telling words of each template of the family; of short ones only where names count."""
-    listed = [*(NAMES.get(family, []) if names else []), *(WHOLE.get(family, []) if names else []), *BODIES.get(family, [])]
-    return [set(WORD.findall(t.lower())) - PLAIN for t in listed]
+def _names(family: str) -> list[list[str]]:
+    """The words of each of the family's names that tell it, in order."""
+    listed = [[w for w in WORD.findall(name.lower()) if w not in PLAIN] for name in NAMES.get(family, [])]
+    return [words for words in map(list, dict.fromkeys(map(tuple, listed))) if words]
 
 
-def confirmed(paragraph: str, family: str, least: float = 0.75, names: bool = True) -> bool:
-    """Whether the paragraph holds enough of the telling words of a template of the family."""
-    held = set(WORD.findall(paragraph))
-    return any(telling and len(telling & held) >= least * len(telling) for telling in _telling(family, names))
+@lru_cache(None)
+def _passages(family: str, short: bool) -> list[tuple[str, ...]]:
+    """The telling words of each passage of the family, in order; of short ones too."""
+    listed = [*(WHOLE.get(family, []) if short else []), *BODIES.get(family, [])]
+    return [words for t in listed if (words := tuple(w for w in WORD.findall(t.lower()) if w not in PLAIN))]
+
+
+def in_order(found: list[str], passage: tuple[str, ...]) -> int:
+    """How many words of the passage follow one another in what was found (their longest common subsequence)."""
+    places: dict[str, list[int]] = {}
+    for i, w in enumerate(passage):
+        places.setdefault(w, []).insert(0, i)
+    row = [0] * (len(passage) + 1)  # row[i]: the best of the passage's first i words
+    for w in found:
+        for i in places.get(w, ()):  # from the last place, so that a word found counts once
+            if row[i] + 1 > row[i + 1]:
+                best, k = row[i] + 1, i + 1
+                while k <= len(passage) and row[k] < best:
+                    row[k] = best
+                    k += 1
+    return row[-1]
+
+
+def granted(sentence: str, at: int, end: int, line: str) -> bool:
+    """Whether a sentence grants the licence named in its characters [at, end); line: what stands before the name in its line."""
+    before, after = sentence[:at], sentence[end:]
+    if after.rstrip(" \n\r\t\"')]").endswith("?") or ASKED.match(sentence) or DENIED.search(before[-NEAR:]) or ENDED.match(after):
+        return False
+    if LABEL.search(line) or GRANT.search(before):
+        return True
+    rest = [w for w in WORD.findall(before + " " + after) if w not in PLAIN and not w.isdigit()]
+    return not rest and re.search(r"\blicen[sc]e\b", sentence) is not None
+
+
+def confirmed(paragraph: str, family: str, lo: int = 0, hi: int | None = None, least: float = 0.75, names: bool = True) -> bool:
+    """Whether the characters [lo, hi) of a paragraph hold the family's licence or, where names count, the paragraph grants it there."""
+    hi = len(paragraph) if hi is None else hi
+    found = [(m[0], lo + m.start(), lo + m.end()) for m in WORD.finditer(paragraph[lo:hi]) if m[0] not in PLAIN]
+    own = [w for w, _, _ in found]
+    for passage in _passages(family, names):
+        if len(set(own) & set(passage)) >= least * len(set(passage)) and in_order(own, passage) >= least * len(passage):
+            held = [(start, stop) for w, start, stop in found if w in passage]
+            # A short passage must be free of denials that are not its own; so must what stands before any in its sentence and line.
+            start, stop = max(0, held[0][0] - NEAR), held[-1][1] if len(passage) <= SHORT else held[0][0]
+            start = max([start, paragraph.rfind("\n", 0, held[0][0]) + 1, *(m.end() for m in TEXT_SENTENCE.finditer(paragraph, start, held[0][0]))])
+            if not any(m[0] not in passage for m in DENIED.finditer(paragraph, start, stop)):
+                return True
+    if not names:
+        return False
+    for name in _names(family):
+        for i in range(len(own) - len(name) + 1):
+            if own[i : i + len(name)] == name:
+                at, end = found[i][1], found[i + len(name) - 1][2]
+                begin = max((m.end() for m in TEXT_SENTENCE.finditer(paragraph, 0, at)), default=0)
+                stop = next((m.end() for m in TEXT_SENTENCE.finditer(paragraph, end)), len(paragraph))
+                if granted(paragraph[begin:stop], at - begin, end - begin, paragraph[:at].rsplit("\n", 1)[-1]):
+                    return True
+    return False
 
 
 @lru_cache(1)
@@ -263,10 +334,12 @@ def scan_text(raw: bytes, trained: Model, sure: float) -> list[tuple[int, str, f
     for number, _, found in paragraphs:
         entries: dict[str, float] = {}
         guess = (UNKNOWN, float(top[at]) if CUE.search(low, *found[0]) else 1.0)
-        for k in (at + np.flatnonzero(likely[at : at + len(found)])).tolist():
-            lo, hi = spans[k].tolist()
-            family = trained.families[best[k]]
-            if confirmed(low[lo:hi].decode(errors="replace"), family, names=k > at or len(found) == 1):
+        chosen = (at + np.flatnonzero(likely[at : at + len(found)])).tolist()
+        whole = low[slice(*found[0])].decode(errors="replace") if chosen else ""
+        for k in chosen:
+            begin, family = found[0][0], trained.families[best[k]]
+            lo, hi = (len(low[begin:x].decode(errors="replace")) for x in spans[k].tolist())
+            if confirmed(whole, family, lo, hi, names=k > at or "\n" not in whole):
                 entries[family] = max(entries.get(family, 0.0), float(top[k]))
             elif guess[0] == UNKNOWN or top[k] > guess[1]:
                 guess = (family, float(top[k]))

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from sendero.llm import licences
@@ -77,3 +79,49 @@ def test_scores_agree_with_prediction():
 @pytest.mark.parametrize("text", ["Wir fahren morgen mit dem Rad.", "Das Kind kam mit.", "Sie hatte permission to enter, free of charge.", "Helicopters of the apache kind flew over the hills."])
 def test_other_talk_is_no_licence(text):
     assert not any(sound for *_, sound in licences.scan_text(text.encode(), licences.model(), 0.6))
+
+
+@pytest.mark.parametrize(
+    ("text", "families"),
+    [
+        ("This project is not licensed under the MIT License.", []),
+        ("This project is not\nlicensed under the MIT License.", []),
+        ("Is this under the MIT License?", []),
+        ("Is this project released\nunder the MIT License?", []),
+        ("The Mozilla Public License is interesting", []),
+        ("We compared the MIT License with the BSD License.", []),
+        ("It was released under the MIT License until 2010 but is now closed", []),
+        ("This could be released under the Apache License.", []),
+        ("It isn't distributed under the terms of the GNU General Public License.", []),
+        ("This has not been dedicated to the public domain.", []),
+        ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", ["BSD"]),
+        ("Lizenz: MIT", ["MIT"]),
+        ("SPDX-License-Identifier: Apache-2.0", ["Apache"]),
+        ("The MIT License", ["MIT"]),
+        ("We did not write this.\nReleased under the MIT License.", ["MIT"]),
+        ("Except where otherwise noted, this work is licensed under CC BY-SA 4.0.", ["CC-BY-SA"]),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", ["BSD"]),
+        ("binary source modification without with permitted conditions redistribution met forms following use", []),
+    ],
+)
+def test_grants_are_told_from_talk_by_word_order(text, families):
+    found = licences.scan_text(text.encode(), licences.model(), 0.6)
+    assert sorted(f for _, f, _, sound in found if sound) == families
+
+
+def test_order_of_words_by_all_subsequences():
+    import itertools
+    import random
+
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 7))] for _ in range(2))
+        most = max(n for n in range(len(b) + 1) for kept in itertools.combinations(b, n) if all(c in it for it in [iter(a)] for c in kept))
+        assert licences.in_order(a, tuple(b)) == most
+
+
+def test_long_paragraphs_take_linear_time():
+    text = "released under the " * 20_000 + "Permission is hereby granted, free of charge, to any person obtaining a copy " + "word " * 200_000
+    began = time.monotonic()
+    assert len(licences.scan_text(text.encode(), licences.model(), 0.6)) == 1
+    assert time.monotonic() - began < 30
