@@ -20,7 +20,8 @@ estimated cost least: postings to read plus candidates to verify, which fall as
    d = |D|, i and j differ in d_i + d_j - 2 |D_i and D_j| shingles, so two members link if both are near c (then c links
    them), or else only if they share a part of their deviations that grows with d_i and d_j. What all copies have in
    common is gone from the deviations, and prefixes of these, rare in the group before frequent in the group, meet in
-   short lists. See `deviation_prefixes` for the bounds.
+   short lists. See `deviation_prefixes` for the bounds. Members that meet are compared by sketches of 512 parities, which
+   differ in no more bits than the sets do in shingles, and only pairs that these let through are verified.
 
 No pair is dropped: every pair of two components that the prefixes allow is verified, over whole sets. Components come
 from alternating large and small stars on written tables.
@@ -368,15 +369,32 @@ def recentred(deltas: DataFrame, num: int, den: int, ranges: int) -> DataFrame:
                 near = (den - num) * (n + nc) >= (den + num) * len(own)
                 short, long = deviation_prefixes(len(own), n, nc, num, den)
                 first = own[np.lexsort((own, often))][: short if near else max(short, long)]
-                made.append((near, own.tobytes(), first.tobytes(), min(short, len(first))))
-            near, delta, first, short = zip(*made, strict=True) if made else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "own", "key", "n", "centre")), pa.array(near, pa.bool_()), pa.array(delta, pa.binary()), pa.array(first, pa.binary()), pa.array(short, pa.int64())], names=["grp", "own", "key", "n", "c", "near", "delta", "first", "short"])
+                made.append((near, own.tobytes(), first.tobytes(), min(short, len(first)), *sketch(own)))
+            near, delta, first, short, *bits = zip(*made, strict=True) if made else [()] * (4 + SKETCH)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "own", "key", "n", "centre")), pa.array(near, pa.bool_()), pa.array(delta, pa.binary()), pa.array(first, pa.binary()), pa.array(short, pa.int64()), *(pa.array(b, pa.int64()) for b in bits)], names=["grp", "own", "key", "n", "c", "near", "delta", "first", "short", *SKETCHED])
 
     moved = _salted(deltas).join(_for_each_salt(centre), ["grp", "salt"]).filter("key <> centre").select("grp", "own", "size", "key", "n", "delta", "centre", "nc", "origin", "toks", "counts")
-    return moved.mapInArrow(lean(move), "grp bigint, own boolean, key bigint, n bigint, c bigint, near boolean, delta binary, first binary, short bigint")
+    return moved.mapInArrow(lean(move), "grp bigint, own boolean, key bigint, n bigint, c bigint, near boolean, delta binary, first binary, short bigint, " + ", ".join(f"{c} bigint" for c in SKETCHED))
 
 
 NEAR, SHORT, OWN = 1, 2, 4
+SKETCH = 8  # 64-bit words of a deviation's sketch
+SKETCHED = [f"s{i}" for i in range(SKETCH)]
+
+
+def sketch(deviation: np.ndarray) -> list[int]:
+    """For each of 64 * SKETCH buckets of hashes, whether an odd number of the deviation's shingles fall into it.
+
+    Where the sketches of two deviations differ in b bits, the deviations, and hence the sets, differ in b shingles at least.
+    """
+    odd = np.bincount((deviation & U64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def sketches_fit(num: int, den: int) -> F.Column:
+    """Whether sketches s0.. and t0.. of sets of n and n2 shingles leave room for a link."""
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"t{c[1:]}"))).cast("bigint") for c in SKETCHED), F.lit(0).cast("bigint"))
+    return apart * (den + num) <= (F.col("n") + F.col("n2")) * (den - num)
 
 
 def deviation_prefixes(d: int, n: int, nc: int, num: int, den: int) -> tuple[int, int]:
@@ -545,10 +563,11 @@ def _near_duplicates(docs: DataFrame, k: int, num: int, den: int, known: int, id
     more = written(_linked(pairs, sets_of(ends(pairs)), num, den), "more", 64)
     if deltas is not None:
         met = rooted(deviation_lists(deltas, 12), roots)
-        met = written(met.select("tok", "key", "n", "grp", "root", *(F.col("flags").bitwiseAND(bit).cast("boolean").alias(c) for c, bit in (("near", NEAR), ("short", SHORT), ("own", OWN)))), "met")
-        other = met.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("near").alias("near2"), F.col("short").alias("short2"), F.col("own").alias("own2"))
+        met = met.join(deltas.select("grp", "key", *SKETCHED), ["grp", "key"])
+        met = written(met.select("tok", "key", "n", "grp", "root", *SKETCHED, *(F.col("flags").bitwiseAND(bit).cast("boolean").alias(c) for c, bit in (("near", NEAR), ("short", SHORT), ("own", OWN)))), "met")
+        other = met.select("tok", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("near").alias("near2"), F.col("short").alias("short2"), F.col("own").alias("own2"), *(F.col(c).alias(f"t{c[1:]}") for c in SKETCHED))
         alike = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (F.col("own") | F.col("own2"))  # both from below: they meet in their own band
-        pairs = met.filter("NOT near").join(other, "tok").filter((F.col("root") != F.col("root2")) & (F.col("near2") | (F.col("short") & F.col("short2") & (F.col("key") < F.col("b")))) & alike)
+        pairs = met.filter("NOT near").join(other, "tok").filter((F.col("root") != F.col("root2")) & (F.col("near2") | (F.col("short") & F.col("short2") & (F.col("key") < F.col("b")))) & alike & sketches_fit(num, den))
         pairs = written(pairs.groupBy(F.col("key").alias("a"), "b").agg(F.min("grp").alias("grp")), "pairs")
         more = more.unionByName(written(_linked(pairs, deltas.select("grp", "key", "n", F.col("delta").alias("found")), num, den, ["grp"]), "more", 64))
     if not more.isEmpty():

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sendero.llm import ngram_join
@@ -122,3 +123,50 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert ngram_join.near_duplicates(docs).count() == 0
     assert {(r.id, r.component_id) for r in ngram_join.near_duplicates(spark.createDataFrame([(4, "a"), (5, "")], "doc_id bigint, text string")).collect()} == {(4, 4), (5, 5)}
+
+
+def slotted(n, seed=9, slots=40):
+    """Documents of slots, each with one of two passages of ten words; nothing links."""
+    rng = random.Random(seed)
+    passages = [[" ".join(f"w{s}v{v}x{i}" for i in range(10)) for v in range(2)] for s in range(slots)]
+    return [(i, " ".join(rng.choice(passages[s]) for s in range(slots))) for i in range(n)]
+
+
+def test_templates_of_frequent_passages_give_few_pairs(spark, monkeypatch):
+    """Twice the documents at most double the pairs that are verified, and the result is that of all pairs."""
+    counted = []
+    own = ngram_join.written
+
+    def written(df, name, *more):
+        made = own(df, name, *more)
+        if name == "pairs":
+            counted.append(made.count())
+        return made
+
+    monkeypatch.setattr(ngram_join, "written", written)
+
+    def run(rows):
+        counted.clear()
+        out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=3, num=90, den=100)
+        return {r.id: r.component_id for r in out.collect()}, sum(counted)
+
+    few, rows = run(slotted(300))[1], slotted(600)
+    got, many = run(rows)
+    assert many <= max(2 * few, 600) and got == {i: i for i, _ in rows}
+    # one slot of forty changed: links, among all the others that do not
+    words = rows[0][1].split(" ")
+    near = [(1000 + j, " ".join([*words[: 10 * j], *(f"z{j}y{i}" for i in range(10)), *words[10 * j + 10 :]])) for j in range(5)]
+    got, _ = run([*rows[:200], *near])
+    sets = {i: {tuple(t.split(" ")[k : k + 3]) for k in range(398)} for i, t in [*rows[:200], *near]}
+    linked = {i for i in sets if 100 * len(sets[i] & sets[0]) >= 90 * len(sets[i] | sets[0])}
+    assert {i for i, c in got.items() if c == 0} >= linked and len(linked) == 6
+
+
+def test_sketches_never_differ_in_more_than_the_sets(spark):
+    rng = np.random.default_rng(3)
+    universe = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    for size in (0, 1, 50, 2000):
+        a, b = (rng.choice(universe, size, replace=False) for _ in range(2))
+        bits = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(ngram_join.sketch(a), ngram_join.sketch(b), strict=True))
+        assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert ngram_join.sketch(a) == ngram_join.sketch(a[::-1])
