@@ -7,8 +7,10 @@ below N, permutes the numbers: slot = P_key(number), a bijection that needs no s
 are dealt to partitions by ranges of whole shards, and each shard is a file of `per_shard` sequences of a fixed stride:
 slot s starts at byte (s mod per_shard) * stride of file s div per_shard, so reading on from any slot is one seek.
 
-A shard is written under another name and moved, so a file is whole or absent. Where `place` already holds the encoded
-table or shards of an earlier run over the same docs and parameters, these are kept and only the rest is made.
+A shard is written under another name and moved, so a file is whole or absent. A run that broke off may be started again in
+the same `place`, with the same docs or others: the encoded table that it left is used only if a fingerprint of docs,
+tokenizer and parameters agrees, and a shard stays only if it holds, byte for byte, what this run would write; files of
+shards that this run does not have are deleted. So the result is always that of a run in an empty place.
 
 Defined cases: null and empty texts give an end token alone; null or repeated ids are listed as they are; other columns
 are ignored; an empty table gives no shard.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -25,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sendero.llm import bpe
@@ -137,6 +140,43 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:010d}.bin"
 
 
+def _digest(path: str) -> str:
+    """SHA-256 of a tokenizer's file, which the driver reads too."""
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+#: Count and two order-free sums of the rows' hashes, as SQL expressions over id and text.
+ROWS_HASH = {"rows": "count(*)", "xor": "bit_xor(xxhash64(id, text))", "sum": "sum(pmod(xxhash64(text, id), 2147483647))"}
+
+
+def _sequence_table(rows: DataFrame, place: str, store: fs.FileSystem, folder: str, told: dict, file: str, end: int, length: int, kind: np.dtype) -> DataFrame:
+    """The encoded table in `place`: that of a run over the same rows and parameters which broke off, else a new one."""
+    spark, held, note = rows.sparkSession, f"{place}/sequences", f"{folder}/sequences.json"
+    if store.get_file_info(note).type == fs.FileType.File:
+        with store.open_input_stream(note) as f:
+            known = json.loads(f.read())
+        now = {k: str(v) for k, v in rows.selectExpr(*[f"{e} AS {k}" for k, e in ROWS_HASH.items()]).first().asDict().items()}
+        if known == told | now:
+            return spark.read.schema(SEQUENCES).parquet(held)
+        store.delete_file(note)
+    seen = Observation()
+    with arrow_batches(spark, 1000):
+        observed = rows.observe(seen, *[F.expr(e).alias(k) for k, e in ROWS_HASH.items()])
+        sequences(observed, file, end, length, kind).write.mode("overwrite").option("compression", "uncompressed").parquet(held)
+    with store.open_output_stream(note) as f:  # only now does the table count
+        f.write(json.dumps(told | {k: str(v) for k, v in seen.get.items()}).encode())
+    return spark.read.schema(SEQUENCES).parquet(held)
+
+
+def _holds(store: fs.FileSystem, name: str, raw: bytes) -> bool:
+    """Whether a file has exactly these bytes."""
+    if store.get_file_info(name).size != len(raw):
+        return False
+    with store.open_input_stream(name) as f:
+        return f.read() == raw
+
+
 def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key: int = 20240101, end: int | None = None, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", place: str | None = None) -> tuple[DataFrame, int]:
     """Write all sequences of docs in training order as files in `place`; returns the index of the shards and N.
 
@@ -152,11 +192,8 @@ def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key
     kind = np.dtype("<u2" if len(tok.lengths) <= 1 << 16 else "<u4")
     stride = length * kind.itemsize
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    held = f"{place}/sequences"
-    if store.get_file_info(f"{folder}/sequences/_SUCCESS").type == fs.FileType.NotFound:
-        with arrow_batches(spark, 1000):
-            sequences(rows, file, end, length, kind).write.mode("overwrite").option("compression", "uncompressed").parquet(held)
-    table = spark.read.schema(SEQUENCES).parquet(held)
+    told = {"length": str(length), "end": str(end), "tokenizer": _digest(file), "ids": kind.str}
+    table = _sequence_table(rows, place, store, folder, told, file, end, length, kind)
     starts, n = {}, 0
     for r in table.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one row a partition
         starts[r.part] = n
@@ -164,8 +201,11 @@ def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key
     order = Feistel(n, key)
     shards = -(-n // per_shard)
     ranges = max(1, -(-shards // IN_RANGE))
-    there = {info.base_name for info in store.get_file_info(fs.FileSelector(folder)) if info.size and info.base_name.endswith(".bin")}
-    whole = np.array([shard_name(s) in there for s in range(shards)], bool)
+    files = [info for info in store.get_file_info(fs.FileSelector(folder)) if info.base_name.endswith(".bin") or info.base_name.startswith(".shard-")]
+    there = {info.base_name for info in files}
+    for info in files:  # drafts, and shards beyond the last
+        if info.base_name.startswith(".") or not info.base_name[6:-4].isdigit() or int(info.base_name[6:-4]) >= shards:
+            store.delete_file(info.path)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,17 +238,19 @@ def write_shards(docs: DataFrame, length: int = 1024, per_shard: int = 1024, key
             shard, some = (base + i) // per_shard, ids[i : i + per_shard]
             if any(x is None for x in owners[i : i + per_shard]):
                 raise ValueError(f"shard {shard} lacks a sequence")
-            if not whole[shard]:
+            raw, name = some.tobytes(), f"{folder}/{shard_name(shard)}"
+            if shard_name(shard) not in there or not _holds(store, name, raw):
                 draft = f"{folder}/.{shard_name(shard)}-{uuid.uuid4().hex}"
                 with store.open_output_stream(draft) as out:
-                    out.write(some.tobytes())
-                store.move(draft, f"{folder}/{shard_name(shard)}")
+                    out.write(raw)
+                store.move(draft, name)
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([f"{place}/{shard_name(shard)}"]), pa.array([base + i], pa.int64()), pa.array([len(some)], pa.int32()), pa.array([stride], pa.int32()), pa.array([owners[i : i + per_shard]], OWNERS)], names=["shard", "file", "first_slot", "n", "stride", "docs"])
 
     dealt = table.mapInArrow(lean(deal), "range int, slots binary, ids binary, docs array<array<bigint>>")
     with arrow_batches(spark, 16):
         dealt.repartitionById(ranges, "range").mapInArrow(lean(write), INDEX).write.mode("overwrite").parquet(f"{place}/index")
-    deleted(spark, held)
+    store.delete_file(f"{folder}/sequences.json")
+    deleted(spark, f"{place}/sequences")
     return spark.read.schema(INDEX).parquet(f"{place}/index"), n
 
 

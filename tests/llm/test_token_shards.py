@@ -76,3 +76,40 @@ def test_files_of_a_fixed_stride_and_resumed_writes(spark, tmp_path):
     assert m == n and [f.read_bytes() for f in files] == whole
     assert all(f.stat().st_mtime_ns == t for f, t in made.items())
     assert sorted(again.collect()) == index
+
+
+def test_a_place_that_was_used_before_gives_the_result_of_an_empty_one(spark, tmp_path, monkeypatch):
+    """Other docs, another key, another length, other partitions after a whole run; an encoded table left by other docs."""
+    rows = [(i, f"word {i} and more " * (i % 30)) for i in range(400)]
+    schema = "doc_id bigint, text string"
+    first, other = spark.createDataFrame(rows, schema).repartition(3), spark.createDataFrame([(i + 1000, f"other {i} " * (i % 20)) for i in range(300)], schema).repartition(2)
+    dealt = spark.createDataFrame(rows[::-1], schema).repartition(5)
+    place, fresh = f"file://{tmp_path}/used", iter(range(100))
+
+    def state(docs, where, **more):
+        shards, n = token_shards.write_shards(docs, per_shard=8, place=where, **more)
+        return n, [(r.slot, bytes(r.ids), r.docs) for r in sorted(token_shards.read_slots(shards).collect())], sorted(p.name for p in (tmp_path / where.rsplit("/", 1)[1]).glob("*.bin"))
+
+    for docs, more in ((first, {"length": 64}), (other, {"length": 64}), (first, {"length": 64, "key": 5}), (dealt, {"length": 64, "key": 5}), (dealt, {"length": 32}), (first.limit(0), {"length": 32}), (first, {"length": 64})):
+        assert state(docs, place, **more) == state(docs, f"file://{tmp_path}/fresh{next(fresh)}", **more)
+        assert not (tmp_path / "used/sequences").exists() and not (tmp_path / "used/sequences.json").exists()
+
+    # A run that breaks off while it writes leaves its encoded table.
+    class Broken(Exception):
+        pass
+
+    def fails(*_):
+        raise Broken
+
+    for docs, same in ((first, True), (other, False)):
+        where = f"file://{tmp_path}/broken{same}"
+        with monkeypatch.context() as m:
+            m.setattr(token_shards, "Feistel", fails)
+            with pytest.raises(Broken):
+                token_shards.write_shards(first, length=64, per_shard=8, place=where)
+        assert (tmp_path / f"broken{same}/sequences.json").exists()
+        with monkeypatch.context() as m:
+            if same:
+                m.setattr(token_shards, "sequences", fails)  # they are not made again
+            made = state(docs, where, length=64)
+        assert made == state(docs, f"file://{tmp_path}/fresh{next(fresh)}", length=64)
