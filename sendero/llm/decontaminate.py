@@ -141,12 +141,13 @@ def contamination(docs: DataFrame, items: DataFrame, gram: int = 5, span: int =
     prints = _scan(tests, gram, span, list(range(1, span)), None, True).select("h", F.col("id").alias("item_id"), F.col("size").alias("item_size"), F.col("context").alias("other"), F.col("before").alias("other_before"), (F.col("n_words") < span).alias("whole")).distinct().persist()
     try:
         about = prints.agg(F.count("*").alias("n"), F.collect_set(F.when(F.col("whole"), F.col("item_size"))).alias("short")).first()
-        at = np.array([r[0] for r in prints.select(F.col("h").bitwiseAND(MASK)).distinct().collect()], np.int64)  # MASK + 1 values at most
+        low = prints.select(F.col("h").bitwiseAND(MASK).alias("x"))
+        marks = low.groupBy(F.expr("shiftright(x, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(x & 63 AS INT)))").alias("bits")).collect()  # (MASK + 1) / 64 rows at most
     finally:
         prints.unpersist()
-    bits = np.zeros(MASK + 1, bool)
-    bits[at] = True
-    found = _scan(rows, gram, span, sorted(about["short"]), np.packbits(bits, bitorder="little").tobytes(), False)
+    bits = np.zeros((MASK + 1) // 64, "<i8")
+    bits[[r["w"] for r in marks]] = [r["bits"] for r in marks]
+    found = _scan(rows, gram, span, sorted(about["short"]), bits.tobytes(), False)
     pairs = found.join(broadcast_if_small(prints, about["n"], 256), (found["h"] == prints["h"]) & (found["size"] == prints["item_size"]), "left").drop(prints["h"])
     hits = _verified(pairs, gram, span)
     return hits.groupBy("rid").agg(F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.collect_set(F.when(F.col("lo").isNotNull(), F.struct("lo", "hi"))).alias("spans"), F.collect_set("item_id").alias("items"))
