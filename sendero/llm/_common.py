@@ -141,13 +141,13 @@ def keyed(rows: DataFrame, key: str) -> DataFrame:
     return placed.join(broadcast_if_small(numbers, len(files), 256), "_file").select(*rows.columns, (F.col("_number") * (1 << 36) + F.col("_at")).alias(key))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, rows: int, salts: int = 64, row_bytes: int = 64) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, rows: int | None, salts: int = 64, row_bytes: int = 64) -> DataFrame:
     """left joined with right, which has one row for each key, though a key may hold a large share of left.
 
-    right is broadcast if its counted rows are small; else both sides are dealt by the key and a salt, a hash of left's
+    right is broadcast if its counted rows are small; else, and if they are of no known size (None), both sides are dealt by the key and a salt, a hash of left's
     column `by`, and right's rows are repeated for each salt that occurs.
     """
-    if rows * row_bytes <= 64 << 20:
+    if rows is not None and rows * row_bytes <= 64 << 20:
         return left.join(F.broadcast(right), on)
     left = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
     occurs = left.groupBy(*on, "_salt").agg(F.count("*").alias("_n")).groupBy(*on).agg(F.collect_list("_salt").alias("_salts"))

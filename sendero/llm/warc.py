@@ -4,7 +4,7 @@ An archive is two tables in the shared folder: `headers` keeps the exact header
 lines, up to the blank line) and the SHA-256 of its payload; `payloads` keeps each payload's bytes once, under that
 digest. Payloads seen once are written where they are read; only groups of equal digests are brought together, and
 each copy is compared byte by byte with the one that is stored. Records are rebuilt by a join on the digest, and the
-stored bytes are digested again on the way.
+stored bytes are digested again on the way. Copies of one payload are dealt over tasks by a salt, and the payload to each.
 
 Of records with equal payloads of at least `least` bytes the one with the largest id is a response, the others are
 revisits that refer to it; shorter payloads are responses all.
@@ -23,17 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sendero.llm._common import BATCH, broadcast_if_small, written
+from sendero.llm._common import BATCH, broadcast_if_small, spread_join, written
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 
 
 def _url(col: str) -> F.Column:
-    """The URL without characters that would end or split a header line."""
+    """The URL with spaces and control characters, which would end or split a header line, percent-encoded."""
     out = F.col(col)
-    for c, to in ((" ", "%20"), ("\r", "%0D"), ("\n", "%0A"), ("\t", "%09")):
-        out = F.replace(out, F.lit(c), F.lit(to))
+    for c in (*range(33), 127):
+        out = F.replace(out, F.lit(chr(c)), F.lit(f"%{c:02X}"))
     return out
 
 
@@ -54,7 +54,7 @@ def write_archive(pages: DataFrame, least: int = 1000, date: str = "2024-01-01T0
     payloads = written(single.unionByName(once), "payloads")
     size = groups.count()
     stored = payloads.join(broadcast_if_small(groups.select("key"), size), "key", "left_semi").withColumnRenamed("payload", "stored")
-    if not copies.join(stored, "key").filter(F.col("payload") != F.col("stored")).isEmpty():
+    if not spread_join(copies, stored, ["key"], "id", None).filter(F.col("payload") != F.col("stored")).isEmpty():
         raise ValueError("two payloads share a SHA-256 digest")
     revisit = (F.octet_length("payload") >= least) & F.col("n").isNotNull() & ~F.col("id").eqNullSafe(F.col("stays"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -78,7 +78,7 @@ def write_archive(pages: DataFrame, least: int = 1000, date: str = "2024-01-01T0
 
 def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     """Every record again: header, payload (the full one, for revisits too), record (its exact bytes)."""
-    both = headers.join(payloads, "key", "left")
+    both = spread_join(headers, payloads, ["key"], "header", None)
     sound = F.unhex(F.sha2("payload", 256)).eqNullSafe(F.col("key"))
     payload = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not match its digest")).cast("binary"))
     both = both.select("header", payload.alias("payload"))

@@ -33,3 +33,17 @@ def test_query_parses_the_records(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "records", lambda *tables: whole(*tables).withColumn("record", F.concat("record", F.lit(b"x"))))
     with pytest.raises(Exception, match="Content-Length|substring|subsection"):
         warc.op9_warc(spark, str(tmp_path)).collect()
+
+
+def test_long_payloads_many_copies_and_control_characters(spark):
+    """A payload of four million bytes, a third of the pages equal, characters that would split a header line."""
+    long = "é<p>" * 800_000
+    rows = [(i, f"u{i}", BIG) for i in range(150)] + [(1000 + i, f"v{i}", f"page {i}") for i in range(300)] + [(2000, "w", long), (2001, "w", long)]
+    rows += [(3000 + c, f"a{chr(c)}b", "x") for c in (*range(1, 33), 127)]
+    headers, payloads = warc.write_archive(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4))
+    back = warc.reread(warc.records(headers, payloads)).select(warc.page_of("WARC-Record-ID").alias("id"), warc.field("WARC-Type").alias("kind"), warc.field("WARC-Target-URI").alias("url"), F.octet_length("payload").alias("n"), warc.page_of("WARC-Refers-To").alias("to")).collect()
+    got = {r.id: (r.kind, r.n, r.to) for r in back}
+    assert len(back) == len(got) == len(rows)
+    assert all(got[i] == (("revisit", 1203, 149) if i < 149 else ("response", 1203, None)) for i in range(150))
+    assert got[2000] == ("revisit", 5 * 800_000, 2001) and got[2001] == ("response", 5 * 800_000, None)
+    assert {r.id: r.url for r in back if r.id >= 3000} == {3000 + c: f"a%{c:02X}b" for c in (*range(1, 33), 127)}
