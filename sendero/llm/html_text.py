@@ -2,9 +2,10 @@
 
 A tree builder closes implied tags (p, li, dt, dd, option, rows and cells), drops unmatched end tags and reads script,
 style and the like as raw text. Visibility rules leave out head, scripts, templates, what svg and math only define or
-annotate, `hidden`, display:none and visibility:hidden (which a descendant may undo). The renderer emits all visible text: blocks on lines of their own,
-paragraphs, headings, lists and tables set apart by a blank line, nested lists indented with their markers, table
-cells padded to the width of their column whatever it is, wide characters counted as two, cells that reach over several
+annotate, `hidden`, `popover`, a dialog or the body of details that is not open, display:none and visibility:hidden (which a
+descendant may undo) in style attributes; rules of style sheets are not applied. The renderer emits all visible text: blocks on lines of their own,
+paragraphs, headings, lists and tables set apart by a blank line, nested lists indented with their markers (numbers,
+letters or Roman numbers, from `start`, `value` and `reversed`), buttons and text fields set apart by a space, table cells padded to the width of their column whatever it is, wide characters counted as two, cells that reach over several
 rows keeping their column below, labels in drawings set apart by a space, white space collapsed
 except in pre. Neither step recurses, so nesting may be as deep as it likes.
 
@@ -28,7 +29,9 @@ from sendero.llm._common import lean
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object video audio canvas datalist".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object video audio canvas datalist rp".split())
+#: Set apart from the text around them by a space.
+APART = frozenset("button textarea".split())
 #: Within svg or math: what is defined, described or annotated there and not shown in its place.
 NOT_DRAWN = frozenset("defs symbol desc metadata clippath mask pattern marker annotation annotation-xml".split())
 LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr form fieldset".split())
@@ -269,7 +272,59 @@ def laid_out(rows: list[list[tuple[str, int, int]]]) -> list[str]:
 
 
 def _hidden(node: Node) -> bool:
-    return node.tag in HIDDEN or "hidden" in node.attrs or bool(DISPLAY.search(node.attrs.get("style", "")))
+    shut = node.tag == "dialog" and "open" not in node.attrs
+    return shut or node.tag in HIDDEN or "hidden" in node.attrs or "popover" in node.attrs or bool(DISPLAY.search(node.attrs.get("style", "")))
+
+
+def _shown(node: Node) -> list[Node | str]:
+    """The children that are shown: of details that are not open, the first summary."""
+    if node.tag != "details" or "open" in node.attrs:
+        return node.children
+    return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+
+
+def _whole(text: str) -> int | None:
+    found = re.match(r"\s*(-?\d{1,9})", text)
+    return int(found[1]) if found else None
+
+
+ROMAN = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
+
+
+def numeral(n: int, kind: str) -> str:
+    """A list item's number: in letters for a and A, Roman for i and I where these can express it, else in digits."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, k = divmod(n - 1, 26)
+            out = chr(ord(kind) + k) + out
+        return out
+    if kind in ("i", "I") and 0 < n < 4000:
+        out = ""
+        for value, letters in ROMAN:
+            out += letters * (n // value)
+            n %= value
+        return out if kind == "i" else out.upper()
+    return str(n)
+
+
+class Numbers:
+    """The count of a list: the next number, the step and the kind of numerals; none of a list without an order."""
+
+    def __init__(self, node: Node) -> None:
+        self.ordered, self.kind = node.tag == "ol", node.attrs.get("type", "1").strip()
+        back = "reversed" in node.attrs
+        first = _whole(node.attrs.get("start", ""))
+        self.next = first if first is not None else sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if back else 1
+        self.step = -1 if back else 1
+
+    def mark(self, item: Node) -> str:
+        if not self.ordered:
+            return "- "
+        value = _whole(item.attrs.get("value", ""))
+        n = self.next if value is None else value
+        self.next = n + self.step
+        return f"{numeral(n, item.attrs.get('type', self.kind).strip())}. "
 
 
 def _span(node: Node) -> int:
@@ -317,7 +372,7 @@ def render(html: str | None) -> str:
             found = VISIBILITY.search(node.attrs.get("style", ""))
             seen.append(found[1].lower() == "visible" if found else seen[-1])
             work.append((False, node))
-            work.extend((True, c) for c in reversed(node.children))
+            work.extend((True, c) for c in reversed(_shown(node)))
             if tag == "table":
                 page.apart(2)
                 tables.append([])
@@ -328,14 +383,10 @@ def render(html: str | None) -> str:
                 pages.append(Page())
             elif tag in ("ul", "ol", "menu", "dir"):
                 page.apart(1 if lists else 2)
-                start = re.match(r"\s*(-?\d{1,9})", node.attrs.get("start", ""))
-                lists.append((int(start[1]) if start else 1) if tag == "ol" else None)
+                lists.append(Numbers(node))
             elif tag == "li":
                 page.apart(1)
-                mark = "- "
-                if lists and lists[-1] is not None:
-                    mark = f"{lists[-1]}. "
-                    lists[-1] += 1
+                mark = lists[-1].mark(node) if lists else "- "
                 node.attrs = {**node.attrs, "\0": mark}
                 page.indent += " " * len(mark)
                 page.marker = mark
@@ -344,7 +395,7 @@ def render(html: str | None) -> str:
                 page.indent += "  "
             elif tag in BLOCK:
                 page.apart(2 if tag in LOOSE else 1)
-            elif tag == "text" and foreign:
+            elif tag == "text" and foreign or tag in APART:
                 page.space = page.any and not (page.breaks or page.brs)
             pre += tag == "pre"
             foreign += tag in ("svg", "math")
@@ -378,7 +429,7 @@ def render(html: str | None) -> str:
             page.apart(2 if tag in LOOSE else 1)
         elif tag in BLOCK:
             page.apart(2 if tag in LOOSE else 1)
-        elif tag == "text" and foreign:
+        elif tag == "text" and foreign or tag in APART:
             page.space = page.any and not (page.breaks or page.brs)
     return pages[0].text()
 

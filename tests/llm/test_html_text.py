@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from sendero.llm.html_text import cell_width, extract, render
 
 
@@ -84,3 +86,24 @@ def test_columns_line_up():
         width = [max(cell_width(row[k]) for row in rows) for k in range(n)]
         for row, line in zip(rows, lines, strict=True):
             assert line == "  ".join(c + " " * (w - cell_width(c)) for c, w in zip(row, width, strict=True)).rstrip()
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p>a<dialog><p>no</p></dialog></p><dialog open>yes</dialog>", "a\n\nyes"),
+        ("<details><summary>head</summary>body<p>more</details><p>x", "head\n\nx"),
+        ("<details open><summary>head</summary>body</details>", "head\nbody"),
+        ("<details>body only</details>x", "x"),
+        ("<div popover>tip</div><ruby>字<rp>(</rp><rt>zi</rt><rp>)</rp></ruby>", "字zi"),
+        ("<ol><li>a<li value=9>b<li>c</ol>", "1. a\n9. b\n10. c"),
+        ("<ol type=a start=26><li>x<li>y</ol>", "z. x\naa. y"),
+        ("<ol type=I><li>x<li value=49>y<li type=1>z<li value=0>n</ol>", "I. x\nXLIX. y\n50. z\n0. n"),
+        ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+        ("<ol reversed start=2><li>a<li>b<li>c</ol>", "2. a\n1. b\n0. c"),
+        ("say<textarea>hello</textarea><button>go</button>now", "say hello go now"),
+        ("<style>.x{display:none}</style><p class=x>rules of sheets are not applied", "rules of sheets are not applied"),
+    ],
+)
+def test_what_is_open_and_how_lists_count(html, text):
+    assert render(html) == text
