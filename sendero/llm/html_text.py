@@ -35,7 +35,7 @@ APART = frozenset("button textarea".split())
 #: Within svg or math: what is defined, described or annotated there and not shown in its place.
 NOT_DRAWN = frozenset("defs symbol desc metadata clippath mask pattern marker annotation annotation-xml".split())
 LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr form fieldset".split())
-BLOCK = LOOSE | frozenset("html body div section article aside nav header footer main address li dt dd tr caption center figcaption details summary legend option optgroup select thead tbody tfoot dir menu search hgroup".split())
+BLOCK = LOOSE | frozenset("html body div section article aside nav header footer main address li dt dd tr caption center figcaption details dialog summary legend option optgroup select thead tbody tfoot dir menu search hgroup".split())
 #: A start tag of the key closes open elements of the value, up to the nearest of the barrier.
 CLOSES_P = (BLOCK - frozenset("html body li dt dd tr caption option optgroup select thead tbody tfoot legend".split())) | {"li", "dt", "dd"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th", "caption"}, {"tr", "table"}), "th": ({"td", "th", "caption"}, {"tr", "table"}), "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "body": ({"head"}, set())}
