@@ -7,9 +7,13 @@ lengths that the names have, and joined to the names by equality; only what join
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
+from weakref import WeakKeyDictionary
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,10 +59,33 @@ def plain(col: Column) -> Column:
 
 def geography(spark: SparkSession, departments=DEPARTMENTS, municipalities=MUNICIPALITIES, preferred=PREFERRED, city_aliases=CITY_ALIASES, dept_aliases=DEPT_ALIASES) -> Geography:
     """The name tables. A city name with one meaning stands for it, one of several for the preferred or else the first
-    listed; an alias overrides both, and of equal aliases the last counts."""
-    depts = spark.createDataFrame([(d, i) for i, d in enumerate(departments)], "departamento string, ord int")
-    cities = spark.createDataFrame([(m, d, i) for i, (m, d) in enumerate(municipalities)], "municipio string, departamento string, ord int")
-    return _geography(depts, cities, preferred, city_aliases, dept_aliases)
+    listed; an alias overrides both, and of equal aliases the last counts.
+
+    These tables are lists of the caller's; they are worked out once and held as they are, those of the seeds once a session.
+    """
+    seeds = (departments, municipalities, preferred, city_aliases, dept_aliases) == (DEPARTMENTS, MUNICIPALITIES, PREFERRED, CITY_ALIASES, DEPT_ALIASES)
+    if seeds and spark in _SEEDS:
+        return _SEEDS[spark]
+    depts = _listed(spark, [(d, i) for i, d in enumerate(departments)], departamento=pa.string(), ord=pa.int32())
+    cities = _listed(spark, [(m, d, i) for i, (m, d) in enumerate(municipalities)], municipio=pa.string(), departamento=pa.string(), ord=pa.int32())
+    made = _geography(depts, cities, preferred, city_aliases, dept_aliases)
+    city = lambda rows: F.col("municipio") if "municipio" in rows.columns else F.lit(None).cast("string").alias("municipio")
+    whole = reduce(DataFrame.unionByName, [rows.select(F.lit(k).alias("of"), "norm", city(rows), "departamento", "ord") for k, rows in enumerate(made)]).toArrow()  # the caller's lists
+    parts = [whole.filter(pc.equal(whole["of"], k)).select([c for c in whole.column_names if c in rows.columns]) for k, rows in enumerate(made)]
+    sizes = {len([w for w in re.split(r"[^A-Z0-9Ñ]+", norm) if w]) for norm in whole["norm"].to_pylist()}
+    held = Geography(*(spark.createDataFrame(part) for part in parts), whole.num_rows, sorted(sizes - {0}))
+    if seeds:
+        _SEEDS[spark] = held
+    return held
+
+
+_SEEDS: WeakKeyDictionary[SparkSession, Geography] = WeakKeyDictionary()
+
+
+def _listed(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    """A table of the rows of a list."""
+    each = list(zip(*rows, strict=True)) or [()] * len(columns)
+    return spark.createDataFrame(pa.table({c: pa.array(values, kind) for (c, kind), values in zip(columns.items(), each, strict=True)}))
 
 
 def geography_of(listed: DataFrame, preferred=PREFERRED, city_aliases=CITY_ALIASES, dept_aliases=DEPT_ALIASES) -> Geography:
@@ -71,20 +98,23 @@ def geography_of(listed: DataFrame, preferred=PREFERRED, city_aliases=CITY_ALIAS
     if (count := cities.count()) > ALIAS_ORD:
         raise ValueError(f"{count} municipalities, at most {ALIAS_ORD} can be told from aliases")
     place = (F.col("n") - 1).cast("int").alias("ord")
-    return _geography(depts.select("departamento", place), cities.select("municipio", "departamento", place), preferred, city_aliases, dept_aliases)
+    made = _geography(depts.select("departamento", place), cities.select("municipio", "departamento", place), preferred, city_aliases, dept_aliases)
+    return Geography(*made, *name_sizes(*made))
 
 
-def _geography(departments: DataFrame, municipalities: DataFrame, preferred, city_aliases, dept_aliases) -> Geography:
+def _geography(departments: DataFrame, municipalities: DataFrame, preferred, city_aliases, dept_aliases) -> tuple[DataFrame, ...]:
+    """The departments, their aliases, the cities and the homonyms of a Geography."""
     spark = departments.sparkSession
     depts = departments.select(plain(F.col("departamento")).alias("norm"), "departamento", "ord")
-    aliases = spark.createDataFrame([(a, d, i) for i, (a, d) in enumerate(dept_aliases)], "norm string, departamento string, ord int")
+    text = pa.string()
+    aliases = _listed(spark, [(a, d, i) for i, (a, d) in enumerate(dept_aliases)], norm=text, departamento=text, ord=pa.int32())
     raw = municipalities.select(plain(F.col("municipio")).alias("norm"), "municipio", "departamento", "ord")
-    pref = spark.createDataFrame(list(preferred), "norm string, departamento string").withColumn("preferred", F.lit(1))
+    pref = _listed(spark, list(preferred), norm=text, departamento=text).withColumn("preferred", F.lit(1))
     listed = raw.join(pref, ["norm", "departamento"], "left").select("norm", "municipio", "departamento", "ord", F.when(F.col("preferred").isNotNull(), 1).otherwise(2).alias("rank"), F.col("ord").alias("place"))
-    named = spark.createDataFrame([(a, m, d, ALIAS_ORD + i, 0, -i) for i, (a, m, d) in enumerate(city_aliases)], "norm string, municipio string, departamento string, ord int, rank int, place int")
+    named = _listed(spark, [(a, m, d, ALIAS_ORD + i, 0, -i) for i, (a, m, d) in enumerate(city_aliases)], norm=text, municipio=text, departamento=text, ord=pa.int32(), rank=pa.int32(), place=pa.int32())
     first = W.partitionBy("norm").orderBy("rank", "place")
     cities = listed.unionByName(named).withColumn("ord", F.min("ord").over(W.partitionBy("norm"))).withColumn("rn", F.row_number().over(first)).filter("rn = 1").select("norm", "municipio", "departamento", "ord")
-    return Geography(depts, aliases, cities, raw, *name_sizes(depts, aliases, cities, raw))
+    return depts, aliases, cities, raw
 
 
 def words(text: Column) -> Column:

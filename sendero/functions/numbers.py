@@ -1,19 +1,23 @@
 """Spelled-out numbers and the figures that each stands for."""
 
-#: Phrases of two or three words as patterns, replaced before single words.
+#: Phrases of two or three words, replaced before single words.
 ORDINAL_PHRASES = {
-    "DECIMO PRIMER[OA]": 11, "DECIMO SEGUND[OA]": 12, "DECIMO TERCER[OA]": 13, "DECIMO CUART[OA]": 14, "DECIMO QUINT[OA]": 15, "DECIMO SEXT[OA]": 16,
-    "DECIMO SEPTIM[OA]": 17, "DECIMO OCTAV[OA]": 18, "DECIMO NOVEN[OA]": 19, "VIGESIMO PRIMER[OA]": 21, "VIGESIMO SEGUND[OA]": 22,
-    "VIGESIMO TERCER[OA]": 23, "VIGESIMO CUART[OA]": 24, "VIGESIMO QUINT[OA]": 25, "VIGESIMO SEXT[OA]": 26, "VIGESIMO SEPTIM[OA]": 27,
-    "VIGESIMO OCTAV[OA]": 28, "VIGESIMO NOVEN[OA]": 29, "TREINTA Y UNO?": 31, "TREINTA Y DOS": 32, "TREINTA Y TRES": 33, "TREINTA Y CUATRO": 34,
-    "TREINTA Y CINCO": 35, "TREINTA Y SEIS": 36, "TREINTA Y SIETE": 37, "TREINTA Y OCHO": 38, "TREINTA Y NUEVE": 39, "CUARENTA Y UNO?": 41,
-    "CUARENTA Y DOS": 42, "CUARENTA Y TRES": 43, "CUARENTA Y CUATRO": 44, "CUARENTA Y CINCO": 45, "CUARENTA Y SEIS": 46, "CUARENTA Y SIETE": 47,
-    "CUARENTA Y OCHO": 48, "CUARENTA Y NUEVE": 49, "CINCUENTA Y UNO?": 51, "CINCUENTA Y DOS": 52, "CINCUENTA Y TRES": 53, "CINCUENTA Y CUATRO": 54,
-    "CINCUENTA Y CINCO": 55, "CINCUENTA Y SEIS": 56, "CINCUENTA Y SIETE": 57, "CINCUENTA Y OCHO": 58, "CINCUENTA Y NUEVE": 59, "SESENTA Y UNO?": 61,
-    "SESENTA Y DOS": 62, "SESENTA Y TRES": 63, "SESENTA Y CUATRO": 64, "SESENTA Y CINCO": 65, "SESENTA Y SEIS": 66, "SESENTA Y SIETE": 67,
-    "SESENTA Y OCHO": 68, "SESENTA Y NUEVE": 69, "SETENTA Y UNO?": 71, "SETENTA Y DOS": 72, "SETENTA Y TRES": 73, "SETENTA Y CUATRO": 74,
-    "SETENTA Y CINCO": 75, "SETENTA Y SEIS": 76, "SETENTA Y SIETE": 77, "SETENTA Y OCHO": 78, "SETENTA Y NUEVE": 79, "OCHENTA Y UNO?": 81,
-    "OCHENTA Y DOS": 82, "OCHENTA Y TRES": 83, "OCHENTA Y CUATRO": 84, "OCHENTA Y CINCO": 85,
+    "DECIMO PRIMERO": 11, "DECIMO PRIMERA": 11, "DECIMO SEGUNDO": 12, "DECIMO SEGUNDA": 12, "DECIMO TERCERO": 13, "DECIMO TERCERA": 13,
+    "DECIMO CUARTO": 14, "DECIMO CUARTA": 14, "DECIMO QUINTO": 15, "DECIMO QUINTA": 15, "DECIMO SEXTO": 16, "DECIMO SEXTA": 16, "DECIMO SEPTIMO": 17,
+    "DECIMO SEPTIMA": 17, "DECIMO OCTAVO": 18, "DECIMO OCTAVA": 18, "DECIMO NOVENO": 19, "DECIMO NOVENA": 19, "VIGESIMO PRIMERO": 21,
+    "VIGESIMO PRIMERA": 21, "VIGESIMO SEGUNDO": 22, "VIGESIMO SEGUNDA": 22, "VIGESIMO TERCERO": 23, "VIGESIMO TERCERA": 23, "VIGESIMO CUARTO": 24,
+    "VIGESIMO CUARTA": 24, "VIGESIMO QUINTO": 25, "VIGESIMO QUINTA": 25, "VIGESIMO SEXTO": 26, "VIGESIMO SEXTA": 26, "VIGESIMO SEPTIMO": 27,
+    "VIGESIMO SEPTIMA": 27, "VIGESIMO OCTAVO": 28, "VIGESIMO OCTAVA": 28, "VIGESIMO NOVENO": 29, "VIGESIMO NOVENA": 29, "TREINTA Y UN": 31,
+    "TREINTA Y UNO": 31, "TREINTA Y DOS": 32, "TREINTA Y TRES": 33, "TREINTA Y CUATRO": 34, "TREINTA Y CINCO": 35, "TREINTA Y SEIS": 36,
+    "TREINTA Y SIETE": 37, "TREINTA Y OCHO": 38, "TREINTA Y NUEVE": 39, "CUARENTA Y UN": 41, "CUARENTA Y UNO": 41, "CUARENTA Y DOS": 42,
+    "CUARENTA Y TRES": 43, "CUARENTA Y CUATRO": 44, "CUARENTA Y CINCO": 45, "CUARENTA Y SEIS": 46, "CUARENTA Y SIETE": 47, "CUARENTA Y OCHO": 48,
+    "CUARENTA Y NUEVE": 49, "CINCUENTA Y UN": 51, "CINCUENTA Y UNO": 51, "CINCUENTA Y DOS": 52, "CINCUENTA Y TRES": 53, "CINCUENTA Y CUATRO": 54,
+    "CINCUENTA Y CINCO": 55, "CINCUENTA Y SEIS": 56, "CINCUENTA Y SIETE": 57, "CINCUENTA Y OCHO": 58, "CINCUENTA Y NUEVE": 59, "SESENTA Y UN": 61,
+    "SESENTA Y UNO": 61, "SESENTA Y DOS": 62, "SESENTA Y TRES": 63, "SESENTA Y CUATRO": 64, "SESENTA Y CINCO": 65, "SESENTA Y SEIS": 66,
+    "SESENTA Y SIETE": 67, "SESENTA Y OCHO": 68, "SESENTA Y NUEVE": 69, "SETENTA Y UN": 71, "SETENTA Y UNO": 71, "SETENTA Y DOS": 72,
+    "SETENTA Y TRES": 73, "SETENTA Y CUATRO": 74, "SETENTA Y CINCO": 75, "SETENTA Y SEIS": 76, "SETENTA Y SIETE": 77, "SETENTA Y OCHO": 78,
+    "SETENTA Y NUEVE": 79, "OCHENTA Y UN": 81, "OCHENTA Y UNO": 81, "OCHENTA Y DOS": 82, "OCHENTA Y TRES": 83, "OCHENTA Y CUATRO": 84,
+    "OCHENTA Y CINCO": 85,
 }
 #: Single words.
 ORDINAL_WORDS = {

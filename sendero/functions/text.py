@@ -97,11 +97,13 @@ def norm_audit(col: Column) -> Column:
 
 def ordinal_rules() -> list[tuple[str, str]]:
     """(pattern, number): phrases first, then single words, those of one number as one pattern."""
-    words: dict[int, list[str]] = {}
-    for word, n in ORDINAL_WORDS.items():
-        words.setdefault(n, []).append(word)
-    rules = [(rf"\b{phrase}\b", str(n)) for phrase, n in ORDINAL_PHRASES.items()]
-    return rules + [(rf"\b(?:{'|'.join(some)})\b", str(n)) for n, some in words.items()]
+    rules = []
+    for table in (ORDINAL_PHRASES, ORDINAL_WORDS):
+        words: dict[int, list[str]] = {}
+        for word, n in table.items():
+            words.setdefault(n, []).append(word)
+        rules += [(rf"\b(?:{'|'.join(some)})\b", str(n)) for n, some in words.items()]
+    return rules
 
 
 def replace_ordinals(col: Column) -> Column:

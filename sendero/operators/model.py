@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sendero.functions.classify import JUDICIAL
-from sendero.sources.stage import staged
+from sendero.sources.stage import broadcast_if_small, staged
 
 #: What a status is worth when duplicates compete, and statuses that never enter the model.
 PRIORITY = {"PROCESADO": 1, "RECONFIRMADO": 2, "CONFIRMADO": 3, "PROCESADO_CON_ERRORES": 4, "EN_PROCESO": 5, "SIN_CONFIRMAR": 6}
@@ -93,15 +96,12 @@ def numbered(rows: DataFrame, order: list[str | Column], name: str) -> DataFrame
     """rows with 1..n in the given order: sorted by ranges, each range numbered from the count of those before it."""
     part = F.spark_partition_id()
     placed = staged(rows.orderBy(*order).withColumns({"_part": part, "_at": F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)}), "numbered")
-    counts = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}  # one row a partition
-    before, starts = 0, {}
-    for p in sorted(counts):
-        starts[p] = before
-        before += counts[p]
-    if not starts:
+    counts = placed.groupBy("_part").count().orderBy("_part").collect()  # one row a partition
+    if not counts:
         return rows.withColumn(name, F.lit(0).cast("bigint"))
-    start = F.element_at(F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, s)]), F.col("_part"))
-    return placed.withColumn(name, (start + F.col("_at") + 1).cast("bigint")).drop("_part", "_at")
+    before = list(accumulate((r["count"] for r in counts), initial=0))[:-1]
+    starts = rows.sparkSession.createDataFrame(pa.table({"_part": pa.array([r["_part"] for r in counts], pa.int32()), "_start": pa.array(before, pa.int64())}))
+    return placed.join(broadcast_if_small(starts, len(counts), 16), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
 
 
 #: Tables in an order in which none refers to a later one.

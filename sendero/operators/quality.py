@@ -10,9 +10,23 @@ from pyspark.sql import types as T
 
 
 def orphans(relations: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """(relacion, huerfanos) of (name, child, foreign key, parent, key); null keys refer to nothing."""
-    counts = [child.filter(F.col(fk).isNotNull()).join(parent.select(F.col(key).alias(fk)), fk, "left_anti").agg(F.lit(name).alias("relacion"), F.count("*").alias("huerfanos")) for name, child, fk, parent, key in relations]
-    return reduce(DataFrame.unionByName, counts)
+    """(relacion, huerfanos) of (name, child, foreign key, parent, key); null keys refer to nothing.
+
+    A child is read once for all its relations, and its keys are counted before they are dealt out. Keys are compared as
+    whole numbers if all are, else as text.
+    """
+    spark = relations[0][1].sparkSession
+    kinds = {df.schema[c].dataType for _, child, fk, parent, key in relations for df, c in ((child, fk), (parent, key))}
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+    children: dict[int, tuple[DataFrame, list]] = {}
+    for name, child, fk, _, _ in relations:
+        children.setdefault(id(child), (child, []))[1].append(F.struct(F.lit(name).alias("relacion"), F.col(fk).cast(kind).alias("k")))
+    referred = reduce(DataFrame.unionByName, [child.select(F.explode(F.array(*keys)).alias("x")).select("x.*") for child, keys in children.values()])
+    counted = referred.filter("k IS NOT NULL").groupBy("relacion", "k").agg(F.count("*").alias("n"))
+    there = reduce(DataFrame.unionByName, [parent.select(F.lit(name).alias("relacion"), F.col(key).cast(kind).alias("k")) for name, _, _, parent, key in relations])
+    missing = counted.join(there, ["relacion", "k"], "left_anti").groupBy("relacion").agg(F.sum("n").alias("huerfanos"))
+    names = spark.createDataFrame([(r[0],) for r in relations], "relacion string")
+    return names.join(F.broadcast(missing), "relacion", "left").select("relacion", F.coalesce("huerfanos", F.lit(0).cast("bigint")).alias("huerfanos"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sendero.functions import classify, geo, text
 from sendero.operators import model, resolve
 from sendero.sources import load, readers
-from sendero.sources.stage import broadcast_if_small, staged
+from sendero.sources.stage import broadcast_if_small, staged, staging
 
 KEY = ["tipo", "subtipo", "numero", "lugar"]
 #: Positions of the columns that are used, how many a file has, and the fewest that a row must have.
@@ -120,6 +120,11 @@ def build(spark: SparkSession, orders_path: str, children_path: str, folder: str
     places: names that are no part of an entity's core; by default those of the geography. Counts: filas, filas_cortas (of
     either file), estado_excluido, oficios, sin_entidad, con_demandado, sin_municipio and sin_departamento of the facts.
     """
+    with staging(spark):
+        return _build(spark, orders_path, children_path, folder, g, places)
+
+
+def _build(spark: SparkSession, orders_path: str, children_path: str, folder: str, g: geo.Geography | None, places: list[str] | None) -> Built:
     g = g or geo.geography(spark)
     seen = {name: Observation(name) for name in ("orders", "kept", "children", "facts")}
     orders = read_orders(spark, orders_path, seen["orders"], seen["kept"])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sendero.functions import geo, text
 from sendero.operators import enrich, model, quality, schema
 from sendero.plans.registry import query, table
+from sendero.sources import load
+from sendero.sources.stage import shared_folder
 
 # Entities and registries derived from parts and suppliers, by the same expressions for Spark and for DuckDB.
 _ENTITY = {
@@ -238,3 +242,20 @@ def q_entity_views(spark, sf_dir):
     schema.create_views({"dim_entidades": schema.fitted(entities, "dim_entidades"), "dim_municipios": schema.fitted(cities, "dim_municipios")})
     seen = [spark.table(f"vista_entidades_{name}").withColumn("vista", F.lit(label)) for name, label in (("judiciales", "judicial"), ("coactivas", "coactiva"))]
     return seen[0].unionByName(seen[1]).select("vista", "entidad_id", "nombre_extraido", "tipo", "ciudad", "total_registros")
+
+
+@query("SELECT r_name, count(*) AS clientes, CAST(sum(CAST(c_acctbal AS DECIMAL(20, 2))) AS DECIMAL(30, 2)) AS saldo, 2 AS version FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1")
+def q_transactional_load(spark, sf_dir):
+    """Three tables loaded together twice, and a third load, whose customers name no nation, that leaves them as they were."""
+    folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    given = {name: table(spark, sf_dir, name) for name in ("region", "nation", "customer")}
+    rules = {"region": load.Rules(key=("r_regionkey",)), "nation": load.Rules(key=("n_nationkey",), refers=(("n_regionkey", "region", "r_regionkey"),)), "customer": load.Rules(key=("c_custkey",), refers=(("c_nationkey", "nation", "n_nationkey"),))}
+    load.load(spark, folder, given | {"customer": given["customer"].limit(0)}, rules)
+    version = load.load(spark, folder, {"customer": given["customer"]}, rules).version
+    try:
+        load.load(spark, folder, {"customer": given["customer"].withColumn("c_nationkey", F.col("c_nationkey") - 1000)}, rules)
+    except load.LoadError:
+        loaded = load.tables(spark, folder)
+    nations = loaded["nation"].join(F.broadcast(loaded["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
+    star = loaded["customer"].join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    return star.groupBy("r_name").agg(F.count("*").alias("clientes"), F.sum(F.col("c_acctbal").cast("decimal(20,2)")).cast("decimal(30,2)").alias("saldo"), F.lit(version).alias("version"))

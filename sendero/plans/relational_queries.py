@@ -143,7 +143,8 @@ _RELATIONS = [("orders_customer", "orders", "o_custkey", "customer", "c_custkey"
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS relacion, count(*) AS huerfanos FROM {c} LEFT JOIN {p} ON {fk} = {k} WHERE {k} IS NULL AND {fk} IS NOT NULL" for n, c, fk, p, k in _RELATIONS))
 def q_fk_orphans(spark, sf_dir):
-    return quality.orphans([(n, table(spark, sf_dir, c), fk, table(spark, sf_dir, p), k) for n, c, fk, p, k in _RELATIONS])
+    read = {t: table(spark, sf_dir, t) for r in _RELATIONS for t in (r[1], r[3])}
+    return quality.orphans([(n, read[c], fk, read[p], k) for n, c, fk, p, k in _RELATIONS])
 
 
 @query("SELECT count(*) AS fuera FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

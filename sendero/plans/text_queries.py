@@ -105,11 +105,15 @@ def q_detect_type(spark, sf_dir):
 _NAMES = "SELECT unnest(['JUZGADO DE PEQUENAS CAUSAS Y COMPETENCIA MULTIPLE', 'DATT CARTAGENA', 'SENA REGIONAL', 'SENAMIHI SENA', 'COLPENSIONES', 'EMCALI', 'CAS DE SANTANDER', 'CONSEJO SECCIONAL DE LA JUDICATURA', 'JUEZ LABORAL DE PEQUENAS CAUSAS', 'CENTRO DE SERVICIOS JUDICIALES', 'GBERANCION DEL CESAR', 'SUPERINTENDENCIA DE INDUSTRIA', 'SUPERINTENDENCIA X', 'SECRETARIA DE TRANSITO', 'MINHACIENDA', 'MINISTERIO DE MINAS Y ENERGIA DE LA REPUBLICA', 'U.G.P.P', 'DIRECCION EJECUTIVA', 'IDU', 'INSTITUTO DE MOVILIDAD', 'DIRECCION DE TRANSITO', 'AGUAS E.S.P.', 'POLICIA', 'CORTE SUPREMA', 'CORTE CONSTITUCIONAL', 'CONTRALORIA', 'PERSONERIA', 'TRIBUNAL ADMINISTRATIVO', 'NADA', '']) AS clean"
 
 
-@query(f"WITH t AS ({_NAMES}) SELECT clean, {duck.entity_type('clean')} AS tipo, {duck.subtype(f'({duck.entity_type("clean")})', 'clean')} AS subtipo FROM t")
+_LISTED = _NAMES[_NAMES.index("[") + 1 : _NAMES.rindex("]")]
+_COUNT = len(_LISTED.split("', '"))
+
+
+@query(f"WITH t AS (SELECT list_extract([{_LISTED}], CAST(o_orderkey % {_COUNT} AS INT) + 1) AS clean FROM orders) SELECT clean, {duck.entity_type('clean')} AS tipo, {duck.subtype(f'({duck.entity_type("clean")})', 'clean')} AS subtipo, count(*) AS n FROM t GROUP BY ALL")
 def q_subtype_misc(spark, sf_dir):
-    """Every branch of the ladder on fixed names."""
-    names = spark.sql(_NAMES.replace("unnest([", "explode(array(").replace("]) AS", ")) AS"))
-    out = names.withColumn("tipo", classify.entity_type(F.col("clean")))
+    """Every branch of the ladder, on names given to all orders."""
+    named = table(spark, sf_dir, "orders").select(F.expr(f"element_at(array({_LISTED}), CAST(o_orderkey % {_COUNT} AS INT) + 1)").alias("clean"))
+    out = named.groupBy("clean").agg(F.count("*").alias("n")).withColumn("tipo", classify.entity_type(F.col("clean")))
     return out.withColumn("subtipo", classify.subtype(F.col("tipo"), F.col("clean")))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +24,26 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, when whatever is to last has been written elsewhere."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read back: what is dear is done once, plans stay small, lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

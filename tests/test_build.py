@@ -1,6 +1,7 @@
 """From two raw files to five loaded tables, and the third model in a database."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from sendero.functions import geo
 from sendero.operators import enrich, quality, schema
 from sendero.plans import build
 from sendero.sources import load, readers, sinks
+from sendero.sources.stage import shared_folder
 
 
 def order(i, sender, status="PROCESADO", city="", fields=44, **more):
@@ -27,6 +29,10 @@ def child(i, name, fields=19, **more):
     return ",".join('"' + x + '"' if "," in x else x for x in row[:fields])
 
 
+def staged_tables(spark):
+    return set(os.listdir(shared_folder(spark).removeprefix("file://")))
+
+
 @pytest.fixture
 def files(tmp_path):
     head = [f"c{i}" for i in range(44)]
@@ -50,7 +56,9 @@ def files(tmp_path):
 
 
 def test_two_files_become_five_tables(spark, files):
+    before = staged_tables(spark)
     built = build.build(spark, *files)
+    assert staged_tables(spark) == before
     rows = {name: {r[0]: r for r in t.collect()} for name, t in load.tables(spark, files[2]).items()}
     assert set(rows) == {"dim_departamentos", "dim_municipios", "dim_entidades", "dim_variantes", "fact_oficios"}
     assert built.counts == {"filas": 9, "filas_cortas": 1, "estado_excluido": 1, "oficios": 7, "sin_entidad": 0, "con_demandado": 2, "sin_municipio": 3, "sin_departamento": 2, "filas_demandado": 6, "filas_cortas_demandado": 1}
@@ -160,3 +168,18 @@ def test_csv_sink_and_names_of_any_length(spark, tmp_path):
     texts = {f"ALCALDIA DE {long.upper().replace('É', 'E').replace('Í', 'I')} X": (long, "Uno"), "ALCALDIA DE SAN JOSE DE LOS NUEVE": ("San José", "Dos"), "ALCALDIA EL LUGAR DE LAS SEIS PALABRAS": ("San José", "Dos"), "": (None, None)}
     frame = spark.createDataFrame([(t, "ALCALDIA") for t in texts], "clean string, tipo string")
     assert {r.clean: (r.municipio, r.departamento) for r in geo.locate(frame, g).collect()} == texts
+
+
+def test_departments_by_alias_and_in_listed_order(spark):
+    _, towns, keys, cities = build.place_tables(geo.geography(spark))
+    departments = {r.nombre: r.departamento_id for r in build.place_tables(geo.geography(spark))[0].collect()}
+    town = {(r.nombre, r.departamento_id): r.municipio_id for r in towns.collect()}
+    asked = {
+        ("CALI", "VALLE"): ("Cali", "Valle del Cauca"), ("MEDELLIN", "ANTIOQUIA"): ("Medellín", "Antioquia"), ("ARMENIA", "QUINDIO"): ("Armenia", "Quindío"), ("ARMENIA", ""): (None, None),
+        ("", "BOGOTA DC"): (None, "Bogotá, D.C."), ("", "DEPARTAMENTO DEL META"): (None, "Meta"), ("", "SANTANDER"): (None, "Santander"), ("NEIVA", "NINGUNO"): ("Neiva", None), ("", "CORDO"): (None, "Córdoba"),
+        ("", "A"): (None, "Amazonas"),
+    }
+    rows = spark.createDataFrame(list(asked), "key string, dept_key string")
+    got = {(r.key, r.dept_key): (r.municipio_id, r.departamento_id) for r in geo.resolve_ids(rows, cities, keys).collect()}
+    of = {"Cali": "Valle del Cauca", "Medellín": "Antioquia", "Armenia": "Quindío", "Neiva": "Huila"}
+    assert got == {k: (town[m, departments[of[m]]] if m else None, departments[d] if d else None) for k, (m, d) in asked.items()}
