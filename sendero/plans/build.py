@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sendero.functions import classify, geo, text
 from sendero.operators import model, resolve
-from sendero.sources import load, readers
+from sendero.sources import load, readers, sinks
 from sendero.sources.stage import broadcast_if_small, staged, staging
 
 KEY = ["tipo", "subtipo", "numero", "lugar"]
@@ -33,6 +33,13 @@ DEPARTMENT_KEYS = [
     ("SAN ANDRES", "San Andrés y Providencia"), ("SAN ANDRES Y PROVIDENCIA", "San Andrés y Providencia"), ("SAN ANDRES ISLAS", "San Andrés y Providencia"), ("SAN ANDRES  PROVIDENCIA Y SANTA CATALINA", "San Andrés y Providencia"),
     ("NORTE DE SANTANDER", "Norte de Santander"), ("VALLE DEL CAUCA", "Valle del Cauca"), ("VALLE", "Valle del Cauca"),
 ]
+#: The 26 columns of the cleaned orders, and where each comes from; '' for those that are always blank.
+CLEAN = {
+    "embargo_id": "id", "entidad_remitente_id": "entidad_id", "entidad_bancaria_id": "banco", "estado_embargo": "estado", "numero_oficio": "numero_oficio", "fecha_oficio": "fecha_oficio", "fecha_recepcion": "fecha_recepcion",
+    "titulo_embargo": "titulo_embargo", "titulo_orden": "titulo_orden", "monto": "monto", "monto_a_embargar": "monto_a_embargar", "nombre_demandado": "nombre_demandado", "id_demandado": "id_demandado", "tipo_id_demandado": "tipo_id_demandado",
+    "nombre_demandante": "", "id_demandante": "", "tipo_id_demandante": "", "nombre_remitente": "nombre", "direccion_remitente": "direccion", "correo_remitente": "correo", "nombre_personal_remitente": "funcionario",
+    "referencia": "referencia", "expediente": "expediente", "created_at": "created_at", "confirmed_at": "confirmed_at", "processed_at": "processed_at",
+}
 RULES = {
     "dim_departamentos": load.Rules(key=("departamento_id",)),
     "dim_municipios": load.Rules(key=("municipio_id",), refers=(("departamento_id", "dim_departamentos", "departamento_id"),)),
@@ -114,17 +121,25 @@ def placed_ids(rows: DataFrame, keys: DataFrame, cities: DataFrame) -> DataFrame
     return rows.join(known, F.col("municipio").eqNullSafe(F.col("_m")) & F.col("departamento").eqNullSafe(F.col("_d")), "left").drop("_m", "_d")
 
 
-def build(spark: SparkSession, orders_path: str, children_path: str, folder: str, g: geo.Geography | None = None, places: list[str] | None = None) -> Built:
+def clean_orders(fact: DataFrame) -> DataFrame:
+    """The 26 columns of resolved orders as text, '' for what is missing; a sender without an entity keeps its spelling."""
+    source = {**{c: F.col(c) for c in fact.columns}, "nombre": F.coalesce("nombre", "remitente"), "": F.lit("")}
+    return fact.select(*[F.coalesce(source[c].cast("string"), F.lit("")).alias(name) for name, c in CLEAN.items()])
+
+
+def build(spark: SparkSession, orders_path: str, children_path: str, folder: str, g: geo.Geography | None = None, places: list[str] | None = None, clean_csv: str | None = None) -> Built:
     """Read both files, resolve their senders and load the model's five tables into a folder, all or none.
 
+    clean_csv: a folder for the cleaned orders as CSV, which are written before the load and replaced by each run.
+
     places: names that are no part of an entity's core; by default those of the geography. Counts: filas, filas_cortas (of
     either file), estado_excluido, oficios, sin_entidad, con_demandado, sin_municipio and sin_departamento of the facts.
     """
     with staging(spark):
-        return _build(spark, orders_path, children_path, folder, g, places)
+        return _build(spark, orders_path, children_path, folder, g, places, clean_csv)
 
 
-def _build(spark: SparkSession, orders_path: str, children_path: str, folder: str, g: geo.Geography | None, places: list[str] | None) -> Built:
+def _build(spark: SparkSession, orders_path: str, children_path: str, folder: str, g: geo.Geography | None, places: list[str] | None, clean_csv: str | None) -> Built:
     g = g or geo.geography(spark)
     seen = {name: Observation(name) for name in ("orders", "kept", "children", "facts")}
     orders = read_orders(spark, orders_path, seen["orders"], seen["kept"])
@@ -137,8 +152,10 @@ def _build(spark: SparkSession, orders_path: str, children_path: str, folder: st
     variants = staged(spelled.join(entities.select("entidad_id", "nombre", F.col("municipio").alias("em"), F.col("departamento").alias("ed"), *KEY), KEY), "variants")
     ranked = model.numbered(variants.select("entidad_id", F.col("nombre").alias("nombre_normalizado"), F.col("raw").alias("variante_original"), F.col("n").alias("conteo")), ["entidad_id", F.desc("conteo"), "variante_original"], "variante_id")
     towns = geo.resolve_cities(orders, g).withColumnsRenamed({"municipio": "cm", "departamento": "cd"})
-    by_name = broadcast_if_small(variants.select(F.col("raw").alias("remitente"), "entidad_id", "em", "ed"), variants.count())
+    by_name = broadcast_if_small(variants.select(F.col("raw").alias("remitente"), "entidad_id", "nombre", "em", "ed"), variants.count())
     fact = orders.join(by_name, "remitente", "left").join(children, "id", "left").join(towns, "ciudad", "left")
+    if clean_csv:
+        sinks.write_csv(clean_orders(fact), clean_csv, list(CLEAN))
     city, dept, source = geo.provenance(F.col("em"), F.col("ed"), F.col("cm"), F.col("cd"), F.col("ciudad"))
     fact = placed_ids(fact.withColumns({"municipio": city, "departamento": dept, "fuente_ubicacion": source}), keys, cities)
     same = ["estado", "numero_oficio", "fecha_oficio", "fecha_recepcion", "titulo_embargo", "titulo_orden", "monto", "monto_a_embargar", "nombre_demandado", "id_demandado", "tipo_id_demandado", "municipio_id", "departamento_id", "fuente_ubicacion", "referencia", "expediente", "created_at", "confirmed_at", "processed_at"]

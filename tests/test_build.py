@@ -82,7 +82,11 @@ def test_two_files_become_five_tables(spark, files):
     variants = sorted((r.variante_original, r.conteo, entity[r.entidad_id].tipo) for r in rows["dim_variantes"].values() if r.variante_original)
     assert variants == [("ALCALDIA DE PASTO", 1, "ALCALDIA"), ("Alcaldía de Pasto", 1, "ALCALDIA"), ("EMCALI", 1, "EMCALI"), ("GOBERNACION DEL CESAR", 1, "GOBERNACION"), ("JUZGADO 3 CIVIL MUNICIPAL", 2, "JUZGADO")]
     assert sorted(rows["dim_variantes"]) == list(range(1, 7)) and sorted(entity) == list(range(1, 6))
-    again = build.build(spark, *files)
+    again = build.build(spark, *files, clean_csv=files[2] + "-clean")
+    clean = {r.embargo_id: r for r in readers.named_csv(spark, files[2] + "-clean", list(build.CLEAN)).collect()}
+    assert len(build.CLEAN) == 26 and sorted(clean) == sorted(fact) and clean["9"].referencia == "una,\nreferencia" and clean["9"].nombre_remitente is None
+    c = clean["2"]
+    assert (c.nombre_remitente, c.entidad_remitente_id, c.correo_remitente, c.monto, c.nombre_demandante, c.estado_embargo) == ("ALCALDIA DE PASTO", str(fact["2"].entidad_remitente_id), "a@b.co", "1e3x", None, "PROCESADO")
     assert again.manifest.version == 2 and again.counts == built.counts
     assert {name: {r[0]: r for r in t.collect()} for name, t in load.tables(spark, files[2]).items()} == rows
 
