@@ -45,3 +45,11 @@ def test_frames(spark, both):
     texts = {(r.id, r.text) for r in bpe.decode(bpe.encode(docs)).collect()}
     assert texts == {(i, t or "") for i, t in rows}
     assert bpe.round_trip(docs.limit(0)).count() == 0
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(1, "Hello world", 5, "x", 7), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id int, ids_sha256 string, n_tokens int")
+    plain = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    assert sorted(map(tuple, bpe.round_trip(docs).collect())) == sorted(map(tuple, bpe.round_trip(plain).collect()))
+    assert sorted((r.id, list(r.ids)) for r in bpe.encode(docs).collect()) == sorted((r.id, list(r.ids)) for r in bpe.encode(plain).collect())
