@@ -31,7 +31,7 @@ NEVER = 1 << 62
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: The characters of White_Space.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-PIECE = 1 << 20
+PIECE = 1 << 18
 SLOTS, STORE = 1 << 18, 1 << 21  # words and ids that a worker keeps between batches
 TOGETHER = 65  # words of at most so many bytes advance together
 HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
@@ -376,6 +376,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
                 hashed = [hashlib.sha256(little[s:e].tobytes()).hexdigest() for s, e in zip(at[:-1], at[1:], strict=True)]
                 decoded = [hashlib.sha256(text[s:e].tobytes().decode("utf-8", "replace").encode()).hexdigest() for s, e in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.array(np.diff(at)), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        tokenizer.cache_clear()  # the worker, which stays, is not to hold its tables through the steps that follow
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -126,7 +126,7 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint32)
 
 
-def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+def frequent(rows: DataFrame, k: int, seed: int, ranges: int, known: int, flush: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Upper halves of the most frequent shingle hashes, sorted, and the whole log2 of their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,7 +483,7 @@ def _near_duplicates(docs: DataFrame, k: int, num: int, den: int, known: int, id
     else:
         raise ValueError("different sets share a key under each of eight seeds")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranges = max(12, int(total) // 1_000_000)  # about so many shingles meet in a task
+    ranges = max(12, int(total) // 500_000)  # about so many shingles meet in a task
     keys, level = frequent(rows, k, seed, ranges, known)
     lists = written(postings(rows, k, seed, num, den, keys, level, ranges), "lists")
     freed(lists)
