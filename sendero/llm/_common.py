@@ -115,6 +115,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 def trim() -> None:
     """Hand free memory of this process back to the system, where the C library can."""
+    _powers[:] = [np.ones(1, U64), np.ones(1, U64)]
     gc.collect()
     pa.default_memory_pool().release_unused()
     if give := getattr(ctypes.CDLL(None), "malloc_trim", None):

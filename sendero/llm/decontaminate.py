@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendero.llm._common import ALNUM, U64, broadcast_if_small, lean, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words
+from sendero.llm._common import ALNUM, U64, broadcast_if_small, lean, lowered, mixed, pieces, prefix_sums, shingles, span_hashes, strings, words, written
 
 MASK = (1 << 22) - 1
 
@@ -147,7 +147,8 @@ def contamination(docs: DataFrame, items: DataFrame, gram: int = 5, span: int =
         prints.unpersist()
     bits = np.zeros((MASK + 1) // 64, "<i8")
     bits[[r["w"] for r in marks]] = [r["bits"] for r in marks]
-    found = _scan(rows, gram, span, sorted(about["short"]), bits.tobytes(), False)
+    # Written, so that no task holds the Python workers of both steps.
+    found = written(_scan(rows, gram, span, sorted(about["short"]), bits.tobytes(), False), "fingerprints")
     pairs = found.join(broadcast_if_small(prints, about["n"], 256), (found["h"] == prints["h"]) & (found["size"] == prints["item_size"]), "left").drop(prints["h"])
     hits = _verified(pairs, gram, span)
     return hits.groupBy("rid").agg(F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.collect_set(F.when(F.col("lo").isNotNull(), F.struct("lo", "hi"))).alias("spans"), F.collect_set("item_id").alias("items"))
