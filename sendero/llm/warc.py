@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sendero.llm._common import BATCH, broadcast_if_small, spread_join, written
+from sendero.llm._common import BATCH, broadcast_if_small, written
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -54,7 +54,7 @@ def write_archive(pages: DataFrame, least: int = 1000, date: str = "2024-01-01T0
     payloads = written(single.unionByName(once), "payloads")
     size = groups.count()
     stored = payloads.join(broadcast_if_small(groups.select("key"), size), "key", "left_semi").withColumnRenamed("payload", "stored")
-    if not spread_join(copies, stored, ["key"], "id", None).filter(F.col("payload") != F.col("stored")).isEmpty():
+    if not _with_payload(copies, stored, "id").filter(F.col("payload") != F.col("stored")).isEmpty():
         raise ValueError("two payloads share a SHA-256 digest")
     revisit = (F.octet_length("payload") >= least) & F.col("n").isNotNull() & ~F.col("id").eqNullSafe(F.col("stays"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -76,9 +76,21 @@ def write_archive(pages: DataFrame, least: int = 1000, date: str = "2024-01-01T0
     return written(known.select("key", header.cast("binary").alias("header")), "headers"), payloads
 
 
+HOT, SALTS = 1000, 64  # copies of a payload beyond which they are dealt over tasks, and over how many
+
+
+def _with_payload(rows: DataFrame, payloads: DataFrame, by: str) -> DataFrame:
+    """rows joined with payloads(key, ...), one row for each key; rows of a key that many share are dealt by a salt of `by`."""
+    hot = written(rows.groupBy("key").agg(F.count("*").alias("copies")).filter(F.col("copies") > HOT).select("key", F.lit(True).alias("hot")), "hot")
+    hot = broadcast_if_small(hot, hot.count())
+    salted = rows.join(hot, "key", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(payloads.join(hot, "key", "left").withColumn("salt", F.explode(salts)).drop("hot"), ["key", "salt"]).drop("salt")
+
+
 def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     """Every record again: header, payload (the full one, for revisits too), record (its exact bytes)."""
-    both = spread_join(headers, payloads, ["key"], "header", None)
+    both = _with_payload(headers, payloads, "header")
     sound = F.unhex(F.sha2("payload", 256)).eqNullSafe(F.col("key"))
     payload = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not match its digest")).cast("binary"))
     both = both.select("header", payload.alias("payload"))

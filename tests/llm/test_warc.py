@@ -35,8 +35,9 @@ def test_query_parses_the_records(spark, tmp_path, monkeypatch):
         warc.op9_warc(spark, str(tmp_path)).collect()
 
 
-def test_long_payloads_many_copies_and_control_characters(spark):
+def test_long_payloads_many_copies_and_control_characters(spark, monkeypatch):
     """A payload of four million bytes, a third of the pages equal, characters that would split a header line."""
+    monkeypatch.setattr(warc, "HOT", 100)
     long = "é<p>" * 800_000
     rows = [(i, f"u{i}", BIG) for i in range(150)] + [(1000 + i, f"v{i}", f"page {i}") for i in range(300)] + [(2000, "w", long), (2001, "w", long)]
     rows += [(3000 + c, f"a{chr(c)}b", "x") for c in (*range(1, 33), 127)]
