@@ -85,7 +85,7 @@ def _with_payload(rows: DataFrame, payloads: DataFrame, by: str) -> DataFrame:
     hot = broadcast_if_small(hot, hot.count())
     salted = rows.join(hot, "key", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
     salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(payloads.join(hot, "key", "left").withColumn("salt", F.explode(salts)).drop("hot"), ["key", "salt"]).drop("salt")
+    return salted.join(payloads.join(hot, "key", "left").withColumn("salt", F.explode(salts)).drop("hot"), ["key", "salt"], "left").drop("salt")
 
 
 def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
