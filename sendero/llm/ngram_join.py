@@ -15,7 +15,7 @@ estimated cost least: postings to read plus candidates to verify, which fall as
    their pairs.
 5. Of the lists that still hold several components, those of at most `SMALL` members give pairs: members outside a
    list's largest component are matched with all others by length, position and number of shared prefix shingles.
-6. Larger lists are re-centred: lists that share a member of many lists form a group, c is the member next to what most
+6. Larger lists, by their members' 1-prefixes, are re-centred: lists that share a member of many lists form a group, c is the member next to what most
    of its members hold, and every other member i is replaced by D_i, the shingles in which it differs from c. With
    d = |D|, i and j differ in d_i + d_j - 2 |D_i and D_j| shingles, so two members link if both are near c (then c links
    them), or else only if they share a part of their deviations that grows with d_i and d_j. What all copies have in
@@ -530,13 +530,18 @@ def _near_duplicates(docs: DataFrame, k: int, num: int, den: int, known: int, id
     if not in_large.isEmpty():
         # Linked sets differ in size by den / num at most: their bands are the same or next to each other.
         band = F.floor(F.log("n") / np.log(den / num) + 1e-9).cast("bigint")
-        banded = large.join(in_large, "key").select("tok", "key", F.struct("large", "key").alias("rank"), F.posexplode(F.array(band, band + 1)).alias("own", "g"))
+        # Linked documents also share a shingle of their 1-prefixes; where that one's list is small, they meet there.
+        foremost = large.filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * num / den))
+        banded = foremost.join(in_large, "key").select("tok", "key", F.struct("large", "key").alias("rank"), F.posexplode(F.array(band, band + 1)).alias("own", "g"))
         # Of each list the member of most large lists; lists whose chosen members meet in another list go with that list's.
         banded = written(banded.withColumn("own", F.col("own") == 0), "banded")
         chosen = banded.groupBy("tok", "g").agg(F.max("rank").alias("top"), F.count("*").alias("members")).filter("members > 1").select("tok", "g", "top")
-        for _ in range(2):
-            above = banded.join(chosen, ["tok", "g"]).groupBy("key", "g").agg(F.max("top").alias("above"))
+        for _ in range(2):  # on written tables, and for the chosen members alone: a member's rows are joined once, below
+            chosen = written(chosen, "chosen")
+            tops = chosen.select(F.col("top.key").alias("key"), "g").distinct()
+            above = banded.join(tops, ["key", "g"], "left_semi").join(chosen, ["tok", "g"]).groupBy("key", "g").agg(F.max("top").alias("above"))
             chosen = chosen.join(above, (above["key"] == F.col("top.key")) & (above["g"] == chosen["g"]), "left").select("tok", chosen["g"], F.coalesce("above", "top").alias("top"))
+        chosen = written(chosen, "chosen")
         members = banded.join(chosen, ["tok", "g"]).select(F.xxhash64("top.key", "g").alias("grp"), "own", F.col("top.key").alias("c"), "key").distinct()
         members = written(members, "members")
         members = members.join(members.groupBy("grp").agg(F.count("*").alias("size")), "grp")

@@ -170,3 +170,31 @@ def test_sketches_never_differ_in_more_than_the_sets(spark):
         bits = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(ngram_join.sketch(a), ngram_join.sketch(b), strict=True))
         assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
         assert ngram_join.sketch(a) == ngram_join.sketch(a[::-1])
+
+
+def rows_joined(spark, on):
+    """Rows that the inner joins on columns `on` have made in this session so far, by Spark's own count."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    all_of = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    total = 0
+    for ran in all_of(store.executionsList()):
+        metrics = store.executionMetrics(ran.executionId())
+        for node in all_of(store.planGraph(ran.executionId()).allNodes().toSeq()):
+            if re.match(r"\w+Join \[" + ", ".join(rf"{c}#\d+L?" for c in on) + r"\].* Inner", node.desc()):
+                counted = [metrics.get(m.accumulatorId()) for m in all_of(node.metrics().toSeq()) if m.name() == "number of output rows"]
+                total += sum(int(c.get().replace(",", "")) for c in counted if c.isDefined())
+    return total
+
+
+def test_large_lists_are_joined_once(spark, monkeypatch):
+    """Large lists joined with their groups give a row for each shingle of a 1-prefix and band at most, however large the group."""
+    monkeypatch.setattr(ngram_join, "SMALL", 2)
+    made, room = [], []
+    for copies in (100, 200):
+        rows, before = spread(3, copies, 9), rows_joined(spark, ["tok", "g"])
+        out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=3, num=90, den=100).collect()
+        assert sorted(((r.id, r.n_shingles, r.component_id) for r in out), key=str) == brute(rows, 3, 90, 100)
+        made.append(rows_joined(spark, ["tok", "g"]) - before)
+        room.append(sum(2 * (n - -(-90 * n // 100) + 1) for n in (len(s) for s in {frozenset(sets_of(t, 3)) for _, t in rows})))
+    assert 0 < made[0] and made[1] <= 1.2 * room[1] and made[1] <= 2.5 * made[0]
